@@ -1,3 +1,11 @@
 """Survey-reconstruction analytics on Spark DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions of this package travel to the workers by value, so executors need
+# no copy of it on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

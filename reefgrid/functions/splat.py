@@ -42,9 +42,9 @@ def hsv(r: Column, g: Column, b: Column) -> Column:
         .when(high == g, (b - r) / delta + 2.0)
         .otherwise(F.pmod((g - b) / delta, F.lit(6.0)))
     )
-    hue = F.when(delta > 1e-8, 60.0 * sector).otherwise(0.0)
+    # Every sector is at least 0, so the hue needs no wrap.
     return F.struct(
-        F.when(hue < 0, hue + 360.0).otherwise(hue).alias("h"),
+        F.when(delta > 1e-8, 60.0 * sector).otherwise(0.0).alias("h"),
         F.when(high > 0, delta / high).otherwise(0.0).alias("s"),
         high.alias("v"),
     )

@@ -80,6 +80,11 @@ def hsv_column() -> Column:
     return splat.hsv(*[splat.sh_rgb(F.col(f"f_dc_{i}")) for i in range(3)])
 
 
+def with_hsv(df: DataFrame) -> DataFrame:
+    """Adds ``red, green, blue`` and the struct ``hsv``, each computed once."""
+    return with_rgb(df).withColumn("hsv", splat.hsv(F.col("red"), F.col("green"), F.col("blue")))
+
+
 def bbox(df: DataFrame, box: tuple[float, ...]) -> DataFrame:
     return df.filter(_inside(box))
 
@@ -133,10 +138,10 @@ def mean_rgb(df: DataFrame) -> DataFrame:
 
 def hue_histogram(df: DataFrame) -> DataFrame:
     """24 bins of 15 degrees over splats with saturation above 0.1."""
-    hsv = df.select(hsv_column().alias("hsv")).filter(F.col("hsv.s") > 0.1)
-    counts = hsv.groupBy(F.least(F.floor(F.col("hsv.h") / 15), F.lit(23)).cast("int").alias("bin")).agg(
+    bin_of = F.least(F.floor(F.col("hsv.h") / 15), F.lit(23)).cast("int")
+    counts = with_hsv(df).groupBy(F.when(F.col("hsv.s") > 0.1, bin_of).alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
-    )
+    ).filter(F.col("bin").isNotNull())
     # At most 24 rows from here on.
     filled = counts.agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("by_bin"), F.sum("n").alias("total"))
     names = F.array(*[F.lit(label) for label in splat.HUE_LABELS])

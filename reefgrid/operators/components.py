@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from reefgrid.session import pin
 
+SPLIT = 4
+
 
 def connected_components(edges: DataFrame, a: str, b: str, nodes: DataFrame | None = None) -> DataFrame:
     """``(node, component)`` with the smallest node of each component as its label.
@@ -21,16 +23,8 @@ def connected_components(edges: DataFrame, a: str, b: str, nodes: DataFrame | No
     links = pin(start.filter(F.col("u") != F.col("v")).select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     ).distinct())
-    before = None
-    while True:
+    while not _all_stars(links):
         links = pin(_small_star(_large_star(links)))
-        # Same edge set as before: nothing moved.
-        mark = links.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)"))
-        ).first()
-        if mark == before:
-            break
-        before = mark
     labels = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = links.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     found = labels.unionByName(roots)
@@ -40,6 +34,15 @@ def connected_components(edges: DataFrame, a: str, b: str, nodes: DataFrame | No
     return ids.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """True once every node hangs on one root and no root hangs on anything."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("out")).unionByName(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("out"))
+    )
+    used = ends.groupBy("node").agg(F.sum("out").alias("out"), F.min("out").alias("least"))
+    return used.filter((F.col("out") > 1) | ((F.col("out") == 1) & (F.col("least") == 0))).isEmpty()
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -83,15 +86,10 @@ def _box(coords: list[str]) -> list[Column]:
 
 def _span(coords: list[str], nearest: bool) -> Column:
     """Least or greatest possible distance between the boxes of sides a and b."""
-    total = F.lit(0.0)
-    for c in coords:
-        over, under = F.col(f"b_lo_{c}") - F.col(f"a_hi_{c}"), F.col(f"a_lo_{c}") - F.col(f"b_hi_{c}")
-        if nearest:
-            d = F.greatest(F.lit(0.0), over, under)
-        else:
-            d = F.greatest(F.col(f"b_hi_{c}") - F.col(f"a_lo_{c}"), F.col(f"a_hi_{c}") - F.col(f"b_lo_{c}"))
-        total = total + d * d
-    return F.sqrt(total)
+    gap = "greatest(0D, b_lo_{c} - a_hi_{c}, a_lo_{c} - b_hi_{c})"
+    span = "greatest(b_hi_{c} - a_lo_{c}, a_hi_{c} - b_lo_{c})"
+    sides = [(gap if nearest else span).format(c=c) for c in coords]
+    return F.expr("sqrt(" + " + ".join(f"{d} * {d}" for d in sides) + ")")
 
 
 def _side(df: DataFrame, side: str, keep: list[str]) -> DataFrame:
@@ -104,8 +102,8 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
     Points of one grid cell with diagonal below the radius are all connected,
     so cells are the graph's nodes. Whether two cells hold a pair within the
     radius is decided on the tight boxes of their points: surely linked, surely
-    apart, or undecided. Undecided pairs are halved along each axis and only
-    the sub-boxes that can still hold the closest pair go on. No points are
+    apart, or undecided. Undecided boxes are cut in ``SPLIT`` along each axis and
+    only the parts that can still hold the closest pair go on. No points are
     ever paired with points, however full a cell is.
     """
     d = len(coords)
@@ -146,16 +144,15 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
         if tagged is None:
             tagged = points.join(cells.select(*cell, "node"), cell)
         involved = open_.select(F.col("a_node").alias("node")).union(open_.select("b_node")).distinct()
-        scale = float(2**level)
+        scale = float(SPLIT**level)
         parts = (
             tagged.join(involved, "node", "left_semi")
             .withColumns({
                 f"sub_{c}": F.floor((F.col(c) / side - F.floor(F.col(c) / side)) * scale) for c in coords
             })
             .groupBy("node", *sub).agg(*_box(coords))
-            .withColumns({f"up_{c}": F.floor(F.col(c) / 2) for c in sub})
+            .withColumns({f"up_{c}": F.floor(F.col(c) / SPLIT) for c in sub})
         )
-        parts = pin(parts)
         grown = open_
         for s in "ab":
             half = _side(parts, s, [])
@@ -170,10 +167,9 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
         best = judged.groupBy("a_node", "b_node").agg(F.min("far").alias("best"))
         sure = best.filter(F.col("best") <= radius).select("a_node", "b_node")
         links = links.unionByName(sure)
-        open_ = pin(
-            judged.join(best.filter(F.col("best") > radius), ["a_node", "b_node"])
-            .filter(F.col("near") <= F.col("best")).select(*open_.columns)
-        )
+        open_ = judged.join(best.filter(F.col("best") > radius), ["a_node", "b_node"]).filter(
+            F.col("near") <= F.col("best")
+        ).select(*open_.columns)
     return points.join(cells.select(*cell, "node"), cell).select(F.col("pid").alias(id_col), "node"), links
 
 

@@ -164,7 +164,6 @@ def nearest(
     ``near`` is an array of ``(d, id)`` in order of distance, then id. Locations
     are those of ``df``, or those of ``queries`` when given.
     """
-    spark = df.sparkSession
     at = [F.col(c).cast("double").alias(c) for c in coords]
     first = Window.partitionBy(*coords).orderBy("pid")
     slots = (
@@ -191,7 +190,6 @@ def nearest(
         extents[[f"lo_{c}" for c in coords]].to_numpy(dtype=float),
         extents[[f"hi_{c}" for c in coords]].to_numpy(dtype=float),
     )
-    shared = spark.sparkContext.broadcast(boxes)
     limit = float("inf") if max_dist is None else float(max_dist)
     if queries is None:
         asked = data.filter(F.col("slot") == 1).select(*coords, "box")
@@ -217,9 +215,9 @@ def nearest(
         out["dists"] = [d[:n] for d, n in zip(dist, found)]
         out["ids"] = [i[:n] for i, n in zip(near, found)]
         others = [[] for _ in range(len(q))]
-        if spread and shared.value.depth and len(q):
+        if spread and boxes.depth and len(q):
             reach = np.where(found == m, dist[:, m - 1], limit)
-            row, leaf = shared.value.touched(q, reach)
+            row, leaf = boxes.touched(q, reach)
             for r, b in zip(row[leaf != key[0]], leaf[leaf != key[0]]):
                 others[r].append(b)
         out["others"] = others

@@ -6,23 +6,12 @@ from pyspark.sql import functions as F
 
 from reefgrid.operators import quality, tiers
 from reefgrid.operators.ranks import grouped_median, middle_values
+from reefgrid.plans.base import Registry, rnd
 from reefgrid.plans.oracle_views import with_views
 from reefgrid.plans.views import Survey
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return register
-
-
-def r(column: str, digits: int = 6):
-    return F.round(column, digits).alias(column)
+query = Registry()
+r = rnd
 
 
 def _tiered(s: Survey):

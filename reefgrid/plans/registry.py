@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from reefgrid.plans import model_queries
+from reefgrid.plans import catalog_queries, model_queries, report_queries, splat_queries
 
-MODULES = [model_queries]
+MODULES = [model_queries, splat_queries, catalog_queries, report_queries]
 
 
 def queries() -> dict:
-    return {name: fn for module in MODULES for name, fn in module.QUERIES.items()}
+    return {name: fn for module in MODULES for name, fn in module.query.QUERIES.items()}
 
 
 def oracles() -> dict[str, str]:
-    return {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
+    return {name: sql for module in MODULES for name, sql in module.query.ORACLES.items()}
