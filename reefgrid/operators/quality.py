@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reefgrid.functions import geometry
 from reefgrid.functions.sizing import ratio
-from reefgrid.operators.ranks import HOT_GROUP_ROWS, grouped_median, middle_values
+from reefgrid.operators.ranks import HOT_GROUP_ROWS, grouped_median, last_by_key, middle_values
 
 MIN_DEPTH = 1e-6
 ERROR_PROBE_ROWS = 1000
@@ -133,8 +133,11 @@ def merge_report(quality: DataFrame, report: DataFrame) -> DataFrame:
 
     ``report`` has one row per camera entry: ``image, num_points,
     image_coverage, reproj_median, reproj_mean``. Missing figures of a matched
-    image become 0; unmatched images keep NULL.
+    image become 0; unmatched images keep NULL. With an ``entry`` column the last
+    entry of a name counts.
     """
+    if "entry" in report.columns:
+        report = last_by_key(report, ["image"], ["entry"])
     named = report.select(
         F.col("image").alias("name"),
         F.coalesce("num_points", F.lit(0)).alias("ext_num_points"),

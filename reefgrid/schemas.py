@@ -28,4 +28,8 @@ RUNS = (
     "label STRING, time_sec BIGINT, peak_vram_mib BIGINT, net_vram_mib BIGINT, "
     "splat_count BIGINT, ply_size_bytes BIGINT, psnr STRING"
 )
-RUN_FILE = f"timestamp STRING, dataset STRING, gpu STRING, baseline_vram_mib BIGINT, resize_factor INT, runs ARRAY<STRUCT<{RUNS.replace(' ', ': ').replace(',:', ',')}>>"
+RUN_FILE = (
+    "timestamp STRING, dataset STRING, gpu STRING, baseline_vram_mib BIGINT, resize_factor INT, "
+    "runs ARRAY<STRUCT<label: STRING, time_sec: BIGINT, peak_vram_mib: BIGINT, net_vram_mib: BIGINT, "
+    "splat_count: BIGINT, ply_size_bytes: BIGINT, psnr: STRING>>"
+)
