@@ -36,9 +36,12 @@ def stage_sessions(events: DataFrame, gap: str = "2 hours", watermark: str = WAT
     """Stretches of activity of each stage in each run, closed by a quiet gap."""
     if events.isStreaming:
         events = events.withWatermark("ts", watermark)
+    # Bounds are aggregates, not fields of the window: a later filter on a field
+    # of the grouping key would be pushed below the merging of sessions.
     return events.groupBy("run_id", "stage", F.session_window("ts", gap).alias("session")).agg(
-        F.count(F.lit(1)).alias("n_events")
-    ).select("run_id", "stage", F.col("session.start").alias("start"), F.col("session.end").alias("end"), "n_events")
+        F.min("ts").alias("start"), (F.max("ts") + F.expr(f"interval {gap}")).alias("end"),
+        F.count(F.lit(1)).alias("n_events"),
+    ).drop("session")
 
 
 def failing(events: DataFrame) -> DataFrame:
