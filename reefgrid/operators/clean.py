@@ -167,34 +167,49 @@ def sor_pass(df: DataFrame, id_col: str = "splat_id", k: int = 20, s: float = 2.
     return df.join(kept.select(id_col), id_col, "left_semi")
 
 
-def sor(df: DataFrame, id_col: str = "splat_id", k: int = 20, s: float = 2.0, passes: int = 3, **knn) -> DataFrame:
-    """Repeated outlier removal, each pass on the survivors of the one before."""
+def _positions(df: DataFrame, id_col: str) -> DataFrame:
+    """Id and position only: rounds of the spatial steps carry nothing else."""
+    return pin(df.select(id_col, *XYZ))
+
+
+def _sor_rounds(slim: DataFrame, id_col: str, k: int, s: float, passes: int, knn: dict) -> DataFrame:
     for _ in range(passes):
-        df = pin(sor_pass(df, id_col, k, s, **knn))
-        if df.isEmpty():
+        slim = pin(sor_pass(slim, id_col, k, s, **knn))
+        if slim.isEmpty():
             break
-    return df
+    return slim
 
 
-def keep_largest(df: DataFrame, id_col: str, radius: float, keep: int) -> DataFrame:
-    """Splats of the ``keep`` largest clusters; ties go to the smaller label."""
+def sor(df: DataFrame, id_col: str = "splat_id", k: int = 20, s: float = 2.0, passes: int = 3, **knn) -> DataFrame:
+    """Repeated outlier removal, each pass on the survivors of the one before."""
+    kept = _sor_rounds(_positions(df, id_col), id_col, k, s, passes, knn)
+    return df.join(kept.select(id_col), id_col, "left_semi")
+
+
+def largest_members(df: DataFrame, id_col: str, radius: float, keep: int) -> DataFrame:
+    """Ids in the ``keep`` largest clusters; ties go to the smaller label."""
     labelled = pin(cc.radius_components(df, id_col, XYZ, radius))
     top = cc.largest(cc.component_sizes(labelled), keep)
-    chosen = labelled.join(top.select("component"), "component", "left_semi")
-    return df.join(chosen.select(id_col), id_col, "left_semi")
+    return labelled.join(top.select("component"), "component", "left_semi").select(id_col)
+
+
+def keep_largest(df: DataFrame, id_col: str, radius: float, keep: int) -> DataFrame:
+    return df.join(largest_members(df, id_col, radius, keep), id_col, "left_semi")
 
 
 def clean(df: DataFrame, cfg: CleanConfig, id_col: str = "splat_id", **knn) -> DataFrame:
     """All filters in their fixed order."""
-    kept = pin(prefilter(df, cfg))
-    kept = sor(kept, id_col, cfg.neighbors, cfg.std_factor, cfg.passes, **knn)
-    if cfg.connected and not kept.isEmpty():
+    kept = prefilter(df, cfg)
+    if cfg.passes <= 0 and not cfg.connected:
+        return kept
+    slim = _sor_rounds(_positions(kept, id_col), id_col, cfg.neighbors, cfg.std_factor, cfg.passes, knn)
+    if cfg.connected and not slim.isEmpty():
         radius = cfg.connect_radius
         if radius <= 0:
-            radius = auto_radius(kept, id_col, XYZ, seed=cfg.seed, **knn).first()["radius"]
+            radius = auto_radius(slim, id_col, XYZ, seed=cfg.seed, **knn).first()["radius"]
         if radius:
-            kept = keep_largest(kept, id_col, radius, cfg.keep_components)
-    return kept
+            slim = largest_members(slim, id_col, radius, cfg.keep_components)
+    return df.join(slim.select(id_col), id_col, "left_semi")
 
 
 def clean_summary(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -92,6 +92,12 @@ def _span(coords: list[str], nearest: bool) -> Column:
     return F.expr("sqrt(" + " + ".join(f"{d} * {d}" for d in sides) + ")")
 
 
+def _may_reach(coords: list[str], side: float, radius: float) -> Column:
+    """Whether the tight box of cell a can touch cell b's square at all, with slack for rounding."""
+    gaps = [f"greatest(0D, b_cell_{c} * {side!r}D - a_hi_{c}, a_lo_{c} - (b_cell_{c} + 1) * {side!r}D)" for c in coords]
+    return F.expr("sqrt(" + " + ".join(f"{g} * {g}" for g in gaps) + f") <= {radius * (1 + 1e-6)!r}D")
+
+
 def _side(df: DataFrame, side: str, keep: list[str]) -> DataFrame:
     return df.select(*[F.col(c) if c in keep else F.col(c).alias(f"{side}_{c}") for c in df.columns])
 
@@ -126,6 +132,7 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
         _side(cells, "a", [])
         .withColumn("_o", F.explode(offsets))
         .withColumns({f"b_cell_{c}": F.col(f"a_cell_{c}") + F.col(f"_o.o_{c}") for c in coords}).drop("_o")
+        .filter(_may_reach(coords, side, radius))
     )
     pairs = shifted.join(_side(cells, "b", []), [f"b_cell_{c}" for c in coords])
     bounded = pairs.withColumns({"near": _span(coords, True), "far": _span(coords, False)}).filter(

@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from reefgrid.operators.ranks import middle_values
 from reefgrid.session import pin
 
-BOX_ROWS = 50_000
+BOX_ROWS = 20_000
 MAX_BOXES = 65_536
 SAMPLE_PER_BOX = 16
 BUCKET_ROWS = 32
+BLOCK_QUERIES = 128
 RADIUS_SAMPLE = 50_000
 
 
@@ -40,8 +41,11 @@ class Boxes:
             part = groups.pop(node)
             if len(part):
                 axis = int(np.argmax(part.max(axis=0) - part.min(axis=0)))
-                self.axis[node] = axis
-                self.cut[node] = np.median(part[:, axis])
+                values = part[:, axis]
+                cut = np.median(values)
+                if cut == values.min() and cut < values.max():
+                    cut = values[values > cut].min()  # a tied minimum must not leave one side empty
+                self.axis[node], self.cut[node] = axis, cut
             right = part[:, self.axis[node]] >= self.cut[node]
             groups[2 * node + 1], groups[2 * node + 2] = part[~right], part[right]
 
@@ -80,59 +84,74 @@ class Boxes:
 def _nearest(data: np.ndarray, ids: np.ndarray, queries: np.ndarray, bound: np.ndarray, m: int):
     """The ``m`` nearest data rows per query within its bound, by (distance, id).
 
-    Data go into small buckets; a block of queries reads the buckets its
-    current search radius reaches.
+    Data go into small buckets. The queries of a bucket first look at home,
+    which bounds their search radius, then at the buckets within that radius.
     """
     dist, near = np.full((len(queries), m), np.inf), np.full((len(queries), m), -1, dtype=np.int64)
     if not len(data) or not len(queries):
         return dist, near
-    tree = Boxes(data, math.ceil(len(data) / BUCKET_ROWS))
+    tree = Boxes(data, 2 ** int(math.log2(max(1, len(data) // max(BUCKET_ROWS, m + m // 2)))))
     bucket = tree.locate(data)
     order = np.argsort(bucket, kind="stable")
     data, ids, bucket = data[order], ids[order], bucket[order]
     used, first = np.unique(bucket, return_index=True)
-    last = np.append(first[1:], len(bucket))
     tree.fit(used, np.minimum.reduceat(data, first), np.maximum.reduceat(data, first))
-    base = tree.leaves - 1
-    start, stop = np.zeros(tree.leaves, dtype=np.int64), np.zeros(tree.leaves, dtype=np.int64)
-    start[used], stop[used] = first, last
-    width = 2 ** (tree.depth - tree.depth // 2)  # buckets under one upper node
-    upper = np.arange(2 ** (tree.depth // 2)) + 2 ** (tree.depth // 2) - 1
-
-    def gaps(lo, hi, nodes):
-        g = np.maximum(np.maximum(tree.lo[nodes] - hi, lo - tree.hi[nodes]), 0.0)
-        return np.sqrt((g * g).sum(axis=1))
-
-    def top(rows, block, cap):
-        d = np.sqrt(((queries[block][:, None, :] - data[rows][None, :, :]) ** 2).sum(axis=2))
-        d[d > cap[:, None]] = np.inf
-        if d.shape[1] > 4 * m:
-            kth = np.partition(d, m - 1, axis=1)[:, m - 1]
-            rows_in = (d <= kth[:, None]).any(axis=0)
-            d, rows = d[:, rows_in], rows[rows_in]
-        names = np.broadcast_to(ids[rows], d.shape)
-        pick = np.lexsort((names, d), axis=1)[:, :m]
-        return np.take_along_axis(d, pick, axis=1), np.take_along_axis(names, pick, axis=1)
+    start = np.searchsorted(bucket, np.arange(tree.leaves + 1))
+    base, half = tree.leaves - 1, tree.depth // 2
+    width = 2 ** (tree.depth - half)  # buckets under one node of the middle level
+    middle = np.arange(2**half) + 2**half - 1
+
+    def near_nodes(lo, hi, nodes, radius):
+        gap = np.maximum(np.maximum(tree.lo[nodes] - hi, lo - tree.hi[nodes]), 0.0)
+        return np.sqrt((gap * gap).sum(axis=1)) <= radius
+
+    def spans(block, rows):
+        total = np.zeros((len(block), len(rows)))
+        for axis in range(data.shape[1]):
+            step = queries[block, axis][:, None] - data[rows, axis][None, :]
+            total += step * step
+        return np.sqrt(total)
+
+    def closest(d, rows):
+        """First m columns per row by (distance, id)."""
+        if d.shape[1] > m:
+            pick = np.argpartition(d, m - 1, axis=1)[:, :m]
+            edge = np.take_along_axis(d, pick, axis=1).max(axis=1)
+            tied = np.flatnonzero((d <= edge[:, None]).sum(axis=1) > m)
+            for r in tied:  # more rows at the edge distance than places: smallest ids first
+                inside = np.flatnonzero(d[r] <= edge[r])
+                pick[r] = inside[np.lexsort((ids[rows[inside]], d[r, inside]))[:m]]
+        else:
+            pick = np.broadcast_to(np.arange(d.shape[1]), d.shape)
+        found, names = np.take_along_axis(d, pick, axis=1), ids[rows[pick]]
+        turn = np.lexsort((names, found), axis=1)
+        return np.take_along_axis(found, turn, axis=1), np.take_along_axis(names, turn, axis=1)
 
     home = tree.locate(queries)
     by_home = np.argsort(home, kind="stable")
     edges = np.append(np.unique(home[by_home], return_index=True)[1], len(home))
     for a, b in zip(edges[:-1], edges[1:]):
-        for c in range(a, b, BUCKET_ROWS * 4):
-            block = by_home[c : min(c + BUCKET_ROWS * 4, b)]
+        for c in range(a, b, BLOCK_QUERIES):
+            block = by_home[c : min(c + BLOCK_QUERIES, b)]
             cap, q = bound[block], queries[block]
             lo, hi = q.min(axis=0), q.max(axis=0)
-            own = np.arange(start[home[block[0]]], stop[home[block[0]]])
+            up, leaf = 0, home[block[0]]
+            while up < tree.depth and start[(leaf >> up) + 1 << up] - start[leaf >> up << up] < m:
+                up += 1
+            own = np.arange(start[leaf >> up << up], start[(leaf >> up) + 1 << up])
             radius = cap.max()
             if len(own) >= m:
-                radius = min(radius, top(own, block, cap)[0][:, m - 1].max())
-            over = upper[gaps(lo, hi, upper) <= radius]
-            leaf = ((over - upper[0])[:, None] * width + np.arange(width)[None, :]).ravel()
-            leaf = leaf[gaps(lo, hi, base + leaf) <= radius]
-            rows = np.concatenate([np.arange(start[i], stop[i]) for i in leaf] or [np.empty(0, dtype=np.int64)])
+                radius = min(radius, np.partition(spans(block, own), m - 1, axis=1)[:, m - 1].max())
+            over = np.flatnonzero(near_nodes(lo, hi, middle, radius))
+            leaves = (over[:, None] * width + np.arange(width)[None, :]).ravel()
+            leaves = leaves[near_nodes(lo, hi, base + leaves, radius)]
+            if not len(leaves):
+                continue
+            rows = np.concatenate([np.arange(start[i], start[i + 1]) for i in leaves])
             if len(rows):
-                d, n = top(rows, block, cap)
-                dist[block, : d.shape[1]], near[block, : d.shape[1]] = d, n
+                d, names = closest(spans(block, rows), rows)
+                d = np.where(d <= cap[:, None], d, np.inf)
+                dist[block, : d.shape[1]], near[block, : d.shape[1]] = d, names
     near[np.isinf(dist)] = -1
     return dist, near
 
@@ -229,15 +248,20 @@ def nearest(
     def away_round(key, points, wanted):
         return answer(key, points, wanted, False)
 
+    def by_box(df: DataFrame):
+        # One partition per box: the work is in the boxes, not in their bytes,
+        # so they must not be packed together by size.
+        return (df.repartition(boxes.leaves, "box") if boxes.depth else df).groupBy("box")
+
     pts = data.select(*coords, "pid", "box")
-    home = pts.groupBy("box").cogroup(asked.groupBy("box")).applyInPandas(home_round, out_schema)
+    home = by_box(pts).cogroup(by_box(asked)).applyInPandas(home_round, out_schema)
     candidates = F.arrays_zip(F.col("dists").alias("d"), F.col("ids").alias("id")).alias("near")
     if not boxes.depth:
         return home.select(*coords, candidates)
     home = pin(home)
     last = F.when(F.size("dists") == m, F.element_at("dists", -1)).otherwise(F.lit(limit))
     sent = home.select(*coords, F.explode("others").alias("box"), last.alias("bound"))
-    away = pts.groupBy("box").cogroup(sent.groupBy("box")).applyInPandas(away_round, out_schema)
+    away = by_box(pts).cogroup(by_box(sent)).applyInPandas(away_round, out_schema)
     done = home.filter(F.size("others") == 0).select(*coords, candidates)
     open_ = home.filter(F.size("others") > 0).select(*coords, candidates)
     merged = open_.unionByName(away.select(*coords, candidates)).groupBy(*coords).agg(

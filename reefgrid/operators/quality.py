@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reefgrid.functions import geometry
 from reefgrid.functions.sizing import ratio
-from reefgrid.operators.ranks import HOT_GROUP_ROWS, grouped_median, last_by_key, middle_values
+from reefgrid.operators.ranks import HOT_GROUP_ROWS, grouped_median, last_by_key, median_scalar, middle_integers
 
 MIN_DEPTH = 1e-6
 ERROR_PROBE_ROWS = 1000
@@ -70,12 +70,16 @@ def errors_missing(points: DataFrame, position: list[str]) -> DataFrame:
     )
 
 
-def point_stats(points: DataFrame) -> DataFrame:
-    """One row of error and track-length statistics; an empty cloud has count 0."""
-    middles = []
-    for column, name in (("error", "error_median"), ("track_length", "track_median")):
-        mid = middle_values(points, column)
-        middles.append(mid.select((F.col("lower_mid") + F.col("upper_mid")) / 2).scalar().alias(name))
+def point_stats(points: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """One row of error and track-length statistics; an empty cloud has count 0.
+
+    ``errors`` may name a cheaper table with the same ``error`` values, for the median.
+    """
+    tracks = middle_integers(points, "track_length")
+    middles = [
+        median_scalar(points if errors is None else errors, "error").alias("error_median"),
+        tracks.select((F.col("lower_mid") + F.col("upper_mid")) / 2).scalar().alias("track_median"),
+    ]
     sums = points.agg(
         F.count(F.lit(1)).alias("count"),
         F.min("error").alias("error_min"),

@@ -24,7 +24,7 @@ def _tiered(s: Survey):
            min(track_length) AS track_min, max(track_length) AS track_max, round(avg(track_length), 6) AS track_mean,
            median(track_length) AS track_median FROM tracked""")
 def point_stats(s: Survey):
-    return quality.point_stats(s.tracked_points()).select(
+    return quality.point_stats(s.tracked_points(), s.points()).select(
         "count", "error_min", "error_max", r("error_mean"), r("error_median"), r("error_stdev"),
         "track_min", "track_max", r("track_mean"), "track_median",
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from reefgrid.plans import catalog_queries, model_queries, report_queries, splat_queries, stream_queries
+from reefgrid.plans import catalog_queries, model_queries, report_queries, splat_queries, stream_queries, vocab_queries
 
-MODULES = [model_queries, splat_queries, catalog_queries, report_queries, stream_queries]
+MODULES = [
+    model_queries, splat_queries, catalog_queries, report_queries, stream_queries, vocab_queries,
+]
 
 
 def queries() -> dict:

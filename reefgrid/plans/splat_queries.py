@@ -125,7 +125,7 @@ def knn_mean_two_rounds(s: Survey):
 @query("knn_mean_points")
 def knn_mean_points(s: Survey):
     """The same over the sparse cloud; brute force in SQL is too slow there."""
-    return knn_mean(s.points(), "point_id", clean.XYZ, 20, box_rows=20_000).select("point_id", rnd("mean_dist"))
+    return knn_mean(s.points(), "point_id", clean.XYZ, 20, box_rows=8_000).select("point_id", rnd("mean_dist"))
 
 
 @query("sor_one_pass", with_views("splats") + ", " + _sor_sql("splats", "p1") + "SELECT splat_id FROM p1")

@@ -129,3 +129,21 @@ def test_exhaustive_plan_adds_up(spark):
     images = spark.range(253).withColumnRenamed("id", "image_id")
     plan = pairs.exhaustive_plan(images).collect()
     assert sum(r.pairs_within + r.pairs_ahead for r in plan) == 253 * 252 // 2 == pairs.exhaustive_estimate(images).first().n_pairs
+
+
+def test_boxes_split_tied_axes():
+    rng = np.random.default_rng(4)
+    p = np.column_stack([np.where(rng.random(4000) < 0.7, 0.0, 1000.0), rng.random(4000), rng.random(4000)])
+    tree = knn.Boxes(p, 32)
+    assert np.bincount(tree.locate(p), minlength=32).max() < 700
+    d, ids = knn._nearest(p[:600], np.arange(600), p[:50], np.full(50, np.inf), 9)
+    full = np.sort(distances(p[:600])[:50], axis=1)[:, :9]
+    assert np.abs(d - full).max() < 1e-12
+
+
+def test_ties_go_to_the_smaller_id():
+    p = np.array([[x, y] for x in range(12) for y in range(12)], dtype=float)
+    d, ids = knn._nearest(p, np.arange(144), p, np.full(144, np.inf), 5)
+    full = distances(p)
+    want = [sorted(range(144), key=lambda j: (full[i, j], j))[:5] for i in range(144)]
+    assert ids.tolist() == want

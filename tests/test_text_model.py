@@ -12,14 +12,14 @@ from reefgrid.sources.text_model import (
     camera_details, read_cameras, read_images, read_points, read_points_raw, rewrite_image_lines, tracks,
 )
 
-POSE = "1 0.5 0.5 0.5 0.5 1.0 2.0 3.0 1 "
+POSE = "1 0.8 0.1 0.2 0.3 4.0 5.5 6.25 1 "
 POSE_CASES = {
-    POSE + "image001.jpg": True, POSE + "frame.png": True, POSE + "scan.tiff": True, POSE + "photo.bmp": True,
-    POSE + "1e10.jpg": True, "42 0.1 0.2 0.3 0.4 0.5 0.6 0.7 2 0001.jpeg": True, POSE + "PHOTO.JPG": True,
-    "100.5 200.3 12345 101.2 201.4 12346 102.0 202.1 -1": False, "1 0.5 0.5 0.5": False,
-    "abc 0.5 0.5 0.5 0.5 1.0 2.0 3.0 1 image.jpg": False, "1 0.5 0.5 0.5 0.5 1.0 2.0 3.0 xyz image.jpg": False,
-    POSE + "noextension": False, POSE + "data.txt": False, POSE + "config.yaml": False,
-    "100.5 200.3 12345": False, POSE + "tail.jpg extra": True,
+    POSE + "dive.jpg": True, POSE + "still.png": True, POSE + "plate.tiff": True, POSE + "raw.bmp": True,
+    POSE + "3e5.jpg": True, "8 1 0 0 0 9 9 9 4 000017.jpeg": True, POSE + "DSC.JPG": True,
+    "12.25 88.5 901 13.5 90.75 902 14.0 91.0 -1": False, "7 1.0 0 0": False,
+    "x7 1 0 0 0 1 2 3 4 dive.jpg": False, "7 1 0 0 0 1 2 3 four dive.jpg": False,
+    POSE + "nodot": False, POSE + "notes.txt": False, POSE + "rig.yaml": False,
+    "12.25 88.5 901": False, POSE + "tail.jpg extra": True,
 }
 
 
@@ -30,11 +30,11 @@ def test_pose_line_rule(spark):
 
 
 IMAGES = """\
-# Image list with two lines of data per image:
-1 0.5 0.5 0.5 0.5 1.0 2.0 3.0 1 image001.jpg
-100.0 200.0 42 150.0 250.0 -1
-2 0.6 0.6 0.6 0.6 4.0 5.0 6.0 1 image002.jpg
-300.0 400.0 99 7 8
+# poses, each with its sightings below
+1 0.8 0.1 0.2 0.3 4.0 5.5 6.25 1 left.jpg
+12.5 80.0 42 99.0 61.0 -1
+2 0.7 0.1 0.2 0.3 4.0 5.5 6.25 1 right.jpg
+31.0 44.0 99 7 8
 """
 
 
@@ -47,19 +47,19 @@ def by_image(obs):
 
 def test_paired_lines(spark, write):
     images, obs = read_images(spark, write("images.txt", IMAGES))
-    assert {r.image_id: r.name for r in images.collect()} == {1: "image001.jpg", 2: "image002.jpg"}
-    assert by_image(obs) == {1: [(100.0, 200.0, 42), (150.0, 250.0, None)], 2: [(300.0, 400.0, 99)]}
+    assert {r.image_id: r.name for r in images.collect()} == {1: "left.jpg", 2: "right.jpg"}
+    assert by_image(obs) == {1: [(12.5, 80.0, 42), (99.0, 61.0, None)], 2: [(31.0, 44.0, 99)]}
 
 
 def test_missing_observation_line(spark, write):
-    text = POSE + "a.jpg\n2 0.6 0.6 0.6 0.6 4.0 5.0 6.0 1 b.jpg\n\n# note\n100.0 200.0 42\n7 7 7\n"
+    text = POSE + "a.jpg\n2 1 0 0 0 4.0 5.0 6.0 1 b.jpg\n\n# note\n11.0 22.0 42\n7 7 7\n"
     images, obs = read_images(spark, write("images.txt", text))
     assert images.count() == 2
-    assert by_image(obs) == {2: [(100.0, 200.0, 42)]}
+    assert by_image(obs) == {2: [(11.0, 22.0, 42)]}
 
 
 def test_comment_only_file(spark, write):
-    images, obs = read_images(spark, write("images.txt", "# Empty file\n"))
+    images, obs = read_images(spark, write("images.txt", "# nothing yet\n"))
     assert images.count() == 0 and obs.count() == 0
 
 
@@ -85,10 +85,10 @@ def test_pairs_survive_file_splits(spark, write):
 
 
 POINTS = """\
-# 3D point list
-# POINT3D_ID, X, Y, Z, R, G, B, ERROR, TRACK[]
-1 1.0 2.0 3.0 255 128 0 0.5 1 10 2 20
-2 4.0 5.0 6.0 100 100 100 1.2 3 30 9
+# cloud of two
+# and a broken row
+1 1.5 2.5 -3.5 10 20 30 0.5 1 10 2 20
+2 4.0 5.0 6.0 90 80 70 1.25 3 30 9
 3 1 2 3
 """
 
@@ -97,7 +97,7 @@ def test_points(spark, write):
     rows = {r.point_id: r for r in read_points(spark, write("points3D.txt", POINTS)).collect()}
     assert set(rows) == {1, 2}
     assert rows[1].error == 0.5 and rows[1].track_length == 2 and [tuple(t) for t in rows[1].track] == [(1, 10), (2, 20)]
-    assert rows[2].track_length == 1 and rows[2].r == 100
+    assert rows[2].track_length == 1 and rows[2].r == 90
     assert tracks(read_points(spark, write("p2.txt", POINTS))).count() == 3
 
 
@@ -110,8 +110,8 @@ def test_duplicate_points_keep_the_last(spark, write):
 def test_raw_points(spark, write):
     header, lines = read_points_raw(spark, write("points3D.txt", POINTS))
     assert header.count() == 2 and lines.count() == 2
-    assert "1.0 2.0 3.0" in lines.filter("point_id = 1").first().line
-    header, lines = read_points_raw(spark, write("empty.txt", "# Empty\n"))
+    assert "1.5 2.5 -3.5" in lines.filter("point_id = 1").first().line
+    header, lines = read_points_raw(spark, write("empty.txt", "# nothing\n"))
     assert header.count() == 1 and lines.count() == 0
 
 
