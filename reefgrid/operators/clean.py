@@ -206,7 +206,7 @@ def clean(df: DataFrame, cfg: CleanConfig, id_col: str = "splat_id", **knn) -> D
     if cfg.connected and not slim.isEmpty():
         radius = cfg.connect_radius
         if radius <= 0:
-            radius = auto_radius(slim, id_col, XYZ, seed=cfg.seed, **knn).first()["radius"]
+            radius = auto_radius(slim, id_col, XYZ, seed=cfg.seed, **knn)
         if radius:
             slim = largest_members(slim, id_col, radius, cfg.keep_components)
     return df.join(slim.select(id_col), id_col, "left_semi")

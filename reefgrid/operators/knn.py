@@ -15,10 +15,10 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reefgrid.operators.ranks import middle_values
+from reefgrid.operators.ranks import middle
 from reefgrid.session import pin
 
 BOX_ROWS = 20_000
@@ -281,13 +281,15 @@ def knn_mean(df: DataFrame, id_col: str, coords: list[str], k: int = 20, **optio
     return points.join(means, coords).select(id_col, "mean_dist")
 
 
-def auto_radius(df: DataFrame, id_col: str, coords: list[str], seed: int = 42, **options) -> DataFrame:
-    """Three times the median nearest-neighbour distance over at most 50 000 sampled points."""
+def auto_radius(df: DataFrame, id_col: str, coords: list[str], seed: int = 42, **options) -> float | None:
+    """Three times the median nearest-neighbour distance over at most 50 000 sampled points.
+
+    None when there are fewer than two points.
+    """
     sample = df.select(id_col, *coords).orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col).limit(RADIUS_SAMPLE)
     sample = pin(sample)
     near = nearest(df, id_col, coords, 2, queries=sample, **options)
     spots = near.select(*coords, F.try_element_at("near", F.lit(2))["d"].alias("nn_dist"))
     at = sample.select(*[F.col(c).cast("double").alias(c) for c in coords])
-    mid = middle_values(pin(at.join(spots, coords)), "nn_dist")
-    nn: Column = (F.col("lower_mid") + F.col("upper_mid")) / 2
-    return mid.select(nn.alias("nn_median"), (nn * 3.0).alias("radius"))
+    found = middle(pin(at.join(spots, coords).select("nn_dist")), "nn_dist")
+    return None if found is None else found.median * 3.0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reefgrid.functions import geometry
 from reefgrid.functions.sizing import ratio
-from reefgrid.operators.ranks import HOT_GROUP_ROWS, grouped_median, last_by_key, median_scalar, middle_integers
+from reefgrid.operators.ranks import HOT_GROUP_ROWS, grouped_median, last_by_key, median_literal, middle, middle_integers
 
 MIN_DEPTH = 1e-6
 ERROR_PROBE_ROWS = 1000
@@ -75,10 +75,9 @@ def point_stats(points: DataFrame, errors: DataFrame | None = None) -> DataFrame
 
     ``errors`` may name a cheaper table with the same ``error`` values, for the median.
     """
-    tracks = middle_integers(points, "track_length")
     middles = [
-        median_scalar(points if errors is None else errors, "error").alias("error_median"),
-        tracks.select((F.col("lower_mid") + F.col("upper_mid")) / 2).scalar().alias("track_median"),
+        median_literal(middle(points if errors is None else errors, "error")).alias("error_median"),
+        median_literal(middle_integers(points, "track_length")).alias("track_median"),
     ]
     sums = points.agg(
         F.count(F.lit(1)).alias("count"),

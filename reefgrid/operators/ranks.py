@@ -10,6 +10,8 @@ third of all rows shuffles no more than its cells.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +19,14 @@ from reefgrid.session import pin
 
 CELLS_PER_OCTAVE = 32
 CELLS_PER_BRACKET = 4096
+EXACT_ROWS = 200_000  # a cell of this many rows needs no finer cells
 HOT_GROUP_ROWS = 1_000_000
 
 
 def _octave_cell(v: Column) -> Column:
     """Weakly increasing cell number; at most about 140 000 cells for all doubles."""
-    magnitude = F.floor(F.log2(F.abs(v)) * CELLS_PER_OCTAVE) + 40000
+    octaves = F.least(F.log2(F.abs(v)), F.lit(2000.0))  # infinity gets a cell of its own
+    magnitude = F.floor(octaves * CELLS_PER_OCTAVE) + 40000
     return F.when(v == 0, F.lit(0).cast("bigint")).otherwise((F.signum(v) * magnitude).cast("bigint"))
 
 
@@ -56,68 +60,86 @@ def _locate(cells: DataFrame, keys: list[str], order: str, first: bool) -> DataF
     )
 
 
-def _attach(values: DataFrame, bracket: DataFrame, keys: list[str]) -> DataFrame:
-    """Values inside the located bracket, each with the bracket's fields."""
-    extra = ["_total", "_rank", "_lo", "_hi", "_before", "_after"]
-    if keys:
-        joined = values.join(bracket.select(*keys, *extra), keys)
-    else:
-        # One row: an uncorrelated scalar subquery, no join.
-        one = bracket.select(F.struct(*extra).alias("b")).scalar()
-        joined = values.withColumn("_b", one).select("_v", *[F.col(f"_b.{c}").alias(c) for c in extra])
-    return joined.filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+CARRIED = ["_total", "_rank", "_before", "_after"]
 
 
-def _middle_by_cells(df: DataFrame, value: Column, keys: list[str]) -> DataFrame:
-    values = df.select(*keys, value.cast("double").alias("_v")).filter(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
-    )
-    counted = [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
-    carried = ["_total", "_rank", "_before", "_after"]
-
-    octaves = values.groupBy(*keys, _octave_cell(F.col("_v")).alias("_cell")).agg(*counted)
-    bracket = _locate(octaves, keys, "_cell", first=True)
-
-    inside = _attach(values, bracket, keys)
-    fine = inside.groupBy(
-        *keys, *carried, _bracket_cell(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("_cell")
-    ).agg(*counted)
-    bracket = _locate(fine, keys, "_cell", first=False)
-
-    inside = _attach(values, bracket, keys)
-    exact = (
-        inside.groupBy(*keys, *carried, "_v").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_lo", F.col("_v")).withColumn("_hi", F.col("_v"))
-    )
-    return _middle(_locate(exact, keys, "_v", first=False), keys)
+def _counted() -> list[Column]:
+    return [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
 
 
-def middle_values(df: DataFrame, value: str | Column) -> DataFrame:
-    """One row ``(n, lower_mid, upper_mid)``; the median is the mean of the two.
-
-    No row when there are no values.
-    """
-    return _middle_by_cells(df, F.col(value) if isinstance(value, str) else value, [])
+def _values(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    values = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    return values.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
 
-def middle_integers(df: DataFrame, value: str) -> DataFrame:
-    """``middle_values`` of a column with few distinct values, from their counts in one pass."""
-    counts = df.select(F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()).groupBy("_v").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    found = _locate(counts.withColumns({"_lo": F.col("_v"), "_hi": F.col("_v")}), [], "_v", first=True)
-    return _middle(found, [])
+def _count_cells(inside: DataFrame, keys: list[str], exact: bool) -> DataFrame:
+    """Counts of the next round: finer cells, or single values in the last one."""
+    cell = F.col("_v") if exact else _bracket_cell(F.col("_v"), F.col("_lo"), F.col("_hi"))
+    return inside.groupBy(*keys, *CARRIED, cell.alias("_cell")).agg(*_counted())
 
 
-def _middle(found: DataFrame, keys: list[str]) -> DataFrame:
+def _middle_by_cells(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """Middle values per group, all groups in the same rounds."""
+    values = _values(df, value, keys)
+    cells = values.groupBy(*keys, _octave_cell(F.col("_v")).alias("_cell")).agg(*_counted())
+    bracket = _locate(cells, keys, "_cell", first=True)
+    for exact in (False, True):
+        inside = values.join(bracket.select(*keys, *CARRIED, "_lo", "_hi"), keys).filter(
+            F.col("_v").between(F.col("_lo"), F.col("_hi"))
+        )
+        bracket = _locate(_count_cells(inside, keys, exact), keys, "_cell", first=False)
     upper_rank = F.floor(F.col("_total") / 2) + 1
     upper = F.when(F.col("_before") + F.col("_n") >= upper_rank, F.col("_lo")).otherwise(F.col("_after"))
-    return found.select(*keys, F.col("_total").alias("n"), F.col("_lo").alias("lower_mid"), upper.alias("upper_mid"))
+    return bracket.select(*keys, F.col("_total").alias("n"), F.col("_lo").alias("lower_mid"), upper.alias("upper_mid"))
+
+
+class Middle(NamedTuple):
+    """Count and the two middle values of a column; equal ones for odd counts."""
+
+    n: int
+    lower: float
+    upper: float
+
+    @property
+    def median(self) -> float:
+        return (self.lower + self.upper) / 2
+
+
+def _middle_of(row) -> Middle | None:
+    if row is None:
+        return None
+    upper = row["_lo"] if row["_before"] + row["_n"] >= row["_total"] // 2 + 1 else row["_after"]
+    return Middle(row["_total"], row["_lo"], upper)
+
+
+def middle(df: DataFrame, value: str) -> Middle | None:
+    """Exact middle of a column, None for no values.
+
+    Runs up to three short jobs. Each brings one row to the driver, the cell of
+    the wanted rank; the next one scans only its range, as pushed-down bounds.
+    """
+    values = _values(df, value, [])
+    cells = values.groupBy(_octave_cell(F.col("_v")).alias("_cell")).agg(*_counted())
+    row = _locate(cells, [], "_cell", first=True).first()
+    for exact in (False, True):
+        if row is None or row["_lo"] == row["_hi"]:
+            break
+        if not exact and row["_n"] <= EXACT_ROWS:
+            continue
+        known = [F.lit(row[c]).cast("double" if c in ("_after", "_lo", "_hi") else "bigint").alias(c) for c in (*CARRIED, "_lo", "_hi")]
+        inside = values.filter(F.col("_v").between(row["_lo"], row["_hi"])).select("_v", *known)
+        row = _locate(_count_cells(inside, [], exact), [], "_cell", first=False).first()
+    return _middle_of(row)
+
+
+def middle_integers(df: DataFrame, value: str) -> Middle | None:
+    """``middle`` of a column with few distinct values, from their counts in one pass."""
+    cells = _values(df, value, []).groupBy(F.col("_v").alias("_cell")).agg(*_counted())
+    return _middle_of(_locate(cells, [], "_cell", first=True).first())
 
 
-def median_scalar(df: DataFrame, value: str | Column) -> Column:
-    """Exact median as a scalar subquery column (NULL for no values)."""
-    return middle_values(df, value).select((F.col("lower_mid") + F.col("upper_mid")) / 2).scalar()
+def median_literal(found: Middle | None) -> Column:
+    return F.lit(None if found is None else found.median).cast("double")
 
 
 def grouped_median(
@@ -141,7 +163,7 @@ def grouped_median(
     if hot.isEmpty():
         return df.groupBy(*keys).agg(simple)
     cool = df.join(hot, keys, "left_anti").groupBy(*keys).agg(simple)
-    middle = _middle_by_cells(df.join(hot, keys, "left_semi"), F.col(value), keys)
+    middle = _middle_by_cells(df.join(hot, keys, "left_semi"), value, keys)
     return cool.unionByName(
         middle.select(*keys, ((F.col("lower_mid") + F.col("upper_mid")) / 2).alias(out))
     )

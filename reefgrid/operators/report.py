@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reefgrid.functions.names import elapsed_minutes, log_stage, metric
 from reefgrid.functions.sizing import percent
-from reefgrid.operators.ranks import middle_values
+from reefgrid.operators.ranks import middle
 
 
 def feature_stats(keypoints: DataFrame) -> DataFrame:
@@ -34,12 +34,13 @@ def db_counts(
 
 def model_stats(images: DataFrame, points: DataFrame) -> DataFrame:
     """Registered images, points and their error; the median is the upper one."""
+    found = middle(points, "error")
     sums = points.agg(
         F.count(F.lit(1)).alias("total_points"), F.avg("error").alias("error_mean"), F.max("error").alias("error_max")
     )
     return sums.withColumns({
         "registered_images": images.agg(F.count(F.lit(1))).scalar(),
-        "error_median": middle_values(points, "error").select("upper_mid").scalar(),
+        "error_median": F.lit(found.upper if found else None).cast("double"),
     })
 
 

@@ -7,7 +7,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reefgrid.operators.ranks import median_scalar
+from reefgrid.operators.ranks import median_literal, middle
 
 
 @dataclass(frozen=True)
@@ -42,10 +42,8 @@ def point_tiers(
 
     ``errors`` may name a cheaper table with the same ``error`` values, for the median.
     """
-    median = median_scalar(points if errors is None else errors, "error")
-    with_median = points.withColumn("_median", median)
-    tier = tier_of(F.col("error"), F.col("track_length"), F.col("_median"), th)
-    return with_median.withColumn("tier", tier).drop("_median")
+    median = median_literal(middle(points if errors is None else errors, "error"))
+    return points.withColumn("tier", tier_of(F.col("error"), F.col("track_length"), median, th))
 
 
 def tier_counts(tiered: DataFrame) -> DataFrame:
@@ -106,7 +104,7 @@ def tier_summary(tiered: DataFrame) -> DataFrame:
 
 def tier_manifest(tiered: DataFrame, th: TierThresholds = TierThresholds()) -> DataFrame:
     """One row of thresholds and cumulative counts."""
-    median = median_scalar(tiered, "error")
+    median = median_literal(middle(tiered, "error"))
     upto = lambda n: F.count_if(F.col("tier").between(1, n))
     counts = tiered.agg(
         upto(1).alias("tier1"), upto(2).alias("tier2"), upto(3).alias("tier3"),

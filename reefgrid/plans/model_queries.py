@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reefgrid.operators import quality, tiers
-from reefgrid.operators.ranks import grouped_median, middle_values
+from reefgrid.operators.ranks import grouped_median, middle
 from reefgrid.plans.base import Registry, rnd
 from reefgrid.plans.oracle_views import with_views
 from reefgrid.plans.views import Survey
@@ -31,10 +31,11 @@ def point_stats(s: Survey):
 
 
 @query("upper_median", with_views("points") + """
-    SELECT error AS upper_median FROM (SELECT error, row_number() OVER (ORDER BY error) AS rn, count(*) OVER () AS n FROM points)
+    SELECT n AS n_points, error AS upper_median FROM (SELECT error, row_number() OVER (ORDER BY error) AS rn, count(*) OVER () AS n FROM points)
     WHERE rn = n // 2 + 1""")
 def upper_median(s: Survey):
-    return middle_values(s.points(), "error").select(F.col("upper_mid").alias("upper_median"))
+    found = middle(s.points(), "error")
+    return s.points().agg(F.count("error").alias("n_points")).withColumn("upper_median", F.lit(found.upper))
 
 
 @query("track_lengths", with_views("tracked") + """

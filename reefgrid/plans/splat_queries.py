@@ -156,13 +156,14 @@ def _component_sql(source: str) -> str:
     )
 
 
-@query("auto_radius", with_views("splats") + ", " + _radius_sql("splats") + "SELECT round(nn, 6) AS nn_median, round(r, 6) AS radius FROM rad")
+@query("auto_radius", with_views("splats") + ", " + _radius_sql("splats") + "SELECT (SELECT count(*) FROM splats) AS n_splats, round(r, 6) AS radius FROM rad")
 def auto_radius_query(s: Survey):
-    return auto_radius(s.splats(), "splat_id", clean.XYZ).select(rnd("nn_median"), rnd("radius"))
+    radius = auto_radius(s.splats(), "splat_id", clean.XYZ)
+    return s.splats().agg(F.count(F.lit(1)).alias("n_splats"), F.round(F.lit(radius), 6).alias("radius"))
 
 
 def _labelled(s: Survey):
-    radius = auto_radius(s.splats(), "splat_id", clean.XYZ).first()["radius"]
+    radius = auto_radius(s.splats(), "splat_id", clean.XYZ)
     return components.radius_components(s.splats(), "splat_id", clean.XYZ, radius)
 
 
@@ -184,7 +185,7 @@ def component_sizes(s: Survey):
     SELECT splat_id FROM lab WHERE component IN (SELECT component FROM lab GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 2)""")
 def component_keep(s: Survey):
     df = s.splats()
-    radius = auto_radius(df, "splat_id", clean.XYZ).first()["radius"]
+    radius = auto_radius(df, "splat_id", clean.XYZ)
     return clean.keep_largest(df, "splat_id", radius, 2).select("splat_id")
 
 

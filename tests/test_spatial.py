@@ -48,8 +48,8 @@ def test_knn_with_too_few_points(spark):
 def test_auto_radius(spark):
     p = skewed()[:400]
     want = 3 * np.median(np.sort(distances(p), axis=1)[:, 1])
-    got = knn.auto_radius(frame(spark, p), "splat_id", XYZ, box_rows=60).first()
-    assert got["radius"] == pytest.approx(want, rel=1e-12)
+    got = knn.auto_radius(frame(spark, p), "splat_id", XYZ, box_rows=60)
+    assert got == pytest.approx(want, rel=1e-12)
 
 
 def test_outlier_passes_match_and_shrink(spark):
