@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from reefgrid.session import pin
 
-SPLIT = 4
+FEW_PAIRS = 64
+SPLIT = 2  # a finer cut would pair many more boxes per round
 
 
 def connected_components(edges: DataFrame, a: str, b: str, nodes: DataFrame | None = None) -> DataFrame:
@@ -108,9 +109,10 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
     Points of one grid cell with diagonal below the radius are all connected,
     so cells are the graph's nodes. Whether two cells hold a pair within the
     radius is decided on the tight boxes of their points: surely linked, surely
-    apart, or undecided. Undecided boxes are cut in ``SPLIT`` along each axis and
-    only the parts that can still hold the closest pair go on. No points are
-    ever paired with points, however full a cell is.
+    apart, or undecided. Undecided pairs of near-empty cells compare their few
+    points. All others are cut in ``SPLIT`` along each axis, and only the parts
+    that can still hold the closest pair go on: however full a cell is, its
+    points are never paired with those of another.
     """
     d = len(coords)
     side = radius / math.sqrt(d) * (1 - 1e-6)
@@ -120,7 +122,9 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
         F.col(id_col).cast("bigint").alias("pid"), *[F.col(c).cast("double").alias(c) for c in coords]
     ).withColumns({f"cell_{c}": F.floor(F.col(c) / side) for c in coords})
     points = pin(points)
-    cells = pin(points.groupBy(*cell).agg(F.min("pid").alias("node"), *_box(coords)))
+    cells = pin(points.groupBy(*cell).agg(
+        F.min("pid").alias("node"), F.count(F.lit(1)).alias("n"), *_box(coords)
+    ))
 
     reach = math.ceil(math.sqrt(d))
     steps = [[]]
@@ -138,18 +142,24 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
     bounded = pairs.withColumns({"near": _span(coords, True), "far": _span(coords, False)}).filter(
         F.col("near") <= radius
     )
-    bounded = pin(bounded.select("a_node", "b_node", "near", "far"))
+    boxes = {s: [f"{s}_{end}_{c}" for end in ("lo", "hi") for c in coords] for s in "ab"}
+    few = F.col("a_n") * F.col("b_n") <= FEW_PAIRS
+    bounded = pin(bounded.select("a_node", "b_node", "near", "far", few.alias("few"), *boxes["a"], *boxes["b"]))
     links = bounded.filter(F.col("far") <= radius).select("a_node", "b_node")
-    open_ = bounded.filter(F.col("far") > radius).select(
-        "a_node", "b_node", *[F.lit(0).cast("bigint").alias(f"{s}_{c}") for s in "ab" for c in sub]
+    unsure = bounded.filter(F.col("far") > radius)
+    tagged = points.join(cells.select(*cell, "node"), cell).select("node", *coords)
+    each = unsure.filter("few").select("a_node", "b_node")
+    for s in "ab":
+        each = each.join(tagged.select(F.col("node").alias(f"{s}_node"), *[F.col(c).alias(f"{s}_{c}") for c in coords]), f"{s}_node")
+    gap = F.expr("sqrt(" + " + ".join(f"(a_{c} - b_{c}) * (a_{c} - b_{c})" for c in coords) + ")")
+    links = links.unionByName(each.filter(gap <= radius).select("a_node", "b_node").distinct())
+    open_ = unsure.filter(~F.col("few")).select(
+        "a_node", "b_node", *[F.lit(0).cast("bigint").alias(f"{s}_{c}") for s in "ab" for c in sub], *boxes["a"], *boxes["b"]
     )
 
     level = 0
-    tagged = None
     while not open_.isEmpty():
         level += 1
-        if tagged is None:
-            tagged = points.join(cells.select(*cell, "node"), cell)
         involved = open_.select(F.col("a_node").alias("node")).union(open_.select("b_node")).distinct()
         scale = float(SPLIT**level)
         parts = (
@@ -162,15 +172,13 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
         )
         grown = open_
         for s in "ab":
-            half = _side(parts, s, [])
+            # Parts of side a that are too far from the whole of b never meet its parts.
+            half, grown = _side(parts, s, []), grown.drop(*boxes[s])
             on = [grown[f"{s}_node"] == half[f"{s}_node"]] + [grown[f"{s}_{c}"] == half[f"{s}_up_{c}"] for c in sub]
             grown = grown.join(half, on).drop(grown[f"{s}_node"], *[grown[f"{s}_{c}"] for c in sub]).drop(
                 *[f"{s}_up_{c}" for c in sub]
-            )
-        judged = grown.withColumns({"near": _span(coords, True), "far": _span(coords, False)}).filter(
-            F.col("near") <= radius
-        )
-        judged = pin(judged.select("a_node", "b_node", "near", "far", *[f"{s}_{c}" for s in "ab" for c in sub]))
+            ).withColumn("near", _span(coords, True)).filter(F.col("near") <= radius)
+        judged = pin(grown.withColumn("far", _span(coords, False)))
         best = judged.groupBy("a_node", "b_node").agg(F.min("far").alias("best"))
         sure = best.filter(F.col("best") <= radius).select("a_node", "b_node")
         links = links.unionByName(sure)

@@ -72,8 +72,9 @@ def labels(adjacent):
         lab = new
 
 
-@pytest.mark.parametrize("radius", [0.004, 0.3, 1.2])
-def test_radius_components(spark, radius):
+@pytest.mark.parametrize("radius,few", [(0.004, 64), (0.3, 64), (0.3, 0), (1.2, 0)])
+def test_radius_components(spark, radius, few, monkeypatch):
+    monkeypatch.setattr(components, "FEW_PAIRS", few)
     p = skewed(2)
     got = components.radius_components(frame(spark, p), "splat_id", XYZ, radius).toPandas().sort_values("splat_id")
     assert got["component"].tolist() == labels(distances(p) <= radius).tolist()
