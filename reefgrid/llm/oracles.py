@@ -43,4 +43,20 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id,
 FROM dw d JOIN comp c USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-ORACLES = {"op1_decontaminate": OP1, "op9_minmax_near_dedup": OP9}
+OP3 = """
+WITH d AS (SELECT doc_id, text, source, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, source, i, trim(ls[i], ' ' || chr(9) || chr(13)) AS line FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+bad AS (SELECT line, min(doc_id) AS first_doc FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
+gone AS (SELECT l.doc_id, l.i FROM l JOIN bad ON l.line = bad.line AND l.doc_id <> bad.first_doc),
+runs AS (SELECT doc_id, count(*) AS n, list(i) AS ids FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT k.doc_id, string_agg(k.line, chr(10) ORDER BY k.i) AS text
+  FROM (SELECT doc_id, i, ls[i] AS line FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)) k
+  LEFT JOIN gone g ON g.doc_id = k.doc_id AND g.i = k.i WHERE g.i IS NULL GROUP BY k.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(len(d.ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(k.text, '')) END AS kept_sha256
+FROM d LEFT JOIN runs r USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLES = {"op3_line_spread": OP3, "op1_decontaminate": OP1, "op9_minmax_near_dedup": OP9}
