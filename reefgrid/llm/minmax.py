@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reefgrid.llm.common import WordHashes, mixed, rolling, slices, stored, texts_of
@@ -98,15 +98,35 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _confirm(percent: int):
+def _compare(percent: int):
+    """(hub, rep, linked, beyond) of pairs with both sets.
+
+    ``beyond`` are keys under which ``rep`` must meet any document that it is
+    similar enough to and that was compared with the same hub. Such a document
+    shares ``ceil(percent % of rep's shingles)`` of them. Where the hub's own
+    shingles can make up for that, the key is the hub itself; otherwise some
+    must come from beyond the hub, so the smallest of those hashes, as many as
+    leave one less than is missing, hold a common one.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            linked, beyond = [], []
+            for hub, a, b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                outside = y[x[at] != y]
+                shared = len(y) - len(outside)
+                linked.append(100 * shared >= percent * (len(x) + len(outside)))
+                missing = -(-percent * len(y) // 100) - shared
+                if missing <= 0:
+                    # The hub alone may suffice, or together with others: both must be found.
+                    keys = np.concatenate([outside, np.zeros(1, np.uint64)])
+                else:
+                    keys = outside[: max(0, len(outside) - missing + 1)]
+                beyond.append(mixed(keys + mixed(np.full(1, hub, np.int64).view(np.uint64))).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(beyond, pa.list_(pa.int64()))],
+                ["hub", "rep", "linked", "beyond"])
     return run
 
 
@@ -116,12 +136,12 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     Documents whose shingle sets have ``100 * intersection >= percent * union``
     are linked; a component's id is its smallest ``doc_id``.
 
-    Equal sets are one node from the start. Within a band's bucket only pairs of
-    different components are compared: first with the bucket's smallest document,
-    then, as long as a bucket holds more than one component, with twice as many
-    of its documents in each round, until every pair of unlike components has
-    been compared. Buckets have no cap; a bucket of copies costs one comparison
-    per copy.
+    Equal sets are one node from the start. The documents of a band's bucket are
+    all compared with its smallest one, its hub. Two of them that may still be
+    linked with each other, but not through known links, then meet again in
+    buckets of what they hold beyond the hub, and so on until no bucket holds two
+    components. No link is lost, buckets have no cap, and a bucket of copies
+    costs one comparison per copy.
 
     Null and empty texts have no shingles and form components of their own. A
     null ``doc_id`` is linked with nothing: its component is null and it is
@@ -132,10 +152,10 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     signed = stored(source.mapInArrow(_sign, _SIGNED), "minmax-signed")
     nodes = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = nodes.join(classes, "digest").filter("doc_id = rep").select("rep", "n_shingles", "bands").dropDuplicates(["rep"])
-    keyed = reps.select("rep", "n_shingles", F.explode("bands").alias("band"))
-    crowded = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
-    buckets = stored(keyed.join(crowded, "band"), "minmax-buckets")
+    reps = nodes.join(classes, "digest").filter("doc_id = rep").select("rep", "bands").dropDuplicates(["rep"])
+    keyed = reps.select("rep", F.explode("bands").alias("bucket"))
+    crowded = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    buckets = stored(keyed.join(crowded, "bucket"), "minmax-buckets")
     wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
     sets = stored(source.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles binary").dropDuplicates(["rep"]), "minmax-sets")
     links = _links(buckets, sets, percent)
@@ -155,38 +175,25 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
 
 
 def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Confirmed links between representatives that share a band, enough of them to connect all linked ones."""
-    links = tested = labels = None
-    hubs_from, hubs_to = 0, 1
+    """Confirmed links, enough of them to connect all linked documents that share a bucket of ``(bucket, rep)``."""
+    links = labels = None
     while True:
-        state = buckets
+        state = buckets.withColumn("label", F.col("rep"))
         if labels is not None:
             state = buckets.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-            open_ = state.groupBy("band").agg(
-                F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")
-            ).filter(f"low < high AND n > {hubs_from}").select("band")
-            state = state.join(open_, "band", "left_semi")
-        else:
-            state = state.withColumn("label", F.col("rep"))
-        rank = F.row_number().over(Window.partitionBy("band").orderBy("rep"))
-        hubs = state.withColumn("rank", rank).filter(f"rank <= {hubs_to}").filter(f"rank > {hubs_from}").select(
-            "band", F.col("rep").alias("hub"), F.col("label").alias("hub_label"), F.col("n_shingles").alias("hub_n")
-        )
-        pairs = hubs.join(state, "band").filter(
-            (F.col("rep") > F.col("hub")) & (F.col("label") != F.col("hub_label"))
-            & (100 * F.least("hub_n", "n_shingles") >= percent * F.greatest("hub_n", "n_shingles"))
-        ).select("hub", "rep").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["hub", "rep"], "left_anti")
-        pairs = stored(pairs, "minmax-pairs")
-        if not pairs.isEmpty():
-            a = sets.select(F.col("rep").alias("hub"), F.col("shingles").alias("a"))
-            both = pairs.join(a, "hub").join(sets, "rep").select("hub", "rep", "a", "shingles")
-            fresh = stored(both.mapInArrow(_confirm(percent), "hub long, rep long"), "minmax-links")
-            links = fresh if links is None else links.unionByName(fresh)
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            labels = stored(connected_components(links, "hub", "rep").select(
-                F.col("node").alias("rep"), F.col("component").alias("label")), "minmax-labels")
-        elif labels is None or state.groupBy("band").count().filter(f"count > {hubs_to}").isEmpty():
+        # Buckets within one component have nothing left to tell.
+        hubs = state.groupBy("bucket").agg(F.min("rep").alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")).filter(
+            "low < high").select("bucket", "hub")
+        pairs = stored(buckets.join(hubs, "bucket").filter("rep <> hub").select("hub", "rep").distinct(), "minmax-pairs")
+        if pairs.isEmpty():
             return links
-        hubs_from, hubs_to = hubs_to, hubs_to * 2
+        a = sets.select(F.col("rep").alias("hub"), F.col("shingles").alias("a"))
+        both = pairs.join(a, "hub").join(sets, "rep").select("hub", "rep", "a", "shingles")
+        compared = stored(both.mapInArrow(_compare(percent), "hub long, rep long, linked boolean, beyond array<long>"), "minmax-compared")
+        fresh = compared.filter("linked").select("hub", "rep")
+        links = fresh if links is None else links.unionByName(fresh)
+        labels = stored(connected_components(links, "hub", "rep").select(
+            F.col("node").alias("rep"), F.col("component").alias("label")), "minmax-labels")
+        keyed = compared.select(F.explode("beyond").alias("bucket"), "rep")
+        several = keyed.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high").select("bucket")
+        buckets = stored(keyed.join(several, "bucket"), "minmax-beyond")
