@@ -11,7 +11,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +24,8 @@ BLOCK_WINDOWS = 200_000
 _LOWER = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-_INDEX = "doc_ids array<long>, text_keys array<binary>, n_words binary, terms binary, counts binary, positions binary"
-_FOUND = "doc_id long, text_key binary, n_words long, spans array<struct<begin:int,end:int>>, items array<long>"
+_INDEX = "doc_ids array<long>, text_keys array<long>, n_words binary, terms binary, counts binary, positions binary"
+_FOUND = "doc_id long, text_key long, n_words long, spans array<struct<begin:int,end:int>>, items array<long>"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -57,11 +56,10 @@ def _segments(vocabulary: dict[bytes, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = vocabulary.get
         for batch in slices(batches, "text", SEGMENT_BYTES):
-            n_words, lists, keys = [], [], []
+            n_words, lists = [], []
             for text in texts_of(batch, "text"):
                 words = words_of(text)
                 n_words.append(len(words))
-                keys.append(xxhash.xxh3_128_digest(text))
                 lists.append(np.fromiter((get(w, -1) for w in words), np.int32, len(words)))
                 lists.append(np.full(1, -1, np.int32))  # keeps phrases inside their document
             flat = np.concatenate(lists)
@@ -71,7 +69,7 @@ def _segments(vocabulary: dict[bytes, int]):
             used, counts = np.unique(terms, return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([keys], pa.list_(pa.binary())),
+                    pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([batch.column(2).to_pylist()], pa.list_(pa.int64())),
                     pa.array([np.array(n_words, np.int32).tobytes()]), pa.array([used.astype(np.int32).tobytes()]),
                     pa.array([counts.astype(np.int32).tobytes()]), pa.array([places[order].tobytes()]),
                 ],
@@ -86,7 +84,7 @@ def build_index(documents: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame
     A segment's positions count words through all its documents, with one place
     left free after each document.
     """
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     return stored(rows.mapInArrow(_segments(vocabulary), _INDEX), "postings")
 
 
@@ -170,7 +168,7 @@ def _match(phrases: list[np.ndarray], owners: list[list[int]], n_terms: int, slo
                     items[d] = sorted({i for w in {w for _, _, w in hits} for i in owners[w]})
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(doc_ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(segment.n_words, pa.int64()),
+                        pa.array(doc_ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(segment.n_words, pa.int64()),
                         pa.array(spans, pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
                         pa.array(items, pa.list_(pa.int64())),
                     ],
@@ -191,7 +189,9 @@ def _joined(spans: list[tuple[int, int]], base: int) -> list[dict]:
 
 
 def phrase_matches(documents: DataFrame, windows: DataFrame, slop: int | None = None) -> DataFrame:
-    """``(doc_id, n_words, spans, items)`` of every document row: word spans hit and the items hitting them.
+    """``(doc_id, text_key, n_words, spans, items)`` of every document row: word spans hit and the items hitting them.
+
+    ``text_key`` is the text's 64-bit hash (``xxhash64``).
 
     ``windows`` are ``(item_id, phrase)`` rows of space-separated lower-cased
     words. Without ``slop`` a phrase matches word by word. With it, a span
@@ -217,18 +217,18 @@ def phrase_matches(documents: DataFrame, windows: DataFrame, slop: int | None =
         passes += 1
     if found is None:  # no phrase at all: the documents with their word counts
         index = build_index(documents, {})
-        return index.mapInArrow(_match([np.zeros(1, np.int64)], [[]], 1, None), _FOUND).drop("text_key")
+        return index.mapInArrow(_match([np.zeros(1, np.int64)], [[]], 1, None), _FOUND)
     if passes > 1:
         found = found.groupBy("doc_id", "text_key").agg(
             F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
             (F.count(F.lit(1)) / passes).cast("int").alias("copies"),
         ).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
-    return found.select("doc_id", "n_words", "spans", "items")
+    return found.select("doc_id", "text_key", "n_words", "spans", "items")
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS) -> DataFrame:
-    """``(doc_id, n_words, spans, items, n_hit, n_items, items_sha256, contaminated)`` of every document row.
+    """``(doc_id, text_key, n_words, spans, items, n_hit, n_items, items_sha256, contaminated)`` of every document row.
 
     A null text has no words. Items with a null id or text, or without words,
     match nothing. Repeated document rows give a row each; items that share an
@@ -248,3 +248,12 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = WINDO
         "*", covered["n"].cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(listed, 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"),
     )
+
+
+def decontaminated(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS) -> DataFrame:
+    """``documents`` without the rows that hold a window of a benchmark item; all columns and other rows stay as they are."""
+    hit = contamination(documents, benchmark, width).filter("contaminated").select(
+        F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).distinct()
+    packed = documents.select(F.struct(*documents.columns).alias("row"))
+    here = F.col("row.doc_id").cast("long").eqNullSafe(F.col("hit_id")) & (F.xxhash64("row.text") == F.col("hit_key"))
+    return packed.join(hit, here, "left_anti").select(*[F.col("row").getField(c).alias(c) for c in documents.columns])

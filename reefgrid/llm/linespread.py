@@ -84,3 +84,17 @@ def remove_boilerplate(documents: DataFrame, site: str = "source", min_sites: in
         F.when(F.col("row.text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
     )
+
+
+def without_boilerplate(documents: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+    """``documents`` with boilerplate lines removed, in their own columns; ``n_chars`` follows the text.
+
+    A document that consisted of boilerplate lines only is removed.
+    """
+    found = remove_boilerplate(documents, site, min_sites)
+    bare = (F.col("n_removed") > 0) & (F.btrim("text", F.lit(_BLANKS + "\n")) == "")
+    out = found.filter(F.coalesce(~bare, F.lit(True)))
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*documents.columns)

@@ -197,3 +197,11 @@ def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
         keyed = compared.select(F.explode("beyond").alias("bucket"), "rep")
         several = keyed.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high").select("bucket")
         buckets = stored(keyed.join(several, "bucket"), "minmax-beyond")
+
+
+def without_near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
+    """``documents`` without the rows whose component has a smaller ``doc_id``; all columns and other rows stay as they are."""
+    gone = near_duplicates(documents, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    packed = documents.select(F.struct(*documents.columns).alias("row"))
+    left = packed.join(gone, F.col("row.doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    return left.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
