@@ -59,4 +59,36 @@ SELECT d.doc_id, CAST(coalesce(len(d.ls), 0) AS BIGINT) AS n_lines, CAST(coalesc
 FROM d LEFT JOIN runs r USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
-ORACLES = {"op3_line_spread": OP3, "op1_decontaminate": OP1, "op9_minmax_near_dedup": OP9}
+OP8 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT *, unnest(range(0, CAST(length(h) / 2 AS BIGINT) - 49)) AS p FROM d)),
+f AS (SELECT s, min(doc_id) AS first_doc FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT w.doc_id, w.p FROM w JOIN f ON w.s = f.s AND f.first_doc < w.doc_id),
+part AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS new FROM hit),
+isle AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM part),
+span AS (SELECT doc_id, k, min(p) AS a, max(p) + 50 AS b FROM isle GROUP BY doc_id, k),
+kept AS (
+  SELECT s.doc_id, sum(s.b - s.a) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(d.h, 2 * s.before + 1, 2 * (s.a - s.before)), '' ORDER BY s.a) || substr(any_value(d.h), 2 * max(s.b) + 1) AS h
+  FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span) s JOIN d USING (doc_id) GROUP BY s.doc_id
+)
+SELECT d.doc_id, CAST(length(d.h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(k.n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id)
+"""
+
+OP10 = rf"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '{_PART}'), []) AS ws FROM documents),
+w AS (SELECT doc_id, p, md5(array_to_string(ws[p : p + 49], ' ')) AS s FROM (SELECT *, unnest(range(1, len(ws) - 48)) AS p FROM d)),
+f AS (SELECT s, min(doc_id) AS first_doc FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT w.doc_id, w.p FROM w JOIN f ON w.s = f.s AND f.first_doc < w.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS q FROM hit),
+words AS (SELECT doc_id, q, ws[q] AS w FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS q FROM d)),
+kept AS (SELECT x.doc_id, count(*) AS n, string_agg(x.w, ' ' ORDER BY x.q) AS t FROM words x
+         LEFT JOIN gone g ON g.doc_id = x.doc_id AND g.q = x.q WHERE g.q IS NULL GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(len(d.ws) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLES = {"op8_suffix_array_dedup": OP8, "op10_phrase_automata_dedup": OP10, "op3_line_spread": OP3, "op1_decontaminate": OP1, "op9_minmax_near_dedup": OP9}

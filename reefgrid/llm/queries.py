@@ -12,8 +12,10 @@ from reefgrid.llm.decontaminate import contamination
 from reefgrid.llm.linespread import remove_boilerplate
 from reefgrid.llm.minmax import near_duplicates
 from reefgrid.llm.packing import pack_documents
+from reefgrid.llm.phrases import remove_repeated_words
 from reefgrid.llm.pstable import nearest
 from reefgrid.llm.quality import quality_scores
+from reefgrid.llm.suffixes import remove_repeated_bytes
 from reefgrid.llm.toxicity import toxicity_scores
 
 
@@ -52,13 +54,21 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeated_bytes(table(ready(spark), folder, "documents"))
+
+
 def op9_minmax_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(ready(spark), folder, "documents"))
 
 
+def op10_phrase_automata_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeated_words(table(ready(spark), folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_decontaminate, op2_best_fit_packing, op3_line_spread, op4_quality, op5_consensus_extract,
-        op6_multiprobe_ann, op7_toxicity, op9_minmax_near_dedup,
+        op6_multiprobe_ann, op7_toxicity, op8_suffix_array_dedup, op9_minmax_near_dedup, op10_phrase_automata_dedup,
     )
 }
