@@ -12,7 +12,9 @@ themselves are ranked, placed and written by the executors.
 from __future__ import annotations
 
 import math
+import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -35,41 +37,65 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class TokenBytes:
+#: Words whose characters case, compose and part the same way in Python as in the tokenizer, and their parts: letters,
+#: single digits and runs of anything else, as the tokenizer's word pattern has them.
+_PLAIN = re.compile("[!-~\u00a1-\u024f]+")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[^\\W\\d_\u00b2\u00b3\u00b9\u00bc-\u00be]+|[\\d\u00b2\u00b3\u00b9\u00bc-\u00be]|(?:[^\\w\\s]|_)+")
+
+
+class _Parts(dict):
+    """Ids of word parts, straight from the tokenizer's merges; a bounded cache."""
+
+    def __init__(self, model):
+        self.model = model
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in printed]
+        self.letters = {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        letters = part.encode().decode("latin-1").translate(self.letters)
+        value = self[part] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return value
+
+
+class TokenBytes(dict):
     """Token ids of texts as little-endian 32-bit numbers.
 
     This tokenizer's normaliser and word pattern never join characters across
-    white space, so a text's ids are those of its white-space separated parts,
-    which are remembered within a bounded cache.
+    white space, so a text's ids are those of its white-space separated words,
+    which are remembered within a bounded cache. Words of plain letters are
+    lower-cased and parted here; any other goes through the tokenizer itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.parts = _Parts(self.tokenizer.model)
 
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        fresh = list({w for words in split for w in words if w not in self.known})
-        for i in range(0, len(fresh), 4096):
-            part = fresh[i : i + 4096]
-            for word, encoding in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[word] = b"".join(x.to_bytes(4, "little") for x in encoding.ids)
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        text = word.decode()
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            value = b"".join(map(self.parts.__getitem__, _PARTS.findall(text.lower())))
+        else:
+            value = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self[word] = value
+        return value
+
+    def of(self, text: bytes) -> bytes:
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def _cut(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokens = TokenBytes(path)
         for batch in slices(batches, "text"):
             rows: list[tuple] = []
-            for doc, ids in zip(batch.column(0).to_pylist(), tokens.of(texts_of(batch, "text"))):
+            for doc, ids in zip(batch.column(0).to_pylist(), map(tokens.of, texts_of(batch, "text"))):
                 ids += b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
