@@ -50,13 +50,14 @@ _NOISE = re.compile(
 )
 _WELCOME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|body|content|entry|main|post|story|text)(?=$|[\s_-])", re.I)
 _DIGITS = re.compile(r"\d+")
+PATH_STEPS = 12
 
 
 class Page:
     """Blocks of text of a page, each with the chain of elements around it."""
 
     def __init__(self, source: str):
-        self.paths: list[str] = [""]
+        self.steps: list[str] = [""]
         self.tags: list[str] = [""]
         self.parents: list[int] = [-1]
         self.noise: list[bool] = [False]
@@ -137,7 +138,7 @@ class Page:
                 or "display:none" in found.get("style", "").replace(" ", "").lower())
             welcome = bool(_WELCOME.search(names))
         inside = self.inside[parent]
-        self.paths.append(f"{self.paths[parent]}/{step}")
+        self.steps.append("" if tag in ("html", "body") else step)
         self.tags.append(tag)
         self.parents.append(parent)
         self.noise.append(self.noise[parent] or noise or tag in _NOISE_TAGS or (tag == "header" and not inside))
@@ -145,6 +146,15 @@ class Page:
         self.welcome.append(welcome)
         return len(self.tags) - 1
 
+    def path(self, element: int) -> str:
+        """The innermost PATH_STEPS generalised steps to an element; html and body, which may be left out, are none."""
+        steps: list[str] = []
+        while element > 0 and len(steps) < PATH_STEPS:
+            if self.steps[element]:
+                steps.append(self.steps[element])
+            element = self.parents[element]
+        return "/".join(reversed(steps))
+
     def scores(self) -> dict[int, float]:
         """Text that each container holds itself, and half of what its child containers hold."""
         out: dict[int, float] = {}
@@ -168,28 +178,28 @@ class Page:
         """Per mille of the best score that the page's good container paths reach."""
         by_path: dict[str, float] = {}
         for element, score in self.scores().items():
-            path = self.paths[element]
+            path = self.path(element)
             by_path[path] = by_path.get(path, 0.0) + score
         best = max(by_path.values(), default=0.0)
-        return {p: round(1000 * s / best) for p, s in by_path.items() if best > 0 and s >= best / 2}
+        return {p: round(1000 * s / best) for p, s in by_path.items() if p and best > 0 and s >= best / 2}
 
     def text(self, path: str | None) -> str:
         """Blocks within the elements of ``path``; without such, within the page's best container, or all."""
-        roots = {i for i, p in enumerate(self.paths) if p == path and not self.noise[i]} if path else set()
-        if roots and not any(len(t) > 2 * n for e, t, n in self.blocks if self._under(e, roots) and not self.noise[e]):
-            roots = set()
-        if not roots:
+        roots = set()
+        if path:
+            roots = {i for i, t in enumerate(self.tags) if t in _CONTAINERS and not self.noise[i] and self.path(i) == path}
+        inside = self._within(roots)
+        if not any(inside[e] and not self.noise[e] for e, _, _ in self.blocks):
             scores = self.scores()
-            if scores:
-                roots = {max(scores, key=lambda e: (scores[e], -e))}
-        return "\n".join(t for e, t, _ in self.blocks if not self.noise[e] and (not roots or self._under(e, roots)))
-
-    def _under(self, element: int, roots: set[int]) -> bool:
-        while element >= 0:
-            if element in roots:
-                return True
-            element = self.parents[element]
-        return False
+            inside = self._within({max(scores, key=lambda e: (scores[e], -e))} if scores else {0})
+        return "\n".join(t for e, t, _ in self.blocks if inside[e] and not self.noise[e])
+
+    def _within(self, roots: set[int]) -> list[bool]:
+        """Whether each element is one of ``roots`` or within one."""
+        out = [0 in roots]
+        for element in range(1, len(self.tags)):
+            out.append(element in roots or out[self.parents[element]])
+        return out
 
 
 def host_of(url: Column) -> Column:

@@ -125,15 +125,16 @@ def _before(items: np.ndarray, s: np.ndarray, small: np.ndarray, wanted: bool) -
 def permuted_lcp(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
     """Length of the common prefix of each suffix, in text order, with its predecessor in the array.
 
-    Where predecessors move along with the text, the length drops by one at each
-    step, so only the places where they do not are compared letter by letter.
+    Where predecessors move along with the text and the letter left behind was
+    common, the length drops by one, so only the other places are compared
+    letter by letter.
     """
     n = len(s)
     phi = np.full(n, -1, np.int64)
     phi[sa[1:]] = sa[:-1]
     out = np.zeros(n, np.int64)
     jump = np.ones(n, bool)
-    jump[1:] = (phi[1:] != phi[:-1] + 1) | (phi[:-1] < 0)
+    jump[1:] = (phi[1:] != phi[:-1] + 1) | (phi[:-1] < 0) | (s[:-1] != s[phi[:-1]])
     at = np.flatnonzero(jump & (phi >= 0))
     i, j = at, phi[at]
     length = np.zeros(len(at), np.int64)
