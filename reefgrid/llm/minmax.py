@@ -20,10 +20,12 @@ from reefgrid.llm.common import WordHashes, mixed, rolling, slices, stored, text
 from reefgrid.operators.components import connected_components
 
 SHINGLE_WORDS = 5
-#: 70 permutations give 140 values: 35 bands of 4. A pair of similarity 0.8 shares no band
-#: with a probability of 1e-8, one of 0.85 of 6e-12.
-PERMUTATIONS = 70
-BAND_VALUES = 4
+#: 138 permutations give 276 values: 46 bands of 6. A pair of similarity 0.8 shares no band
+#: with a probability of 9e-7, one of 0.85 of 4e-10.
+PERMUTATIONS = 138
+BAND_VALUES = 6
+#: Documents of different components in one bucket that are compared each with each.
+FEW_IN_BUCKET = 1000
 BANDS = 2 * PERMUTATIONS // BAND_VALUES
 
 _SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>"
@@ -94,10 +96,34 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         sets = shingle_sets(texts_of(batch, "text"), hashes)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "shingles"]
+            [batch.column(0).cast(pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["rep", "shingles"]
         )
 
 
+def _crowded(keyed: DataFrame) -> DataFrame:
+    """The rows of buckets with more than one document."""
+    crowded = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    return keyed.join(crowded, "bucket")
+
+
+def _weights(sets: DataFrame, percent: int) -> DataFrame:
+    """``(rep, n, common)`` of the documents that can have a link: their shingles, and those that another one has too.
+
+    A pair shares no more shingles than either has in common with anyone, so
+    a document with too many of its own is linked with nothing.
+    """
+    each = sets.select("rep", F.explode("shingles").alias("shingle"))
+    shared = each.groupBy("shingle").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high").select("shingle")
+    common = each.join(shared, "shingle").groupBy("rep").agg(F.count(F.lit(1)).alias("common"))
+    return sets.select("rep", F.size("shingles").cast("long").alias("n")).join(common, "rep").filter(100 * F.col("common") >= percent * F.col("n"))
+
+
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    """The sets of a column of signed hashes, in unsigned order."""
+    flat, offsets = column.flatten().to_numpy().view(np.uint64), column.offsets.to_numpy() - column.offsets[0].as_py()
+    return [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+
+
 def _compare(percent: int):
     """(hub, rep, linked, beyond) of pairs with both sets.
 
@@ -111,19 +137,21 @@ def _compare(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked, beyond = [], []
-            for hub, a, b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            for hub, within, x, y in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), _arrays(batch.column(3)), _arrays(batch.column(4))):
                 at = np.minimum(np.searchsorted(x, y), len(x) - 1)
                 outside = y[x[at] != y]
                 shared = len(y) - len(outside)
                 linked.append(100 * shared >= percent * (len(x) + len(outside)))
+                if within is None:
+                    beyond.append(None)
+                    continue
                 missing = -(-percent * len(y) // 100) - shared
                 if missing <= 0:
                     # The hub alone may suffice, or together with others: both must be found.
                     keys = np.concatenate([outside, np.zeros(1, np.uint64)])
                 else:
                     keys = outside[: max(0, len(outside) - missing + 1)]
-                beyond.append(mixed(keys + mixed(np.full(1, hub, np.int64).view(np.uint64))).view(np.int64))
+                beyond.append(mixed(keys + mixed(np.full(1, hub, np.int64).view(np.uint64) + mixed(np.full(1, within, np.int64).view(np.uint64)))).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(beyond, pa.list_(pa.int64()))],
                 ["hub", "rep", "linked", "beyond"])
@@ -140,8 +168,9 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     all compared with its smallest one, its hub. Two of them that may still be
     linked with each other, but not through known links, then meet again in
     buckets of what they hold beyond the hub, and so on until no bucket holds two
-    components. No link is lost, buckets have no cap, and a bucket of copies
-    costs one comparison per copy.
+    components; in such a bucket of up to FEW_IN_BUCKET documents each is compared
+    with each of another component at once. No link is lost, buckets have no cap,
+    and a bucket of copies costs one comparison per copy.
 
     Null and empty texts have no shingles and form components of their own. A
     null ``doc_id`` is linked with nothing: its component is null and it is
@@ -154,11 +183,11 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     classes = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = nodes.join(classes, "digest").filter("doc_id = rep").select("rep", "bands").dropDuplicates(["rep"])
     keyed = reps.select("rep", F.explode("bands").alias("bucket"))
-    crowded = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    buckets = stored(keyed.join(crowded, "bucket"), "minmax-buckets")
+    buckets = stored(_crowded(keyed), "minmax-buckets")
     wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    sets = stored(source.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles binary").dropDuplicates(["rep"]), "minmax-sets")
-    links = _links(buckets, sets, percent)
+    sets = stored(source.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles array<long>").dropDuplicates(["rep"]), "minmax-sets")
+    weights = stored(_weights(sets, percent), "minmax-weights")
+    links = _links(stored(_crowded(buckets.join(weights, "rep").select("bucket", "rep")), "minmax-linkable"), sets, weights, percent)
     members = nodes.select("doc_id", "digest").join(classes, "digest").select("doc_id", "rep").distinct()
     if links is not None:
         labels = connected_components(links, "hub", "rep").withColumnRenamed("node", "rep")
@@ -174,21 +203,32 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     )
 
 
-def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+def _links(buckets: DataFrame, sets: DataFrame, weights: DataFrame, percent: int) -> DataFrame | None:
     """Confirmed links, enough of them to connect all linked documents that share a bucket of ``(bucket, rep)``."""
     links = labels = None
+    settled = 0  # the first time, hubs alone make one component of most buckets
     while True:
         state = buckets.withColumn("label", F.col("rep"))
         if labels is not None:
             state = buckets.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         # Buckets within one component have nothing left to tell.
-        hubs = state.groupBy("bucket").agg(F.min("rep").alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")).filter(
-            "low < high").select("bucket", "hub")
-        pairs = stored(buckets.join(hubs, "bucket").filter("rep <> hub").select("hub", "rep").distinct(), "minmax-pairs")
+        open_ = state.groupBy("bucket").agg(
+            F.min("rep").alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")
+        ).filter("low < high")
+        pairs = buckets.join(open_.filter(F.col("n") > settled).select("bucket", "hub"), "bucket").filter("rep <> hub").select(
+            "hub", "rep", (F.col("bucket") if settled else F.lit(0)).cast("long").alias("within"))
+        if settled:
+            few = state.join(open_.filter(F.col("n") <= settled).select("bucket"), "bucket").join(weights.withColumnRenamed("n", "size"), "rep")
+            ahead = few.select("bucket", F.col("rep").alias("hub"), F.col("label").alias("hub_label"), F.col("size").alias("hub_size"), F.col("common").alias("hub_common"))
+            most = F.least("common", "hub_common", "size", "hub_size")
+            within = ahead.join(few, "bucket").filter("rep > hub AND label <> hub_label").filter(
+                (100 + percent) * most >= percent * (F.col("size") + F.col("hub_size")))
+            pairs = pairs.unionByName(within.select("hub", "rep", F.lit(None).cast("long").alias("within")))
+        pairs = stored(pairs.distinct(), "minmax-pairs")
         if pairs.isEmpty():
             return links
         a = sets.select(F.col("rep").alias("hub"), F.col("shingles").alias("a"))
-        both = pairs.join(a, "hub").join(sets, "rep").select("hub", "rep", "a", "shingles")
+        both = pairs.join(a, "hub").join(sets, "rep").select("hub", "rep", "within", "a", "shingles")
         compared = stored(both.mapInArrow(_compare(percent), "hub long, rep long, linked boolean, beyond array<long>"), "minmax-compared")
         fresh = compared.filter("linked").select("hub", "rep")
         links = fresh if links is None else links.unionByName(fresh)
@@ -197,6 +237,7 @@ def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
         keyed = compared.select(F.explode("beyond").alias("bucket"), "rep")
         several = keyed.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high").select("bucket")
         buckets = stored(keyed.join(several, "bucket"), "minmax-beyond")
+        settled = FEW_IN_BUCKET
 
 
 def without_near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
