@@ -34,6 +34,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    # Shuffle files of what has been written go when the driver's JVM collects its garbage.
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -81,13 +83,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def rolling(x: np.ndarray, width: int) -> np.ndarray:
     """Polynomial hash of every ``width`` neighbours of ``x`` (uint64), mixed; empty if there are fewer."""
-    if len(x) < width:
+    n = len(x) - width + 1
+    if n < 1:
         return np.zeros(0, np.uint64)
-    total = np.zeros(len(x) - width + 1, np.uint64)
-    base = np.uint64(0x9E3779B97F4A7C15)
-    for i in range(width):
-        total *= base
-        total += x[i : len(x) - width + 1 + i]
+    base, power, done, total, part = 0x9E3779B97F4A7C15, 1, 0, np.zeros(n, np.uint64), x
+    while power <= width:  # part: hashes of `power` neighbours
+        if width & power:
+            total = total * np.uint64(pow(base, power, 1 << 64)) + part[done : done + n]
+            done += power
+        if power * 2 <= width:
+            part = part[:-power] * np.uint64(pow(base, power, 1 << 64)) + part[power:]
+        power *= 2
     return mixed(total)
 
 

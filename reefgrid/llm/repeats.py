@@ -25,17 +25,17 @@ WIDTH = 50
 RUN_WINDOWS = 64
 #: Text of one slice of the anchor search, text per bin of anchors, and cut-out text per bin of the comparison.
 SLICE = 8 << 20
-BIN_TEXT = 12 << 20
+BIN_TEXT = 24 << 20
 SHARD_BYTES = 2 << 20
 #: Distinct cut-outs of one anchor beyond which its windows are grouped one by one instead of in one task.
 CROWDED = 4000
 
 #: Of one slice and bin: all texts with their numbers of runs, then the anchors, the runs that have them, and for each
 #: anchor twice its number of runs plus 1 if two of the slice's texts have it.
-_BLOBS = "bin int, doc_ids array<long>, text_keys array<long>, runs binary, anchors binary, places binary, local binary"
-_FLAGS = "doc_id long, text_key long, flagged binary"
-_CUTS = "anchor long, f1 long, f2 long, cut binary, doc_id long, text_key long, begin int"
-_COVER = "f1 long, f2 long, firsts binary"
+_BLOBS = "bin int, text_keys array<long>, runs binary, anchors binary, places binary, local binary"
+_FLAGS = "text_key long, flagged binary"
+_CUTS = "anchor long, f1 long, cut binary, doc_id long, text_key long, begin int"
+_COVER = "anchor long, f1 long, firsts binary"
 _MARKS = "doc_id long, text_key long, spans binary"
 
 
@@ -104,7 +104,7 @@ def runs_of(arrays: list[np.ndarray], gram: int) -> tuple[np.ndarray, np.ndarray
     return text[starts], begin[starts], np.diff(np.append(starts, len(at))), least[starts]
 
 
-def _chunks(texts: list[bytes], limit: int = 2 << 20) -> Iterator[list[bytes]]:
+def _chunks(texts: list[bytes], limit: int = 1 << 18) -> Iterator[list[bytes]]:
     part, size = [], 0
     for t in texts:
         part.append(t)
@@ -140,7 +140,7 @@ def _anchors(kind: type, bins: int):
             cuts = np.searchsorted(bin_[order], np.arange(bins + 1))
             back = np.argsort(which, kind="stable").astype(np.int32)
             back_starts = np.append(np.searchsorted(which[back], np.arange(len(keys))), len(back))
-            ids, text_keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            text_keys = batch.column(2)
             for b in range(bins):
                 mine = order[cuts[b] : cuts[b + 1]]
                 if len(mine):
@@ -148,23 +148,34 @@ def _anchors(kind: type, bins: int):
                     n = back_starts[mine + 1] - back_starts[mine]
                     places = np.concatenate([back[back_starts[k] : back_starts[k + 1]] for k in mine]) if n.max() > 1 else first[mine].astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([b], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([text_keys], pa.list_(pa.int64())),
-                         pa.array([runs.tobytes()]), pa.array([keys[mine].tobytes()]), pa.array([places.tobytes()]),
+                        [pa.array([b], pa.int32()), pa.ListArray.from_arrays([0, len(text_keys)], text_keys),
+                         pa.array([runs.tobytes()]), pa.array([_packed(keys[mine])]), pa.array([places.tobytes()]),
                          pa.array([(n.astype(np.int32) * 2 + settled[mine]).astype(np.int32).tobytes()])],
-                        ["bin", "doc_ids", "text_keys", "runs", "anchors", "places", "local"])
+                        ["bin", "text_keys", "runs", "anchors", "places", "local"])
     return run
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """The upper 48 bits of each anchor: the few that agree in those alone are told apart when cut out."""
+    return keys.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
 def _shared(table: pa.Table) -> pa.Table:
     """Runs whose anchor stands in two texts, of one bin of anchors."""
     rows = [[table.column(c)[i].as_py() for c in ("runs", "anchors", "places", "local")] for i in range(table.num_rows)]
-    anchors = [np.frombuffer(r[1], np.uint64) for r in rows]
+    anchors = [_unpacked(r[1]) for r in rows]
     local = [np.frombuffer(r[3], np.int32) for r in rows]
     keys, which, n = np.unique(np.concatenate(anchors), return_inverse=True, return_counts=True)
     settled = np.concatenate(local) & 1
     common = (n > 1) | (np.bincount(which, settled, len(keys)) > 0)
     keep = common[which]
-    ids, text_keys, flagged, at = [], [], [], 0
+    text_keys, flagged, at = [], [], 0
     for i, (runs, _, places, _) in enumerate(rows):
         mine = keep[at : at + len(anchors[i])]
         at += len(anchors[i])
@@ -175,12 +186,11 @@ def _shared(table: pa.Table) -> pa.Table:
         owner = np.searchsorted(starts, chosen, "right") - 1
         nth = (chosen - starts[owner]).astype(np.int32)
         first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-        doc, key = table.column("doc_ids")[i].as_py(), table.column("text_keys")[i].as_py()
+        key = table.column("text_keys")[i].as_py()
         for a, b in zip(first, np.append(first[1:], len(owner))):
-            ids.append(doc[owner[a]])
             text_keys.append(key[owner[a]])
             flagged.append(nth[a:b].tobytes())
-    return pa.table([pa.array(ids, pa.int64()), pa.array(text_keys, pa.int64()), pa.array(flagged, pa.binary())], ["doc_id", "text_key", "flagged"])
+    return pa.table([pa.array(text_keys, pa.int64()), pa.array(flagged, pa.binary())], ["text_key", "flagged"])
 
 
 def _cut(kind: type):
@@ -191,16 +201,16 @@ def _cut(kind: type):
             text, begin, n, anchor = runs_of([u[1] for u in units], grain.gram)
             per_text = np.bincount(text, minlength=len(units))
             starts = np.cumsum(per_text) - per_text
-            chosen = [np.frombuffer(b"".join(f), np.int32) + s for f, s in zip(batch.column(3).to_pylist(), starts)]
-            at = np.concatenate(chosen)
+            # Texts whose keys happen to agree share their flags; what one lacks of the other's is passed over.
+            flagged = [np.unique(np.frombuffer(b"".join(f), np.int32)) for f in batch.column(3).to_pylist()]
+            at = np.concatenate([f[f < n] + s for f, n, s in zip(flagged, per_text, starts)])
             cuts = [grain.cut(units[t][0], b, b + k + WIDTH - 1) for t, b, k in zip(text[at].tolist(), begin[at].tolist(), n[at].tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor[at].view(np.int64)),
                  pa.array(np.fromiter(map(xxhash.xxh3_64_intdigest, cuts), np.uint64, len(cuts)).view(np.int64)),
-                 pa.array(np.fromiter((xxhash.xxh64_intdigest(c) for c in cuts), np.uint64, len(cuts)).view(np.int64)),
                  pa.array(cuts, pa.binary()), batch.column(0).take(pa.array(text[at])), batch.column(2).take(pa.array(text[at])),
                  pa.array(begin[at].astype(np.int32))],
-                ["anchor", "f1", "f2", "cut", "doc_id", "text_key", "begin"])
+                ["anchor", "f1", "cut", "doc_id", "text_key", "begin"])
     return run
 
 
@@ -254,18 +264,18 @@ def marks(documents: DataFrame, kind: type, compare: Callable[[list[tuple[int, l
     blobs = source.mapInArrow(_anchors(kind, bins), _BLOBS)
     flags = blobs.groupBy("bin").applyInArrow(_shared, _FLAGS)
     own = classes.filter("doc_id = earlier").select("doc_id", "text_key")
-    flags = flags.join(own, ["doc_id", "text_key"], "left_semi").groupBy("doc_id", "text_key").agg(F.collect_list("flagged").alias("flagged"))
+    flags = flags.groupBy("text_key").agg(F.collect_list("flagged").alias("flagged")).join(own, "text_key")
     # Equal rows that repeat an id are one document here.
     met = source.join(flags, ["doc_id", "text_key"]).select("doc_id", "text", "text_key", "flagged")
     cuts = stored(met.mapInArrow(_cut(kind), _CUTS), "repeats-cuts")
-    distinct = stored(cuts.groupBy("anchor", "f1", "f2", "cut").agg(F.min("doc_id").alias("first")), "repeats-distinct")
+    distinct = stored(cuts.groupBy("anchor", "f1", "cut").agg(F.min("doc_id").alias("first")), "repeats-distinct")
     sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     crowded = stored(sizes.filter(F.col("n") > CROWDED).select("anchor"), "repeats-crowded")
     usual = distinct.join(crowded, "anchor", "left_anti")
     shards = max(16, math.ceil((distinct.agg(F.sum(F.octet_length("cut")).alias("n")).first()["n"] or 0) / SHARD_BYTES))
     cover = usual.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(_sharded(compare, kind), _COVER)
     cover = cover.unionByName(_crowded(distinct.join(crowded, "anchor"), kind))
-    spans = cuts.select("f1", "f2", "doc_id", "text_key", "begin").join(cover, ["f1", "f2"]).select("doc_id", "text_key", "begin", "firsts")
+    spans = cuts.select("anchor", "f1", "doc_id", "text_key", "begin").join(cover, ["anchor", "f1"]).select("doc_id", "text_key", "begin", "firsts")
     found = spans.mapInArrow(_spans, _MARKS).groupBy("doc_id", "text_key").agg(F.collect_list("spans").alias("spans"))
     copies = classes.filter("doc_id > earlier")
     return copies.withColumn("spans", F.lit(None).cast("array<binary>")).unionByName(found.withColumn("earlier", F.lit(None).cast("long")))
@@ -293,7 +303,7 @@ def _sharded(compare, kind: type):
                     n = windows_in(cuts[i], kind)
                     out[i] = flat[at : at + n].astype(np.int64).tobytes()
                     at += n
-        return pa.table([table.column("f1"), table.column("f2"), pa.array(out, pa.binary())], ["f1", "f2", "firsts"])
+        return pa.table([table.column("anchor"), table.column("f1"), pa.array(out, pa.binary())], ["anchor", "f1", "firsts"])
     return run
 
 
@@ -304,7 +314,7 @@ def windows_in(cut: bytes, kind: type) -> int:
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         packed = [np.array([w["first"] for w in sorted(ws, key=lambda w: w["at"])], np.int64).tobytes() for ws in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["f1", "f2", "firsts"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["anchor", "f1", "firsts"])
 
 
 def _crowded(distinct: DataFrame, kind: type) -> DataFrame:
@@ -312,6 +322,6 @@ def _crowded(distinct: DataFrame, kind: type) -> DataFrame:
     n = F.expr("octet_length(cut)" if kind is Bytes else "size(split(cast(cut AS string), ' '))") - WIDTH
     windows = distinct.withColumn("at", F.explode(F.sequence(F.lit(0), n))).withColumn("window", Bytes.window("cut", "at") if kind is Bytes else Words.window("cut", "at"))
     least = windows.groupBy("anchor", "window").agg(F.min("first").alias("least"))
-    placed = windows.drop("first").join(least, ["anchor", "window"]).groupBy("f1", "f2").agg(
+    placed = windows.drop("first").join(least, ["anchor", "window"]).groupBy("anchor", "f1").agg(
         F.collect_list(F.struct("at", F.col("least").alias("first"))).alias("windows"))
     return placed.mapInArrow(_pack, _COVER)

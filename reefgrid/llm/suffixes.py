@@ -35,35 +35,38 @@ def classify(s: np.ndarray) -> np.ndarray:
 
 def _sorted_lms(s: np.ndarray, lms: np.ndarray, depth: int) -> np.ndarray:
     """LMS suffixes in the order of their first ``depth`` letters."""
-    # Names of the LMS substrings, each with the letter it ends on, seven letters at a time.
+    # Names of the LMS substrings, each with the letter it ends on, four letters at a time.
     ends = np.append(lms[1:], len(s) - 1)
     padded = np.concatenate([s.astype(np.int64) + 1, np.zeros(8, np.int64)])
     name = np.zeros(len(lms), np.int64)
     at = lms.copy()
     while True:
-        key = np.zeros(len(lms), np.int64)
-        for j in range(5):
-            letter = padded[np.minimum(at + j, len(padded) - 1)]
-            key = key * 512 + np.where(at + j <= ends, letter, 0)
-        order = np.lexsort((key, name))
-        new = np.append(False, (name[order][1:] != name[order][:-1]) | (key[order][1:] != key[order][:-1]))
-        fresh = np.empty(len(lms), np.int64)
-        fresh[order] = np.cumsum(new)
-        name, at = fresh, at + 5
+        key = name
+        for j in range(4):
+            key = key * 512 + np.where(at + j <= ends, padded[np.minimum(at + j, len(padded) - 1)], 0)
+        name = _ranks(key)
+        at = at + 4
         if (at > ends).all() or (at - lms).max() > depth:
             break
-    # The string of names in turn: ranks of 1, 2, 4, ... names until all differ or depth is reached.
+    # The string of names in turn: ranks of 1, 2, 4, ... names until all differ or depth is reached. A name but the
+    # last has two letters at least.
     span = 1
-    while span < depth and name.max(initial=0) < len(lms) - 1:
+    while 2 * span <= depth and name.max(initial=0) < len(lms) - 1:
         following = np.concatenate([name[span:] + 1, np.zeros(min(span, len(name)), np.int64)])[: len(name)]
-        order = np.lexsort((following, name))
-        new = np.append(False, (name[order][1:] != name[order][:-1]) | (following[order][1:] != following[order][:-1]))
-        fresh = np.empty(len(lms), np.int64)
-        fresh[order] = np.cumsum(new)
-        name, span = fresh, span * 2
+        name = _ranks(name * (len(lms) + 1) + following)
+        span *= 2
     return lms[np.argsort(name, kind="stable")]
 
 
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """Rank of each key among the distinct ones."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.cumsum(np.append(0, ordered[1:] != ordered[:-1]))
+    return out
+
+
 def _deal(items: np.ndarray, letters: np.ndarray, buckets: list[list[np.ndarray]]) -> None:
     """Append items to the buckets of their letters, in order."""
     if not len(items):
