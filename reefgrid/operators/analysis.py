@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from reefgrid.operators import quality, tiers
 from reefgrid.session import pin
@@ -26,9 +25,9 @@ def analyze_model(
 ) -> Analysis:
     """Analyse a text model. Stored errors that are all zero are computed from the cameras."""
     cameras = read_cameras(spark, f"{model_dir}/cameras.txt")
-    images, obs = (pin(df) for df in read_images(spark, f"{model_dir}/images.txt"))
+    images, obs = read_images(spark, f"{model_dir}/images.txt")
     points = pin(read_points(spark, f"{model_dir}/points3D.txt"))
-    missing = quality.errors_missing(points, ["file", "block", "seq"]).first()["errors_missing"]
+    missing = quality.errors_missing(points).first()["errors_missing"]
     if missing:
         points = pin(quality.with_errors(points, quality.reprojection_errors(images, obs, points, cameras)))
     rated = quality.image_quality(images, obs, points)
@@ -36,7 +35,3 @@ def analyze_model(
         rated = quality.merge_report(rated, report)
     return Analysis(points, tiers.point_tiers(points, th), rated, missing)
 
-
-def seen_share(image_quality: DataFrame) -> DataFrame:
-    """Share of an image's observations that carry a point, in percent."""
-    return image_quality.select("image_id", (F.col("match_ratio") * 100).alias("points_seen_pct"))

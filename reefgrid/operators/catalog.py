@@ -9,28 +9,22 @@ from reefgrid.functions.names import extension, is_image_name, model_code, model
 from reefgrid.functions.sizing import camera_params, focal_px
 from reefgrid.operators.ranks import last_by_key
 
-RULE_LIMIT = 10_000
-
 
 def assign_cameras(images: DataFrame, rules: DataFrame, anchored: bool = False) -> DataFrame:
-    """Images with the index of the first rule whose prefix their name contains.
+    """Images with the index of the first rule whose prefix their name contains, or begins with if ``anchored``.
 
-    ``rule_idx`` is NULL where no rule fits. A rule list up to ``RULE_LIMIT``
-    (checked) is one array literal that every image scans in place; a longer one
-    is joined as a table.
+    ``rule_idx`` is NULL where no rule fits. A name's substrings of the lengths
+    that prefixes have meet the prefixes in an equi-join, however many rules
+    there are. Lengths are at most those of a file name, so their array is small.
     """
-    hit = (lambda n, p: n.startswith(p)) if anchored else (lambda n, p: n.contains(p))
-    listed = rules.select("rule_idx", "prefix").limit(RULE_LIMIT + 1)
-    if listed.count() <= RULE_LIMIT:
-        ordered = listed.agg(F.array_sort(F.collect_list(F.struct("rule_idx", "prefix")))).scalar()
-        fits = F.filter("_rules", lambda rule: hit(F.col("name"), rule["prefix"]))
-        return images.withColumn("_rules", ordered).withColumn(
-            "rule_idx", F.try_element_at(fits, F.lit(1))["rule_idx"]
-        ).drop("_rules")
-    first = images.select("image_id", "name").join(
-        rules.select("rule_idx", "prefix"), hit(F.col("name"), F.col("prefix"))
-    ).groupBy("image_id").agg(F.min("rule_idx").alias("rule_idx"))
-    return images.join(first, "image_id", "left")
+    first = rules.filter(F.col("prefix").isNotNull()).groupBy("prefix").agg(F.min("rule_idx").alias("rule_idx"))
+    lengths = first.agg(F.array_sort(F.collect_set(F.length("prefix")))).scalar()
+    names = images.select("name").distinct().withColumn("_length", F.explode(lengths)).filter(F.length("name") >= F.col("_length"))
+    last = F.lit(1) if anchored else F.length("name") - F.col("_length") + 1
+    parts = names.withColumn("_at", F.explode(F.sequence(F.lit(1), last))).select(
+        "name", F.substring("name", F.col("_at"), F.col("_length")).alias("prefix")).distinct()
+    found = parts.join(first, "prefix").groupBy("name").agg(F.min("rule_idx").alias("rule_idx"))
+    return images.join(found, "name", "left").select(*images.columns, "rule_idx")
 
 
 def unassigned(assigned: DataFrame) -> DataFrame:

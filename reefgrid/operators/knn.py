@@ -26,7 +26,6 @@ MAX_BOXES = 65_536
 SAMPLE_PER_BOX = 16
 BUCKET_ROWS = 32
 BLOCK_QUERIES = 128
-RADIUS_SAMPLE = 50_000
 
 
 class Boxes:
@@ -281,15 +280,18 @@ def knn_mean(df: DataFrame, id_col: str, coords: list[str], k: int = 20, **optio
     return points.join(means, coords).select(id_col, "mean_dist")
 
 
-def auto_radius(df: DataFrame, id_col: str, coords: list[str], seed: int = 42, **options) -> float | None:
-    """Three times the median nearest-neighbour distance over at most 50 000 sampled points.
+def auto_radius(
+    df: DataFrame, id_col: str, coords: list[str], seed: int = 42, sample: int | None = None, **options
+) -> float | None:
+    """Three times the median nearest-neighbour distance of all points, or of a seeded sample of ``sample`` points.
 
     None when there are fewer than two points.
     """
-    sample = df.select(id_col, *coords).orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col).limit(RADIUS_SAMPLE)
-    sample = pin(sample)
-    near = nearest(df, id_col, coords, 2, queries=sample, **options)
+    asked = df.select(id_col, *coords)
+    if sample is not None:
+        asked = pin(asked.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col).limit(sample))
+    near = nearest(df, id_col, coords, 2, queries=asked, **options)
     spots = near.select(*coords, F.try_element_at("near", F.lit(2))["d"].alias("nn_dist"))
-    at = sample.select(*[F.col(c).cast("double").alias(c) for c in coords])
+    at = asked.select(*[F.col(c).cast("double").alias(c) for c in coords])
     found = middle(pin(at.join(spots, coords).select("nn_dist")), "nn_dist")
     return None if found is None else found.median * 3.0

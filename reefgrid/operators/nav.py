@@ -90,10 +90,14 @@ def prior_positions(priors: DataFrame, images: DataFrame) -> DataFrame:
     )
 
 
-def every_nth(priors: DataFrame, target: int = 5000) -> DataFrame:
-    """Every Nth prior by id, N chosen to leave about ``target`` of them."""
+def step_for(priors: DataFrame, target: int = 5000) -> Column:
+    """The step that leaves about ``target`` of the priors, as a scalar."""
     total = priors.agg(F.count(F.lit(1))).scalar()
-    step = F.greatest(F.lit(1), F.floor(total / target)).cast("bigint")
+    return F.greatest(F.lit(1), F.floor(total / target)).cast("bigint")
+
+
+def every_nth(priors: DataFrame, step: Column | int) -> DataFrame:
+    """Every prior whose id ``step`` divides."""
     return priors.filter(F.col("pose_prior_id") % step == 0)
 
 

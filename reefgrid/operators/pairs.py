@@ -118,8 +118,3 @@ def sample_pairs(two_view: DataFrame, n: int = 50, seed: int = 42) -> DataFrame:
     mixed = F.xxhash64("image_id1", "image_id2", F.lit(seed))
     return two_view.filter(F.col("rows") > 0).orderBy(mixed, "image_id1", "image_id2").limit(n)
 
-
-def top_k(df: DataFrame, group: list[str], order: list, k: int) -> DataFrame:
-    """First ``k`` rows per group; Spark limits each group before the shuffle."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from reefgrid.functions import geometry
 from reefgrid.functions.sizing import ratio
-from reefgrid.operators.ranks import HOT_GROUP_ROWS, grouped_median, last_by_key, median_literal, middle, middle_integers
+from reefgrid.operators.ranks import grouped_median, last_by_key, median_literal, middle, middle_integers
+from reefgrid.session import pin
 
 MIN_DEPTH = 1e-6
-ERROR_PROBE_ROWS = 1000
 
 
 def obs_points(obs: DataFrame, points: DataFrame) -> DataFrame:
@@ -61,10 +61,9 @@ def with_errors(points: DataFrame, errors: DataFrame) -> DataFrame:
     return joined.withColumn("error", F.coalesce("point_error", "error")).drop("point_error")
 
 
-def errors_missing(points: DataFrame, position: list[str]) -> DataFrame:
-    """One row: are the first 1000 stored errors all zero?"""
-    head = points.orderBy(*position).limit(ERROR_PROBE_ROWS)
-    return head.agg(
+def errors_missing(points: DataFrame) -> DataFrame:
+    """One row: the number of points, and whether all their stored errors are zero (or there are none)."""
+    return points.agg(
         F.count(F.lit(1)).alias("probed"),
         F.coalesce(F.max(F.abs("error")) == 0.0, F.lit(True)).alias("errors_missing"),
     )
@@ -93,34 +92,23 @@ def point_stats(points: DataFrame, errors: DataFrame | None = None) -> DataFrame
     return sums.select("*", *middles)
 
 
-def image_quality(
-    images: DataFrame, obs: DataFrame, points: DataFrame, hot_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def image_quality(images: DataFrame, obs: DataFrame, points: DataFrame) -> DataFrame:
     """Observation counts, match ratio and errors of the seen points per image.
 
     Matched counts every observation with a point id, also when that point is
-    not in the cloud; errors use existing points only.
+    not in the cloud; errors use existing points only. The observations are
+    joined once; all figures come from the pinned join.
     """
-    counts = obs.groupBy("image_id").agg(
-        F.count(F.lit(1)).alias("total_observations"), F.count("point_id").alias("matched_3d_points")
+    seen = pin(obs.select("image_id", "point_id").join(points.select("point_id", "error"), "point_id", "left").select(
+        "image_id", F.col("point_id").isNotNull().alias("matched"), "error"))
+    counts = seen.groupBy("image_id").agg(
+        F.count(F.lit(1)).alias("total_observations"), F.count_if("matched").alias("matched_3d_points"),
+        F.avg("error").alias("avg_point_error"),
     )
-    seen = obs.filter(F.col("point_id").isNotNull()).select("image_id", "point_id").join(
-        points.select("point_id", "error"), "point_id"
-    ).select("image_id", "error")
-    means = seen.groupBy("image_id").agg(F.avg("error").alias("avg_point_error"))
-    sizes = counts.select("image_id", F.col("matched_3d_points").alias("n"))
-    hot = sizes.filter(F.col("n") > hot_rows)
-    if hot.isEmpty():
-        # No image is too big for the built-in aggregate: one grouping does both.
-        errors = seen.groupBy("image_id").agg(
-            F.avg("error").alias("avg_point_error"), F.median("error").alias("median_point_error")
-        )
-    else:
-        medians = grouped_median(seen, ["image_id"], "error", "median_point_error", sizes, hot_rows)
-        errors = means.join(medians, "image_id")
+    medians = grouped_median(seen, ["image_id"], "error", "median_point_error")
     total, matched = F.coalesce("total_observations", F.lit(0)), F.coalesce("matched_3d_points", F.lit(0))
     return (
-        images.select("image_id", "name").join(counts, "image_id", "left").join(errors, "image_id", "left")
+        images.select("image_id", "name").join(counts, "image_id", "left").join(medians, "image_id", "left")
         .select(
             "name", "image_id",
             total.alias("total_observations"), matched.alias("matched_3d_points"),

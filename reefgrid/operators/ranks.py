@@ -20,14 +20,15 @@ from reefgrid.session import pin
 CELLS_PER_OCTAVE = 32
 CELLS_PER_BRACKET = 4096
 EXACT_ROWS = 200_000  # a cell of this many rows needs no finer cells
-HOT_GROUP_ROWS = 1_000_000
+NAN_CELL = 1_000_000
 
 
 def _octave_cell(v: Column) -> Column:
     """Weakly increasing cell number; at most about 140 000 cells for all doubles."""
+    # NaN gets the last cell: it is greater than any number.
     octaves = F.least(F.log2(F.abs(v)), F.lit(2000.0))  # infinity gets a cell of its own
     magnitude = F.floor(octaves * CELLS_PER_OCTAVE) + 40000
-    return F.when(v == 0, F.lit(0).cast("bigint")).otherwise((F.signum(v) * magnitude).cast("bigint"))
+    return F.when(F.isnan(v), F.lit(NAN_CELL).cast("bigint")).when(v == 0, F.lit(0).cast("bigint")).otherwise((F.signum(v) * magnitude).cast("bigint"))
 
 
 def _bracket_cell(v: Column, lo: Column, hi: Column) -> Column:
@@ -80,13 +81,13 @@ def _count_cells(inside: DataFrame, keys: list[str], exact: bool) -> DataFrame:
 
 def _middle_by_cells(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """Middle values per group, all groups in the same rounds."""
-    values = _values(df, value, keys)
+    values = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     cells = values.groupBy(*keys, _octave_cell(F.col("_v")).alias("_cell")).agg(*_counted())
     bracket = _locate(cells, keys, "_cell", first=True)
     for exact in (False, True):
-        inside = values.join(bracket.select(*keys, *CARRIED, "_lo", "_hi"), keys).filter(
-            F.col("_v").between(F.col("_lo"), F.col("_hi"))
-        )
+        own = bracket.select(*[F.col(k).alias(f"_{k}") for k in keys], *CARRIED, "_lo", "_hi")
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        inside = values.join(own, same).filter(F.col("_v").between(F.col("_lo"), F.col("_hi"))).drop(*[f"_{k}" for k in keys])
         bracket = _locate(_count_cells(inside, keys, exact), keys, "_cell", first=False)
     upper_rank = F.floor(F.col("_total") / 2) + 1
     upper = F.when(F.col("_before") + F.col("_n") >= upper_rank, F.col("_lo")).otherwise(F.col("_after"))
@@ -142,31 +143,17 @@ def median_literal(found: Middle | None) -> Column:
     return F.lit(None if found is None else found.median).cast("double")
 
 
-def grouped_median(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    out: str = "median",
-    sizes: DataFrame | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
-    """Exact median per group.
+def grouped_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
+    """Exact median per group, for every group of ``df``, by counts in cells.
 
-    Groups up to ``hot_rows`` use the built-in aggregate. Larger ones, if there
-    are any, go through the cell rounds. ``sizes`` (keys plus ``n``) may give an
-    upper bound of the group sizes from a cheaper table than ``df``.
+    NaN is greater than any number; a group without values has NULL. ``df`` is
+    read several times, so pin it where it is costly.
     """
-    if sizes is None:
-        sizes = df.groupBy(*keys).agg(F.count(value).alias("n"))
-    hot = sizes.filter(F.col("n") > hot_rows).select(*keys)
-    simple = F.median(value).alias(out)
-    if hot.isEmpty():
-        return df.groupBy(*keys).agg(simple)
-    cool = df.join(hot, keys, "left_anti").groupBy(*keys).agg(simple)
-    middle = _middle_by_cells(df.join(hot, keys, "left_semi"), value, keys)
-    return cool.unionByName(
-        middle.select(*keys, ((F.col("lower_mid") + F.col("upper_mid")) / 2).alias(out))
-    )
+    found = _middle_by_cells(df, value, keys)
+    middles = found.select(*keys, ((F.col("lower_mid") + F.col("upper_mid")) / 2).alias(out))
+    same = [F.col(f"_{k}").eqNullSafe(F.col(k)) for k in keys]
+    groups = df.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    return groups.join(middles, same, "left").select(*[F.col(f"_{k}").alias(k) for k in keys], out)
 
 
 def last_by_key(df: DataFrame, keys: list[str], position: list[str]) -> DataFrame:

