@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reefgrid.operators.knn import nearest
 from reefgrid.operators.ranks import number_rows
 
 # Default vocabulary settings.
 NUM_WORDS, ITERATIONS, ROUNDS = 262_144, 100, 3
 LOOP_PERIOD, LOOP_IMAGES = 10, 100
+# Dimensions along which images are sorted, and ranks that count as near.
+PROJECTIONS, REACH = 16, 50
 
 
 def capped(desc: DataFrame, cap: int, seed: int = 42) -> DataFrame:
@@ -77,19 +78,28 @@ def mean_vectors(desc: DataFrame, dims: int) -> DataFrame:
 
 
 def loop_pairs(
-    vectors: DataFrame, period: int = LOOP_PERIOD, n: int = LOOP_IMAGES, **options
+    vectors: DataFrame, period: int = LOOP_PERIOD, n: int = LOOP_IMAGES, projections: int = PROJECTIONS, reach: int = REACH
 ) -> DataFrame:
-    """For every ``period``-th image, its ``n`` most similar others, most similar first.
+    """For every ``period``-th image, its ``n`` most similar others among its sorted neighbours, most similar first.
 
-    Unit vectors make the nearest by distance the most similar by cosine. The
-    search is exact; boxes that cannot hold a closer image are not visited.
+    Images are ranked along each of the first ``projections`` dimensions (ties by
+    id); candidates are those within ``reach`` ranks along any of them, so their
+    number grows with the images asked for and not with all pairs. Similarity is
+    the exact cosine; ties go to the smaller id.
     """
     dims = [c for c in vectors.columns if c != "image_id"]
-    asked = vectors.filter(F.col("image_id") % period == 0)
-    near = nearest(vectors, "image_id", dims, n + 1, queries=asked, **options)
-    found = asked.join(near, dims)
-    others = F.slice(F.filter("near", lambda e: e["id"] != F.col("image_id")), 1, n)
-    return found.select(F.col("image_id").alias("image_id1"), F.posexplode(others).alias("_r", "_e")).select(
-        "image_id1", F.col("_e.id").alias("image_id2"), (F.col("_r") + 1).cast("bigint").alias("rank"),
-        (1 - F.col("_e.d") * F.col("_e.d") / 2).alias("similarity"),
+    along = vectors.select("image_id", F.posexplode(F.array(*dims[:projections])).alias("_dim", "_at"))
+    ranked = number_rows(along, ["_dim", "_at", "image_id"], "_rank")
+    asked = ranked.filter(F.col("image_id") % period == 0).select(
+        F.col("image_id").alias("image_id1"), F.col("_dim").alias("_dim1"),
+        F.explode(F.sequence(F.col("_rank") - reach, F.col("_rank") + reach)).alias("_rank"),
     )
+    pairs = asked.join(ranked, "_rank").filter((F.col("_dim") == F.col("_dim1")) & (F.col("image_id") != F.col("image_id1"))).select(
+        "image_id1", F.col("image_id").alias("image_id2")).distinct()
+    packed = vectors.select("image_id", F.array(*dims).alias("_v"))
+    both = pairs.join(packed.select(F.col("image_id").alias("image_id1"), F.col("_v").alias("_a")), "image_id1").join(
+        packed.select(F.col("image_id").alias("image_id2"), F.col("_v").alias("_b")), "image_id2")
+    similar = F.aggregate(F.zip_with("_a", "_b", lambda x, y: x * y), F.lit(0.0), lambda acc, e: acc + e)
+    order = Window.partitionBy("image_id1").orderBy(F.desc("similarity"), "image_id2")
+    return both.select("image_id1", "image_id2", similar.alias("similarity")).withColumn(
+        "rank", F.row_number().over(order).cast("bigint")).filter(F.col("rank") <= n).select("image_id1", "image_id2", "rank", "similarity")

@@ -41,11 +41,12 @@ def image_tfidf(s: Survey):
 @query("loop_pairs", """
     WITH e AS (SELECT vec_id // 4 AS image_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
     m AS (SELECT image_id, i, avg(v) AS v FROM e GROUP BY 1, 2), n AS (SELECT image_id, sqrt(sum(v * v)) AS n FROM m GROUP BY 1),
-    u AS (SELECT image_id, list(v / n ORDER BY i) AS v FROM m JOIN n USING (image_id) GROUP BY 1),
-    d AS (SELECT a.image_id AS image_id1, b.image_id AS image_id2, list_distance(a.v, b.v) AS d FROM u a JOIN u b ON a.image_id % 10 = 0 AND a.image_id <> b.image_id),
-    r AS (SELECT *, row_number() OVER (PARTITION BY image_id1 ORDER BY d, image_id2) AS rank FROM d)
-    SELECT image_id1, image_id2, rank, round(1 - d * d / 2, 6) AS similarity FROM r WHERE rank <= 20""")
+    w AS (SELECT image_id, i, v / n AS v FROM m JOIN n USING (image_id) WHERE n > 0), u AS (SELECT image_id, list(v ORDER BY i) AS v FROM w GROUP BY 1),
+    k AS (SELECT image_id, i, row_number() OVER (ORDER BY i, v, image_id) AS r FROM w WHERE i <= 16),
+    c AS (SELECT DISTINCT a.image_id AS image_id1, b.image_id AS image_id2 FROM k a JOIN k b ON a.i = b.i AND b.r BETWEEN a.r - 50 AND a.r + 50
+          WHERE a.image_id % 10 = 0 AND a.image_id <> b.image_id),
+    d AS (SELECT image_id1, image_id2, list_inner_product(a.v, b.v) AS s FROM c JOIN u a ON a.image_id = image_id1 JOIN u b ON b.image_id = image_id2),
+    r AS (SELECT *, row_number() OVER (PARTITION BY image_id1 ORDER BY s DESC, image_id2) AS rank FROM d)
+    SELECT image_id1, image_id2, rank, round(s, 6) AS similarity FROM r WHERE rank <= 100""")
 def loop_pairs(s: Survey):
-    return vocab.loop_pairs(vocab.mean_vectors(_descriptors(s), DIMS), n=20).select(
-        "image_id1", "image_id2", "rank", rnd("similarity")
-    )
+    return vocab.loop_pairs(vocab.mean_vectors(_descriptors(s), DIMS)).select("image_id1", "image_id2", "rank", rnd("similarity"))
