@@ -11,6 +11,7 @@ themselves are ranked, placed and written by the executors.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import zlib
@@ -40,7 +41,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 #: Words whose characters case, compose and part the same way in Python as in the tokenizer, and their parts: letters,
 #: single digits and runs of anything else, as the tokenizer's word pattern has them.
 _PLAIN = re.compile("[!-~\u00a1-\u024f]+")
-_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[^\\W\\d_\u00b2\u00b3\u00b9\u00bc-\u00be]+|[\\d\u00b2\u00b3\u00b9\u00bc-\u00be]|(?:[^\\w\\s]|_)+")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[^\\W\\d_²³¹¼-¾]+|[\\d²³¹¼-¾]|(?:[^\\w\\s]|_)+")
 
 
 class _Parts(dict):
@@ -53,9 +54,9 @@ class _Parts(dict):
         self.letters = {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= 2 * CACHE_WORDS:
             self.clear()
-        letters = part.encode().decode("latin-1").translate(self.letters)
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
         value = self[part] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
         return value
 
@@ -65,8 +66,9 @@ class TokenBytes(dict):
 
     This tokenizer's normaliser and word pattern never join characters across
     white space, so a text's ids are those of its white-space separated words,
-    which are remembered within a bounded cache. Words of plain letters are
-    lower-cased and parted here; any other goes through the tokenizer itself.
+    and theirs are those of their parts, which are remembered within bounded caches.
+    Words of plain letters are lower-cased and parted here; any other goes through
+    the tokenizer itself.
     """
 
     def __init__(self, path: str):
@@ -76,11 +78,17 @@ class TokenBytes(dict):
         self.parts = _Parts(self.tokenizer.model)
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= 2 * CACHE_WORDS:
             self.clear()
-        text = word.decode()
+        text, parts = word.decode(), self.parts
         if _PLAIN.fullmatch(text) and "<|" not in text:
-            value = b"".join(map(self.parts.__getitem__, _PARTS.findall(text.lower())))
+            low = text.lower()
+            if low.isalpha():
+                value = parts[low]
+            elif low[-1] in ".,;:!?" and low[:-1].isalpha():
+                value = parts[low[:-1]] + parts[low[-1]]
+            else:
+                value = b"".join(map(parts.__getitem__, _PARTS.findall(low)))
         else:
             value = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         self[word] = value
@@ -90,9 +98,15 @@ class TokenBytes(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
+@functools.cache
+def _tokens(path: str) -> TokenBytes:
+    """One tokenizer and its caches for all tasks of a worker."""
+    return TokenBytes(path)
+
+
 def _cut(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = TokenBytes(path)
+        tokens = _tokens(path)
         for batch in slices(batches, "text"):
             rows: list[tuple] = []
             for doc, ids in zip(batch.column(0).to_pylist(), map(tokens.of, texts_of(batch, "text"))):
