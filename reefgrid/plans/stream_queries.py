@@ -41,23 +41,26 @@ def stream_stage(s: Survey):
 
 GPU_SQL = with_views("gpu") + """
     SELECT label, epoch(start)::BIGINT AS start_sec, peak_mib, round(mean_mib, 4) AS mean_mib, n_samples FROM (
-        SELECT label, {start} AS start, max(used_mib) AS peak_mib, avg(used_mib) AS mean_mib, count(*) AS n_samples FROM {source} GROUP BY 1, 2)
-    WHERE start + INTERVAL {minutes} MINUTE <= (SELECT max(ts) FROM gpu) - INTERVAL 10 MINUTE"""
+        SELECT label, {start} AS start, max(used_mib) AS peak_mib, avg(used_mib) AS mean_mib, count(*) AS n_samples FROM {source} GROUP BY 1, 2)"""
+
+
+# Updates carry windows that are still open, so the last state of each holds all of them.
+WINDOW_KEYS = ["label", "start", "end"]
 
 
 def _windows(df):
     return df.select("label", F.unix_seconds("start").alias("start_sec"), "peak_mib", rnd("mean_mib", 4), "n_samples")
 
 
-@query("stream_gpu_window", GPU_SQL.format(start="date_trunc('minute', ts)", source="gpu", minutes=1))
+@query("stream_gpu_window", GPU_SQL.format(start="date_trunc('minute', ts)", source="gpu"))
 def stream_gpu_window(s: Survey):
-    return _windows(run_append(resources.gpu_windows(s.gpu_samples(_events(s))), "gpu"))
+    return _windows(run_update(resources.gpu_windows(s.gpu_samples(_events(s))), "gpu", WINDOW_KEYS))
 
 
 @query("stream_gpu_sliding", GPU_SQL.format(
-    start="date_trunc('minute', ts) - to_minutes(back)", source="gpu, range(0, 5) t(back)", minutes=5))
+    start="date_trunc('minute', ts) - to_minutes(back)", source="gpu, range(0, 5) t(back)"))
 def stream_gpu_sliding(s: Survey):
-    return _windows(run_append(resources.gpu_windows(s.gpu_samples(_events(s)), "5 minutes", "1 minute"), "gpu5"))
+    return _windows(run_update(resources.gpu_windows(s.gpu_samples(_events(s)), "5 minutes", "1 minute"), "gpu5", WINDOW_KEYS))
 
 
 @query("stream_stage_sessions", with_views("stage_events") + """
