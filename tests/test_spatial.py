@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from reefgrid.operators import components, knn, pairs
+from reefgrid.operators import components, knn, pairs, vocab
 from reefgrid.operators.clean import sor, sor_pass
 
 XYZ = ["x", "y", "z"]
@@ -148,3 +148,18 @@ def test_ties_go_to_the_smaller_id():
     full = distances(p)
     want = [sorted(range(144), key=lambda j: (full[i, j], j))[:5] for i in range(144)]
     assert ids.tolist() == want
+
+
+@pytest.mark.parametrize("block", [4096, 4])
+def test_loop_pairs_are_the_most_similar_of_all(spark, monkeypatch, block):
+    monkeypatch.setattr(vocab, "LOOP_BLOCK", block)
+    x = np.random.default_rng(3).normal(size=(2500, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[1000:1020] = x[100]  # equal images tie
+    table = spark.createDataFrame([(i, *v) for i, v in enumerate(x.tolist())], "image_id bigint, " + ", ".join(f"v{i} double" for i in range(24)))
+    got = vocab.loop_pairs(table.repartition(5), period=250, n=10).orderBy("image_id1", "rank").collect()
+    want = []
+    for q in range(0, 2500, 250):
+        near = sorted((-sum(a * b for a, b in zip(x[i], x[q])), i) for i in range(2500) if i != q)[:10]
+        want += [(q, i, r) for r, (_, i) in enumerate(near, 1)]
+    assert [(r.image_id1, r.image_id2, r.rank) for r in got] == want
