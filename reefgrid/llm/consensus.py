@@ -25,7 +25,8 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)[^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: A whole attribute, so that its value's words are no attributes.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 #: Elements that part blocks of text.
 BLOCKS = frozenset(
@@ -48,6 +49,15 @@ _NOISE = re.compile(
     r"contentinfo|complementary|banner|skip|hidden|copyright)(?=$|[\s_-])",
     re.I,
 )
+#: What a layout has or lacks is not what its element is.
+_LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-]\S*", re.I)
+#: Noise words that also name parts of an article, where they are a section's id or mark a paragraph.
+_TOPIC = re.compile(
+    r"(?:^|(?<=[\s_-]))(?:notices?|alerts?|warning|disclaimer|search|navigation|share|sharing|social|related|recommend(?:ed|ations?)?|"
+    r"discussion|promotion|advertising|consent|subscription|overlay|copyright)(?=$|[\s_-])", re.I)
+#: Noise words of what readers add: it may outweigh the article.
+_READERS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|discussion|replies|reply|respond|disqus)(?=$|[\s_-])", re.I)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _WELCOME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|body|content|entry|main|post|story|text)(?=$|[\s_-])", re.I)
 _DIGITS = re.compile(r"\d+")
 PATH_STEPS = 12
@@ -61,10 +71,12 @@ class Page:
         self.tags: list[str] = [""]
         self.parents: list[int] = [-1]
         self.noise: list[bool] = [False]
+        self.named: list[str] = [""]  # names with a noise word
         self.inside: list[bool] = [False]  # within an article or main element
         self.welcome: list[bool] = [False]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters of links
         self._read(source)
+        self._judge()
 
     def _read(self, source: str) -> None:
         stack = [0]
@@ -127,25 +139,60 @@ class Page:
         flush()
 
     def _element(self, tag: str, attributes: str, parent: int) -> int:
-        step, noise, welcome = tag, False, False
+        step, noise, named, welcome = tag, False, "", False
         if attributes.strip():
-            found = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTRIBUTE.findall(attributes)}
+            found: dict[str, str] = {}
+            for name, *values in _ATTRIBUTE.findall(attributes):
+                found.setdefault(name.lower(), "".join(values))
             names = " ".join(found.get(a, "") for a in ("class", "id", "role"))
             classes = sorted(_DIGITS.sub("#", c) for c in found.get("class", "").split())
             step = ".".join([tag, *classes])
-            noise = tag not in ("body", "html") and (
-                bool(_NOISE.search(names)) or "hidden" in found or found.get("aria-hidden") == "true"
-                or "display:none" in found.get("style", "").replace(" ", "").lower())
+            if tag not in ("body", "html"):
+                noise = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+                named = _noise_names(tag, found)
             welcome = bool(_WELCOME.search(names))
         inside = self.inside[parent]
         self.steps.append("" if tag in ("html", "body") else step)
         self.tags.append(tag)
         self.parents.append(parent)
         self.noise.append(self.noise[parent] or noise or tag in _NOISE_TAGS or (tag == "header" and not inside))
+        self.named.append(named)
         self.inside.append(inside or tag in ("article", "main"))
         self.welcome.append(welcome)
         return len(self.tags) - 1
 
+    def _judge(self) -> None:
+        """Elements named with a noise word are noise, and all below them, unless they hold the page's main text.
+
+        They hold it with a main element, with an article where none stands clear
+        of noise, or with most of the page's text. What readers add is no main
+        text by its size.
+        """
+        size = len(self.tags)
+        flagged = [bool(n) for n in self.named]
+        if not any(flagged):
+            return
+        weight, mains, articles = [0] * size, [0] * size, [0] * size
+        for element, text, linked in self.blocks:
+            if not self.noise[element]:
+                weight[element] += len(text) - linked
+        clear, apart = [True] * size, False  # clear of noise words; whether an article is
+        for e in range(1, size):
+            clear[e] = clear[self.parents[e]] and not flagged[e]
+            if not self.noise[e]:
+                mains[e] = self.tags[e] == "main"
+                articles[e] = self.tags[e] == "article" and not flagged[e]
+                apart = apart or (clear[e] and self.tags[e] == "article")
+        for e in range(size - 1, 0, -1):
+            for held in (weight, mains, articles):
+                held[self.parents[e]] += held[e]
+        for e in range(1, size):
+            if flagged[e] and not self.noise[self.parents[e]]:
+                holds = mains[e] or (articles[e] and not apart and (not mains[0] or self.inside[e]))
+                most = 2 * weight[e] > weight[0] and not _READERS.search(self.named[e])
+                self.noise[e] = self.noise[e] or not (holds or most)
+            self.noise[e] = self.noise[e] or self.noise[self.parents[e]]
+
     def path(self, element: int) -> str:
         """The innermost PATH_STEPS generalised steps to an element; html and body, which may be left out, are none."""
         steps: list[str] = []
@@ -202,6 +249,19 @@ class Page:
         return out
 
 
+def _noise_names(tag: str, found: dict[str, str]) -> str:
+    """The names of an element whose class, id or role has a noise word; empty if none has."""
+    if tag in _HEADINGS:
+        return ""
+    own, mark = _LAYOUT.sub("", " ".join(found.get(a, "") for a in ("class", "role"))), _LAYOUT.sub("", found.get("id", ""))
+    if tag == "p":
+        own = _TOPIC.sub("", own)
+    if tag in ("p", "section"):
+        mark = _TOPIC.sub("", mark)
+    names = f"{own} {mark}"
+    return names if _NOISE.search(names) else ""
+
+
 def host_of(url: Column) -> Column:
     """Lower-cased host of an absolute address; empty for anything else."""
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))

@@ -138,3 +138,21 @@ def test_exhaustive_is_exact(spark, monkeypatch):
         mine = found[found.query_id == q].sort_values("rank")
         assert mine.vec_id.tolist() == [i for _, i in near]
         assert np.allclose(mine.score, [d for d, _ in near])
+
+
+@pytest.mark.parametrize("outer", [
+    '<div class="content-sidebar-wrap"><main><article>{}</article></main></div>', '<div class="site has-sidebar"><div>{}</div></div>',
+    '<div class="layout no-sidebar"><article>{}</article></div>', '<div class="elementor-widget-container">{}</div>',
+    '<div data-title="the hidden style">{}</div>', '<div data-class="sidebar" title="id=footer">{}</div>', "<div>{}</div>",
+    '<div class="has-sidebar"><main><div class="elementor-widget-container"><article>{}</article></div></main></div>',
+])
+def test_noise_words_do_not_condemn_the_text(outer):
+    body = '<h2 id="related-work">Work</h2><p>A text of some length on reefs.</p><section id="discussion"><h2>Talk</h2></section><p class="warning">Mind the tide.</p>'
+    page = Page(outer.format(body) + '<div class="sidebar"><p>More</p></div><div id="comments"><article class="comment-body"><p>Nice</p></article></div><footer>me</footer>')
+    assert page.text(None) == "Work\nA text of some length on reefs.\nTalk\nMind the tide."
+
+
+def test_noise_beside_an_article_stays_noise():
+    talk = "<p>" + "Readers say far more than the article. " * 20 + "</p>"
+    page = Page(f'<main><article><p>The text.</p></article><div class="related"><article><p>Card</p></article></div><div id="comments"><p>{talk}</p></div></main>')
+    assert page.text(None) == "The text."
