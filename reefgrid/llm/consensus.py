@@ -2,7 +2,8 @@
 
 Each page scores its containers. The containers' generalised tag-class paths are
 voted on per host, and every page is then read again through its host's winning
-path; a page that lacks it falls back on its own best container.
+path, widened to what stands around it without noise; a page on which the path
+holds nothing, or next to nothing, falls back on its own best container.
 """
 
 from __future__ import annotations
@@ -61,6 +62,9 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _WELCOME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|body|content|entry|main|post|story|text)(?=$|[\s_-])", re.I)
 _DIGITS = re.compile(r"\d+")
 PATH_STEPS = 12
+#: A page's own container takes the place of its host's path if that holds less than this share of the other's text,
+#: and the other at least so many characters.
+LEAST_SHARE, TELLING_CHARS = 0.2, 200
 
 
 class Page:
@@ -204,16 +208,19 @@ class Page:
 
     def scores(self) -> dict[int, float]:
         """Text that each container holds itself, and half of what its child containers hold."""
-        out: dict[int, float] = {}
+        held: dict[int, float] = {}
         for element, text, linked in self.blocks:
-            if self.noise[element]:
-                continue
-            gain, share = len(text) - 2.0 * linked, 1.0
-            while element > 0 and share > 0.2:
+            if not self.noise[element]:
+                held[element] = held.get(element, 0.0) + len(text) - 2.0 * linked
+        out: dict[int, float] = {}
+        for element in range(len(self.tags) - 1, 0, -1):  # parents come before their children
+            if element in held:
+                gain = held[element]
                 if self.tags[element] in _CONTAINERS:
-                    out[element] = out.get(element, 0.0) + gain * share
-                    share /= 2
-                element = self.parents[element]
+                    out[element] = gain
+                    gain /= 2
+                parent = self.parents[element]
+                held[parent] = held.get(parent, 0.0) + gain
         for element in out:
             if self.tags[element] in ("article", "main"):
                 out[element] *= 4
@@ -231,16 +238,42 @@ class Page:
         return {p: round(1000 * s / best) for p, s in by_path.items() if p and best > 0 and s >= best / 2}
 
     def text(self, path: str | None) -> str:
-        """Blocks within the elements of ``path``; without such, within the page's best container, or all."""
+        """Blocks within the elements of ``path``, widened; without such, or if the page's best container holds far more, within that, or all."""
         roots = set()
         if path:
             roots = {i for i, t in enumerate(self.tags) if t in _CONTAINERS and not self.noise[i] and self.path(i) == path}
-        inside = self._within(roots)
-        if not any(inside[e] and not self.noise[e] for e, _, _ in self.blocks):
-            scores = self.scores()
-            inside = self._within({max(scores, key=lambda e: (scores[e], -e))} if scores else {0})
+        scores = self.scores()
+        inside = self._within(self._widened(roots))
+        own = self._within(self._widened({max(scores, key=lambda e: (scores[e], -e))} if scores else {0}))
+        found, most = self._held(inside), self._held(own)
+        if not any(inside[e] and not self.noise[e] for e, _, _ in self.blocks) or most >= TELLING_CHARS and found < LEAST_SHARE * most:
+            inside = own
         return "\n".join(t for e, t, _ in self.blocks if inside[e] and not self.noise[e])
 
+    def _held(self, inside: list[bool]) -> int:
+        """Characters of text, links left out, of the blocks that are no noise."""
+        return sum(len(t) - linked for e, t, linked in self.blocks if inside[e] and not self.noise[e])
+
+    def _widened(self, roots: set[int]) -> set[int]:
+        """For each root, its article or main element if it is in one, and from there the outermost container that adds no noise."""
+        noisy = [0] * len(self.tags)  # blocks of noise in each element
+        for element, _, _ in self.blocks:
+            noisy[element] += self.noise[element]
+        for element in range(len(self.tags) - 1, 0, -1):
+            noisy[self.parents[element]] += noisy[element]
+        out = set()
+        for root in roots:
+            element = widest = root
+            while element > 0 and self.inside[element] and self.tags[element] not in ("article", "main"):
+                element = self.parents[element]
+            if self.inside[element]:
+                widest = element  # the article or main element around the root
+            while (element := self.parents[element]) > 0 and noisy[element] == noisy[widest]:
+                if self.tags[element] in _CONTAINERS and self.tags[element] != "body":
+                    widest = element
+            out.add(widest)
+        return out
+
     def _within(self, roots: set[int]) -> list[bool]:
         """Whether each element is one of ``roots`` or within one."""
         out = [0 in roots]

@@ -156,3 +156,27 @@ def test_noise_beside_an_article_stays_noise():
     talk = "<p>" + "Readers say far more than the article. " * 20 + "</p>"
     page = Page(f'<main><article><p>The text.</p></article><div class="related"><article><p>Card</p></article></div><div id="comments"><p>{talk}</p></div></main>')
     assert page.text(None) == "The text."
+
+
+LONG = "A long body of text on reefs. " * 40
+
+
+@pytest.mark.parametrize("source", [
+    '<article><h1>T</h1><p>lead</p><div class="a"><div class="b"><div class="c"><p>{}</p></div></div></div></article>',
+    '<div class="post"><h1>T</h1><p>lead</p><div class="post-body">{}</div></div>',
+    '<article><div class="breadcrumbs">Home</div><h1>T</h1><div><p>lead</p></div><div class="share">Tell</div><div class="a"><div class="c">{}</div></div></article>',
+])
+def test_text_around_the_winner_is_kept(source):
+    page = Page('<body><div class="nav">Menu</div>' + source.format(LONG) + "<p>loose</p><footer>me</footer>")
+    best = max(page.votes().items(), key=lambda v: v[::-1])[0]
+    assert page.text(best) == page.text(None) == "T\nlead\n" + LONG.strip()
+
+
+def test_a_second_template_keeps_its_text():
+    page = Page(f'<div class="nav">Menu</div><div class="story"><p>A teaser.</p></div><div class="nav">Menu</div><div class="x"><p>{LONG}</p></div>')
+    assert page.text("div.story") == LONG.strip()
+
+
+def test_every_container_around_a_block_is_credited():
+    page = Page("<div>" * 6 + "0123456789")
+    assert [page.scores()[e] for e in range(6, 0, -1)] == [10 / 2**i for i in range(6)]
