@@ -257,7 +257,7 @@ def pairs_min_matches(s: Survey):
     , strong AS (SELECT * FROM matches WHERE verified >= 80)
     SELECT image_id FROM images WHERE image_id NOT IN (SELECT image_id1 FROM strong UNION SELECT image_id2 FROM strong)""")
 def isolated_images(s: Survey):
-    return pairs.isolated_images(s.images(), pairs.min_matches(s.two_view(), 80)).select("image_id")
+    return pairs.isolated_images(s.images(), s.two_view()).select("image_id")
 
 
 @query("image_components", with_views("matches", "images", recursive=True) + """
@@ -267,7 +267,7 @@ def isolated_images(s: Survey):
     lab AS (SELECT u, min(v) AS component FROM reach GROUP BY 1)
     SELECT component, count(*) AS n_nodes FROM lab GROUP BY 1""")
 def image_components(s: Survey):
-    return component_sizes(pairs.image_components(pairs.min_matches(s.two_view(), 80), s.images()))
+    return component_sizes(pairs.image_components(s.two_view(), s.images()))
 
 
 @query("sampled_pairs")

@@ -64,3 +64,17 @@ def test_small_queries_match_duckdb(spark, duck, name):
     cols = sorted(df.columns)
     res = duck.execute(f"SELECT {', '.join(cols)} FROM ({entry.oracle_sql()[name]})").fetchall()
     assert sorted(map(repr, (tuple(r) for r in df.select(cols).collect()))) == sorted(map(repr, res))
+
+
+def test_any_verified_pair_joins_images(spark):
+    from reefgrid.plans.catalog_queries import image_components, isolated_images
+
+    class Weak:
+        def images(self):
+            return spark.createDataFrame([(i,) for i in (1, 2, 3, 4)], "image_id bigint")
+
+        def two_view(self):
+            return spark.createDataFrame([(1, 2, 1), (2, 3, 79), (3, 4, 0)], "image_id1 bigint, image_id2 bigint, rows bigint")
+
+    assert [r.image_id for r in isolated_images(Weak()).collect()] == [4]
+    assert sorted((r.component, r.n_nodes) for r in image_components(Weak()).collect()) == [(1, 3), (4, 1)]
