@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reefgrid.llm import pstable
+from reefgrid.llm import pstable, toxicity
 from reefgrid.llm.consensus import Page, extract_pages, host_paths
 from reefgrid.llm.pstable import nearest, perturbations
 from reefgrid.llm.quality import quality_scores
@@ -180,3 +180,13 @@ def test_a_second_template_keeps_its_text():
 def test_every_container_around_a_block_is_credited():
     page = Page("<div>" * 6 + "0123456789")
     assert [page.scores()[e] for e in range(6, 0, -1)] == [10 / 2**i for i in range(6)]
+
+
+def test_rare_letters_are_counted_too(spark):
+    total = toxicity.ORDER * 350_000  # more n-grams than were once kept
+    rows = spark.range(total).select(
+        (F.col("id") % 2).cast("int").alias("label"), F.lit(toxicity.ORDER).alias("size"), F.col("id").alias("gram"),
+        (F.col("id") % 1000).alias("context"), F.lit(1).cast("long").alias("n"))
+    model = toxicity.KneserNey(rows.unionByName(spark.range(2).select(
+        F.col("id").cast("int").alias("label"), F.lit(toxicity.ORDER).alias("size"), (-1 - F.col("id")).alias("gram"), F.lit(0).cast("long").alias("context"), F.lit(9).cast("long").alias("n"))))
+    assert len(model.parts[-1][0]) == total + 2
