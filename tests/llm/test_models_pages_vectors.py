@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reefgrid.llm import pstable, toxicity
 from reefgrid.llm.consensus import Page, extract_pages, host_paths
+from reefgrid.llm.labelled import held_out, sample
 from reefgrid.llm.pstable import nearest, perturbations
 from reefgrid.llm.quality import quality_scores
 from reefgrid.llm.toxicity import toxicity_scores, without_toxic
@@ -190,3 +191,14 @@ def test_rare_letters_are_counted_too(spark):
     model = toxicity.KneserNey(rows.unionByName(spark.range(2).select(
         F.col("id").cast("int").alias("label"), F.lit(toxicity.ORDER).alias("size"), (-1 - F.col("id")).alias("gram"), F.lit(0).cast("long").alias("context"), F.lit(9).cast("long").alias("n"))))
     assert len(model.parts[-1][0]) == total + 2
+
+
+def test_sample_keeps_the_smallest_hashes_without_a_task_for_a_class(spark, docs):
+    labels = spark.range(6000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    table = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    found = sample(table, labels, "toxic", 3, 1, 1500)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    usable = labels.filter(~held_out("doc_id", 3, 1)).withColumn("h", F.xxhash64("doc_id")).collect()
+    want = {r.doc_id for c in (0, 1) for r in sorted((r for r in usable if r.toxic == c), key=lambda r: r.h)[:1500]}
+    got = found.collect()
+    assert len(got) == 3000 and {r.doc_id for r in got} == want
