@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from reefgrid.llm.alignment import align_tokens
 from reefgrid.llm.common import ready, table
 from reefgrid.llm.consensus import extract_pages
 from reefgrid.llm.decontaminate import contamination
@@ -66,9 +67,14 @@ def op10_phrase_automata_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_words(table(ready(spark), folder, "documents"))
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokens(table(ready(spark), folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_decontaminate, op2_best_fit_packing, op3_line_spread, op4_quality, op5_consensus_extract,
         op6_multiprobe_ann, op7_toxicity, op8_suffix_array_dedup, op9_minmax_near_dedup, op10_phrase_automata_dedup,
+        op13_cross_tokenizer_alignment,
     )
 }
