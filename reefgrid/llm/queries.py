@@ -16,6 +16,7 @@ from reefgrid.llm.packing import pack_documents
 from reefgrid.llm.phrases import remove_repeated_words
 from reefgrid.llm.pstable import nearest
 from reefgrid.llm.quality import quality_scores
+from reefgrid.llm.spelling import spelling_groups
 from reefgrid.llm.suffixes import remove_repeated_bytes
 from reefgrid.llm.toxicity import toxicity_scores
 
@@ -67,6 +68,10 @@ def op10_phrase_automata_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_words(table(ready(spark), folder, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_groups(table(ready(spark), folder, "documents"))
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return align_tokens(table(ready(spark), folder, "documents"))
 
@@ -75,6 +80,6 @@ QUERIES = {
     f.__name__: f for f in (
         op1_decontaminate, op2_best_fit_packing, op3_line_spread, op4_quality, op5_consensus_extract,
         op6_multiprobe_ann, op7_toxicity, op8_suffix_array_dedup, op9_minmax_near_dedup, op10_phrase_automata_dedup,
-        op13_cross_tokenizer_alignment,
+        op12_spelling_variants, op13_cross_tokenizer_alignment,
     )
 }
