@@ -13,6 +13,7 @@ import functools
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +22,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reefgrid.llm.common import CACHE_WORDS, slices, stored
+from reefgrid.llm.common import slices, stored
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
 #: Texts of a slice take about so many bytes; its tokens are joined at once.
-SLICE = 1 << 20
+SLICE = 1 << 19
+#: Stretches of text whose ids a worker remembers before it starts anew.
+KNOWN_STRETCHES = 250_000
 #: Links of a text list that are grouped at once (a matter of memory only).
-GROUPED_LINKS = 2_000_000
+GROUPED_LINKS = 1_000_000
 #: Up to so many different id pairs (16 bytes each) tasks look counts up in a broadcast table; beyond, by a Spark join.
 BROADCAST_PAIRS = 4_000_000
 
@@ -95,15 +98,17 @@ class PieceTokens:
         self.bytes = [bytes([int(m[1], 16)]) if (m := byte.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
         self.apart = not any(re.search("[^▁]▁|\n", p) for p in pieces)
-        self.known: dict[str, tuple[bytes, bool]] = {}
+        self.known: dict[str, bytes] = {}
+        self.strange: set[str] = set()  # known ones whose tokens do not spell them
 
     def _learn(self, stretches: set[str]) -> None:
         # A line end before a stretch takes the marker that the model adds; both are cut off.
         ahead = len(self.model.encode("\n"))
         for stretch, ids in zip(stretches, self.model.encode(["\n" + s for s in stretches], num_threads=1)):
             ids = ids[ahead:]
-            same = b"".join(map(self.bytes.__getitem__, ids)) == stretch.replace("▁", " ").encode()
-            self.known[stretch] = (np.array(ids, np.int32).tobytes(), same)
+            if b"".join(map(self.bytes.__getitem__, ids)) != stretch.replace("▁", " ").encode():
+                self.strange.add(stretch)
+            self.known[stretch] = array("i", ids).tobytes()
 
     def of(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool]]:
         """Ids of each text, and whether their bytes are those of a space and the text."""
@@ -113,15 +118,12 @@ class PieceTokens:
             return [np.array(i, np.int64) for i in ids], same
         parts = [self._STRETCH.findall("▁" + t.replace(" ", "▁")) for t in texts]
         wanted = set().union(*parts)
-        if len(self.known) + len(wanted) > 2 * CACHE_WORDS:
+        if len(self.known) + len(wanted) > KNOWN_STRETCHES:
             self.known.clear()
+            self.strange.clear()
         self._learn(wanted.difference(self.known))
-        known, ids, same = self.known, [], []
-        for text, stretches in zip(texts, parts):
-            found = [known[s] for s in stretches]
-            ids.append(np.frombuffer(b"".join([f[0] for f in found]), np.int32))
-            same.append("▁" not in text and all(f[1] for f in found))
-        return ids, same
+        ids = [np.frombuffer(b"".join(map(self.known.__getitem__, p)), np.int32) for p in parts]
+        return ids, ["▁" not in t and (not self.strange or self.strange.isdisjoint(p)) for t, p in zip(texts, parts)]
 
 
 @functools.cache
