@@ -19,6 +19,7 @@ from reefgrid.llm.quality import quality_scores
 from reefgrid.llm.spelling import spelling_groups
 from reefgrid.llm.suffixes import remove_repeated_bytes
 from reefgrid.llm.toxicity import toxicity_scores
+from reefgrid.llm.vectorpack import pack_examples
 
 
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,6 +69,11 @@ def op10_phrase_automata_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_words(table(ready(spark), folder, "documents"))
 
 
+def op11_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as examples all of whose tokens bear loss."""
+    return pack_examples(table(ready(spark), folder, "documents"))
+
+
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_groups(table(ready(spark), folder, "documents"))
 
@@ -80,6 +86,6 @@ QUERIES = {
     f.__name__: f for f in (
         op1_decontaminate, op2_best_fit_packing, op3_line_spread, op4_quality, op5_consensus_extract,
         op6_multiprobe_ann, op7_toxicity, op8_suffix_array_dedup, op9_minmax_near_dedup, op10_phrase_automata_dedup,
-        op12_spelling_variants, op13_cross_tokenizer_alignment,
+        op11_vector_packing, op12_spelling_variants, op13_cross_tokenizer_alignment,
     )
 }
