@@ -1,4 +1,4 @@
-"""Visual vocabulary: clustering of descriptors, word vectors, loop candidates."""
+"""Whole-image descriptors: the cap on descriptors, mean vectors, and loop candidates by their exact cosine."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
@@ -15,8 +14,7 @@ from pyspark.sql import functions as F
 from reefgrid.operators.ranks import number_rows
 from reefgrid.session import pin
 
-# Default vocabulary settings.
-NUM_WORDS, ITERATIONS, ROUNDS = 262_144, 100, 3
+# Default retrieval settings.
 LOOP_PERIOD, LOOP_IMAGES = 10, 100
 # Asked images compared in one pass over all images, and images compared at a time (matters of memory only).
 LOOP_BLOCK, LOOP_SLICE = 4096, 512
@@ -30,48 +28,6 @@ def capped(desc: DataFrame, cap: int, seed: int = 42) -> DataFrame:
     return number_rows(mixed, ["_h"], "_n").filter(F.col("_n") <= cap).drop("_h", "_n")
 
 
-def train_vocab(
-    desc: DataFrame, k: int = NUM_WORDS, iterations: int = ITERATIONS, rounds: int = ROUNDS, cap: int = -1, seed: int = 42,
-    flat: bool = False,
-):
-    """Best of ``rounds`` clusterings of ``descriptor`` arrays by training cost.
-
-    Vocabularies are grown by splitting, so that a descriptor is compared with a
-    path of centres, not with all of them; ``flat`` clusters in one step instead.
-    """
-    points = capped(desc, cap, seed).select(array_to_vector("descriptor").alias("features"))
-    best = None
-    for r in range(rounds):
-        kind = KMeans if flat else BisectingKMeans
-        model = kind(k=k, maxIter=iterations, seed=seed + r).fit(points)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    return best
-
-
-def assign_words(desc: DataFrame, model) -> DataFrame:
-    """Each descriptor's word."""
-    points = desc.withColumn("features", array_to_vector("descriptor"))
-    return model.setPredictionCol("word").transform(points).drop("features", "descriptor")
-
-
-def image_vectors(words: DataFrame) -> DataFrame:
-    """Sparse TF-IDF vectors of unit length, one row per image and word.
-
-    Words that every image has weigh nothing and are left out.
-    """
-    counts = words.groupBy("image_id", "word").agg(F.count(F.lit(1)).alias("n"))
-    images = words.agg(F.count_distinct("image_id")).scalar()
-    sizes = words.groupBy("image_id").agg(F.count(F.lit(1)).alias("total"))
-    spread = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    weighted = counts.join(spread, "word").join(sizes, "image_id").select(
-        "image_id", "word", (F.col("n") / F.col("total") * F.log(images / F.col("df"))).alias("w")
-    ).filter(F.col("w") > 0)
-    norms = weighted.groupBy("image_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(norms, "image_id").select("image_id", "word", (F.col("w") / F.col("norm")).alias("weight"))
-
-
 def mean_vectors(desc: DataFrame, dims: int) -> DataFrame:
     """Mean descriptor of each image at unit length, one column per dimension."""
     means = desc.groupBy("image_id").agg(

@@ -99,6 +99,11 @@ VIEWS = {
         FROM (SELECT l_partkey AS a, (l_partkey + l_suppkey + 1) % (SELECT count(*) FROM part) AS b,
                      CAST(l_quantity AS BIGINT) AS q, l_returnflag AS flag FROM lineitem)
         WHERE a <> b GROUP BY 1, 2""",
+    "sparse": """
+        SELECT least(a, b) AS image_id1, greatest(a, b) AS image_id2
+        FROM (SELECT l_partkey AS a, (l_partkey + l_suppkey + 1) % (SELECT count(*) FROM part) AS b, CAST(l_quantity AS BIGINT) AS q
+              FROM lineitem WHERE l_linenumber = 7 AND l_returnflag = 'A' AND l_quantity <= 12)
+        WHERE a <> b GROUP BY 1, 2 HAVING sum(q) > 0""",
     "stage_events": """
         SELECT event_id, user_id % 10 AS run_id, ts, value, CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) AS counter,
                CASE event_type WHEN 'signup' THEN 'INITIALIZING' WHEN 'view' THEN 'FEATURE_EXTRACTION'

@@ -163,6 +163,16 @@ class Survey:
     def two_view(self) -> DataFrame:
         return self.matches().select("image_id1", "image_id2", F.col("verified").alias("rows"))
 
+    def sparse_view(self) -> DataFrame:
+        """Verified pairs of a survey with few overlaps: images without any, and many sub-models."""
+        n = self.table("part").agg(F.count(F.lit(1)).alias("n")).scalar()
+        a = F.col("l_partkey")
+        b = (a + F.col("l_suppkey") + 1) % n
+        pairs = self.table("lineitem").filter("l_linenumber = 7").select(
+            F.least(a, b).alias("image_id1"), F.greatest(a, b).alias("image_id2"),
+            F.when((F.col("l_returnflag") == "A") & (F.col("l_quantity") <= 12), F.col("l_quantity").cast("bigint")).otherwise(0).alias("q"))
+        return pairs.filter(F.col("image_id1") < F.col("image_id2")).groupBy("image_id1", "image_id2").agg(F.sum("q").alias("rows"))
+
     def quality_reports(self) -> DataFrame:
         """One broken report text per third image."""
         pk = F.col("p_partkey")

@@ -30,7 +30,7 @@ def test_entry(spark):
 
 def test_every_oracle_belongs_to_a_query():
     assert set(registry.oracles()) <= set(registry.queries())
-    assert set(registry.queries()) - set(registry.oracles()) == {"knn_mean_points", "sampled_pairs", "vocab_words"}
+    assert set(registry.queries()) - set(registry.oracles()) == {"knn_mean_points", "sampled_pairs"}
 
 
 LAZY = [
@@ -73,7 +73,7 @@ def test_any_verified_pair_joins_images(spark):
         def images(self):
             return spark.createDataFrame([(i,) for i in (1, 2, 3, 4)], "image_id bigint")
 
-        def two_view(self):
+        def sparse_view(self):
             return spark.createDataFrame([(1, 2, 1), (2, 3, 79), (3, 4, 0)], "image_id1 bigint, image_id2 bigint, rows bigint")
 
     assert [r.image_id for r in isolated_images(Weak()).collect()] == [4]
