@@ -216,7 +216,8 @@ def pack_documents(documents: DataFrame, path: str | None = None, capacity: int
     ``capacity`` ids are cut. Columns other than ``doc_id`` and ``text`` are
     ignored; an empty table gives no rows.
     """
-    return pack(token_pieces(documents, path or tokenizer_path(), capacity), capacity)
+    # A range sort reads its input twice, so the pieces are written first.
+    return pack(stored(token_pieces(documents, path or tokenizer_path(), capacity), "packing-pieces"), capacity)
 
 
 def lower_bound(total: int, capacity: int = CAPACITY) -> int:
