@@ -24,8 +24,8 @@ SHINGLE_WORDS = 5
 #: with a probability of 9e-7, one of 0.85 of 4e-10.
 PERMUTATIONS = 138
 BAND_VALUES = 6
-#: Documents of different components in one bucket that are compared each with each.
-FEW_IN_BUCKET = 1000
+#: Documents of a hub, and the shingles they have apart from it, in one block; shingles of a block pair counted at once.
+BLOCK_DOCS, BLOCK_SHINGLES, COLUMNS = 1024, 2_000_000, 4096
 BANDS = 2 * PERMUTATIONS // BAND_VALUES
 
 _SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>"
@@ -96,8 +96,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         sets = shingle_sets(texts_of(batch, "text"), hashes)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["rep", "shingles"]
-        )
+            [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+            ["digest", "shingles"])
 
 
 def _crowded(keyed: DataFrame) -> DataFrame:
@@ -125,36 +125,110 @@ def _arrays(column: pa.ListArray) -> list[np.ndarray]:
 
 
 def _compare(percent: int):
-    """(hub, rep, linked, beyond) of pairs with both sets.
-
-    ``beyond`` are keys under which ``rep`` must meet any document that it is
-    similar enough to and that was compared with the same hub. Such a document
-    shares ``ceil(percent % of rep's shingles)`` of them. Where the hub's own
-    shingles can make up for that, the key is the hub itself; otherwise some
-    must come from beyond the hub, so the smallest of those hashes, as many as
-    leave one less than is missing, hold a common one.
-    """
+    """``(hub, rep, linked, apart)`` of pairs with both sets: ``apart`` counts the shingles that one of them alone has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, beyond = [], []
-            for hub, within, x, y in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), _arrays(batch.column(3)), _arrays(batch.column(4))):
+            linked, apart = [], []
+            for x, y in zip(_arrays(batch.column(2)), _arrays(batch.column(3))):
                 at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                outside = y[x[at] != y]
-                shared = len(y) - len(outside)
-                linked.append(100 * shared >= percent * (len(x) + len(outside)))
-                if within is None:
-                    beyond.append(None)
-                    continue
-                missing = -(-percent * len(y) // 100) - shared
-                if missing <= 0:
-                    # The hub alone may suffice, or together with others: both must be found.
-                    keys = np.concatenate([outside, np.zeros(1, np.uint64)])
-                else:
-                    keys = outside[: max(0, len(outside) - missing + 1)]
-                beyond.append(mixed(keys + mixed(np.full(1, hub, np.int64).view(np.uint64) + mixed(np.full(1, within, np.int64).view(np.uint64)))).view(np.int64))
+                shared = int((x[at] == y).sum())
+                linked.append(100 * shared >= percent * (len(x) + len(y) - shared))
+                apart.append(len(x) + len(y) - 2 * shared)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(beyond, pa.list_(pa.int64()))],
-                ["hub", "rep", "linked", "beyond"])
+                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(apart, pa.int64())], ["hub", "rep", "linked", "apart"])
+    return run
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(hub, rep, label, blocks, n, apart)`` with the shingles that one of the two alone has."""
+    for batch in batches:
+        apart, sizes = [], []
+        for x, y in zip(_arrays(batch.column(4)), _arrays(batch.column(5))):
+            apart.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+            sizes.append(len(y))
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:4], pa.array(sizes, pa.int64()), pa.array(apart, pa.list_(pa.int64()))], ["hub", "rep", "label", "blocks", "n", "apart"])
+
+
+def _in_common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements every set of ``left`` shares with every set of ``right``."""
+    total = np.zeros((len(left), len(right)), np.float32)
+    sides = []
+    for sets in (left, right):
+        sides.append((np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])))
+    both = np.intersect1d(sides[0][0], sides[1][0])
+    places = []
+    for values, rows in sides:
+        at = np.minimum(np.searchsorted(both, values), max(0, len(both) - 1))
+        there = both[at] == values if len(both) else np.zeros(len(values), bool)
+        places.append((at[there], rows[there]))
+    for low in range(0, len(both), COLUMNS):
+        held = []
+        for (at, rows), sets in zip(places, (left, right)):
+            mine = (at >= low) & (at < low + COLUMNS)
+            matrix = np.zeros((len(sets), min(COLUMNS, len(both) - low)), np.float32)
+            matrix[rows[mine], at[mine] - low] = 1
+            held.append(matrix)
+        total += held[0] @ held[1].T
+    return total
+
+
+def _joining(rows: list[tuple], percent: int, alone: bool) -> list[tuple[int, int]]:
+    """Links between documents of one hub that join different labels, no more than it takes.
+
+    The shingles that two documents have apart from each other are those that
+    one of them alone has apart from the hub, so the sizes of three sets tell
+    their similarity.
+    """
+    left = [r for r in rows if r[4]]
+    right = left if alone else [r for r in rows if not r[4]]
+    if not left or not right:
+        return []
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    labels, sizes, aparts = (
+        [np.array([r[1] for r in side]) for side in (left, right)], [np.array([r[2] for r in side]) for side in (left, right)],
+        [np.array([len(r[3]) for r in side]) for side in (left, right)])
+    common = _in_common([r[3] for r in left], [r[3] for r in right]).astype(np.int64)
+    apart = aparts[0][:, None] + aparts[1][None, :] - 2 * common
+    total = sizes[0][:, None] + sizes[1][None, :]
+    links = (100 * (total - apart) >= percent * (total + apart)) & (labels[0][:, None] != labels[1][None, :])
+    out = []
+    for i in np.flatnonzero(links.any(axis=1)):
+        for j in np.flatnonzero(links[i]):
+            x, y = root(int(labels[0][i])), root(int(labels[1][j]))
+            if x != y:
+                parent[x] = y
+                out.append((left[i][0], right[j][0]))
+    return out
+
+
+def _resolve(percent: int):
+    """Links within the hubs' groups, from ``(hub, low, high, rep, label, n, apart, own)`` sorted by the first three."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            found = _joining(held, percent, now[1] == now[2]) if len({r[1] for r in held}) > 1 else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["hub", "rep"])
+
+        for batch in batches:
+            keys = zip(*(batch.column(i).to_pylist() for i in range(3)))
+            for key, rep, label, n, apart, own in zip(keys, *(batch.column(i).to_pylist() for i in (3, 4, 5)), _arrays(batch.column(6)), batch.column(7).to_pylist()):
+                if key != now:
+                    if held:
+                        yield from done()
+                    now, held = key, []
+                held.append((rep, label, n, apart, own == key[1]))
+        if held:
+            yield from done()
     return run
 
 
@@ -165,35 +239,37 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     are linked; a component's id is its smallest ``doc_id``.
 
     Equal sets are one node from the start. The documents of a band's bucket are
-    all compared with its smallest one, its hub. Two of them that may still be
-    linked with each other, but not through known links, then meet again in
-    buckets of what they hold beyond the hub, and so on until no bucket holds two
-    components; in such a bucket of up to FEW_IN_BUCKET documents each is compared
-    with each of another component at once. No link is lost, buckets have no cap,
-    and a bucket of copies costs one comparison per copy.
+    all compared with its smallest one, its hub. Documents of one hub that may
+    still be linked with each other, but not through known links, are compared by
+    what each has apart from the hub, block against block; only links that join
+    components come out. No link is lost, buckets have no cap, and a bucket of
+    copies costs one comparison per copy.
 
     Null and empty texts have no shingles and form components of their own. A
     null ``doc_id`` is linked with nothing: its component is null and it is
-    kept. Rows that repeat an id each give a row; the id gets the smallest of
-    their components. Other columns are ignored. An empty table gives no rows.
+    kept. Rows that repeat an id each give a row, of whatever texts; the id gets
+    the smallest of their components. Texts are taken whole. Other columns are
+    ignored. An empty table gives no rows.
     """
     source = documents.select("doc_id", "text")
     signed = stored(source.mapInArrow(_sign, _SIGNED), "minmax-signed")
     nodes = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = nodes.join(classes, "digest").filter("doc_id = rep").select("rep", "bands").dropDuplicates(["rep"])
-    keyed = reps.select("rep", F.explode("bands").alias("bucket"))
+    # A set is a node, whatever ids its documents have. Copies agree in their bands.
+    classes = stored(nodes.groupBy("digest").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")).withColumn(
+        "rep", F.monotonically_increasing_id()), "minmax-classes")
+    keyed = classes.select("rep", F.explode("bands").alias("bucket"))
     buckets = stored(_crowded(keyed), "minmax-buckets")
-    wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    sets = stored(source.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles array<long>").dropDuplicates(["rep"]), "minmax-sets")
+    met = buckets.select("rep").distinct().join(classes.select("rep", "digest", "least"), "rep")
+    wanted = met.select(F.col("least").alias("doc_id")).distinct()
+    texts = source.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "digest binary, shingles array<long>").dropDuplicates(["digest"])
+    sets = stored(texts.join(met.select("rep", "digest"), "digest").select("rep", "shingles"), "minmax-sets")
     weights = stored(_weights(sets, percent), "minmax-weights")
-    links = _links(stored(_crowded(buckets.join(weights, "rep").select("bucket", "rep")), "minmax-linkable"), sets, weights, percent)
-    members = nodes.select("doc_id", "digest").join(classes, "digest").select("doc_id", "rep").distinct()
-    if links is not None:
-        labels = connected_components(links, "hub", "rep").withColumnRenamed("node", "rep")
-        members = members.join(labels, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("label"))
-    else:
-        members = members.withColumnRenamed("rep", "label")
+    links = _links(_crowded(buckets.join(weights, "rep").select("bucket", "rep")), sets, percent)
+    joined = connected_components(links, "hub", "rep")
+    labelled = classes.select("digest", "least", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep"))
+    least = labelled.groupBy("component").agg(F.min("least").alias("label"))
+    members = nodes.select("doc_id", "digest").distinct().join(labelled.select("digest", "component"), "digest").join(least, "component")
     found = members.groupBy("doc_id").agg(F.min("label").alias("label"))
     out = signed.select("doc_id", "n_shingles").join(found, "doc_id", "left")
     component = F.coalesce("label", "doc_id")
@@ -203,41 +279,29 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     )
 
 
-def _links(buckets: DataFrame, sets: DataFrame, weights: DataFrame, percent: int) -> DataFrame | None:
-    """Confirmed links, enough of them to connect all linked documents that share a bucket of ``(bucket, rep)``."""
-    links = labels = None
-    settled = 0  # the first time, hubs alone make one component of most buckets
-    while True:
-        state = buckets.withColumn("label", F.col("rep"))
-        if labels is not None:
-            state = buckets.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        # Buckets within one component have nothing left to tell.
-        open_ = state.groupBy("bucket").agg(
-            F.min("rep").alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")
-        ).filter("low < high")
-        pairs = buckets.join(open_.filter(F.col("n") > settled).select("bucket", "hub"), "bucket").filter("rep <> hub").select(
-            "hub", "rep", (F.col("bucket") if settled else F.lit(0)).cast("long").alias("within"))
-        if settled:
-            few = state.join(open_.filter(F.col("n") <= settled).select("bucket"), "bucket").join(weights.withColumnRenamed("n", "size"), "rep")
-            ahead = few.select("bucket", F.col("rep").alias("hub"), F.col("label").alias("hub_label"), F.col("size").alias("hub_size"), F.col("common").alias("hub_common"))
-            most = F.least("common", "hub_common", "size", "hub_size")
-            within = ahead.join(few, "bucket").filter("rep > hub AND label <> hub_label").filter(
-                (100 + percent) * most >= percent * (F.col("size") + F.col("hub_size")))
-            pairs = pairs.unionByName(within.select("hub", "rep", F.lit(None).cast("long").alias("within")))
-        pairs = stored(pairs.distinct(), "minmax-pairs")
-        if pairs.isEmpty():
-            return links
-        a = sets.select(F.col("rep").alias("hub"), F.col("shingles").alias("a"))
-        both = pairs.join(a, "hub").join(sets, "rep").select("hub", "rep", "within", "a", "shingles")
-        compared = stored(both.mapInArrow(_compare(percent), "hub long, rep long, linked boolean, beyond array<long>"), "minmax-compared")
-        fresh = compared.filter("linked").select("hub", "rep")
-        links = fresh if links is None else links.unionByName(fresh)
-        labels = stored(connected_components(links, "hub", "rep").select(
-            F.col("node").alias("rep"), F.col("component").alias("label")), "minmax-labels")
-        keyed = compared.select(F.explode("beyond").alias("bucket"), "rep")
-        several = keyed.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high").select("bucket")
-        buckets = stored(keyed.join(several, "bucket"), "minmax-beyond")
-        settled = FEW_IN_BUCKET
+def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links ``(hub, rep)``, enough of them to connect all linked documents that share a bucket of ``(bucket, rep)``."""
+    hubs = buckets.groupBy("bucket").agg(F.min("rep").alias("hub"))
+    pairs = stored(buckets.join(hubs, "bucket").filter("rep <> hub").select("hub", "rep").distinct(), "minmax-pairs")
+    a = sets.select(F.col("rep").alias("hub"), F.col("shingles").alias("a"))
+    both = pairs.join(a, "hub").join(sets, "rep").select("hub", "rep", "a", "shingles")
+    compared = stored(both.mapInArrow(_compare(percent), "hub long, rep long, linked boolean, apart long"), "minmax-compared")
+    links = compared.filter("linked").select("hub", "rep")
+    labels = connected_components(links, "hub", "rep").select(F.col("node").alias("rep"), F.col("component").alias("label"))
+    state = stored(compared.join(labels, "rep", "left").select("hub", "rep", "apart", F.coalesce("label", "rep").alias("label")), "minmax-state")
+    # A hub whose other documents are of one component has nothing left to tell.
+    open_ = state.groupBy("hub").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("apart").alias("held")
+    ).filter("low < high").select("hub", F.ceil(F.greatest(F.col("n") / BLOCK_DOCS, F.col("held") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    members = state.join(open_, "hub").join(a, "hub").join(sets, "rep").select("hub", "rep", "label", "blocks", "a", "shingles")
+    apart = members.mapInArrow(
+        _differences, "hub long, rep long, label long, blocks int, n long, apart array<long>")
+    own = apart.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    against = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = against.select(
+        "hub", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "rep", "label", "n", "apart", "own")
+    fresh = dealt.repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high").mapInArrow(_resolve(percent), "hub long, rep long")
+    return links.unionByName(stored(fresh, "minmax-fresh"))
 
 
 def without_near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reefgrid.llm import decontaminate, packing
+from reefgrid.llm import decontaminate, minmax, packing
 from reefgrid.llm.decontaminate import contamination, decontaminated, item_windows, phrase_matches
 from reefgrid.llm.linespread import remove_boilerplate, without_boilerplate
 from reefgrid.llm.minmax import near_duplicates, without_near_duplicates
@@ -169,9 +169,10 @@ def components(rows, percent):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("percent", [80, 85])
-def test_near_duplicates_brute_force(docs, percent):
-    """Families of edited copies whose members are partly linked only through each other."""
+@pytest.mark.parametrize("percent, block", [(80, 1024), (85, 1024), (85, 3)])
+def test_near_duplicates_brute_force(docs, monkeypatch, percent, block):
+    """Families of edited copies whose members are partly linked only through each other, also in many blocks."""
+    monkeypatch.setattr(minmax, "BLOCK_DOCS", block)
     random.seed(percent)
     rows, n = [], 0
     for family in range(6):
@@ -195,6 +196,39 @@ def test_near_duplicates_brute_force(docs, percent):
     assert any(linked.count(c) > 5 for c in linked)
 
 
+def test_a_large_near_group_is_not_paired(docs, monkeypatch):
+    """2000 edited copies of one text, most of them too far from each other: rows grow with the group, not with its square."""
+    random.seed(9)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 2000):
+        words = list(base)
+        for at in random.sample(range(120), random.choice([1, 2, 3, 4])):
+            words[at] = f"n{i}"
+        rows.append((i, " ".join(words)))
+    sizes, keep = {}, minmax.stored
+
+    def counted(df, label):
+        out = keep(df, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr(minmax, "stored", counted)
+    found = near_duplicates(docs(rows)).collect()
+    assert sizes["minmax-pairs"] < 20 * len(rows) and sizes["minmax-fresh"] < len(rows)
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(116)} for _, t in rows]
+    near_base = {i for i in range(2000) if 100 * len(sets[i] & sets[0]) >= 85 * len(sets[i] | sets[0])}
+    assert {r.doc_id for r in found if r.component_id == 0} >= near_base
+    assert sum(r.component_id == 0 for r in found) < 1900
+
+
+def test_one_id_on_two_texts(docs):
+    one, two = (" ".join(f"{c}{k}" for k in range(40)) for c in "xy")
+    rows = [(7, one), (7, two), (3, one + " more"), (9, two + " more"), (8, two)]
+    got = near_duplicates(docs(rows)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(3, 3), (7, 3), (7, 3), (8, 7), (9, 7)]
+
+
 def test_near_duplicates_edges(docs):
     assert near_duplicates(docs([])).count() == 0
     only = as_dict(near_duplicates(docs([(5, "a b"), (None, "a b"), (None, None)])))
