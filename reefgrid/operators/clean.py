@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import warnings
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reefgrid.functions import splat
 from reefgrid.functions.sizing import percent
 from reefgrid.operators import components as cc
-from reefgrid.operators.knn import auto_radius, knn_mean
+from reefgrid.operators.knn import auto_radius, knn_mean, nearest
+from reefgrid.operators.ranks import grouped_median
 from reefgrid.session import pin
 
 XYZ = ["x", "y", "z"]
@@ -218,16 +220,95 @@ def clean_summary(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+#: The settings of a sweep.
+SWEEP = ("default", "gentle", "aggressive", "connected")
+
+
+def _stacked(runs: dict[str, DataFrame], configs: dict[str, CleanConfig], id_col: str) -> DataFrame:
+    """``(pid, g, id, x, y, z)``: every splat once for each setting whose filters it passes, from one scan of each run.
+
+    Group ``g`` is the run's place times the number of settings, plus the setting's.
+    """
+    stacked = None
+    for at, cloud in enumerate(runs.values()):
+        passes = [F.when(failing_filter(cloud, cfg).isNull(), F.lit(at * len(configs) + i)) for i, cfg in enumerate(configs.values())]
+        rows = cloud.select(
+            F.col(id_col).cast("bigint").alias("id"), *[F.col(c).cast("double").alias(c) for c in XYZ], F.explode(F.array(*passes)).alias("g"))
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+    return pin(stacked.filter("g IS NOT NULL").withColumn("pid", F.monotonically_increasing_id()))
+
+
+def _apart(points: DataFrame) -> Column:
+    """A fourth coordinate that keeps every group farther from all others than its own points are from each other."""
+    bounds = points.agg(*[(F.max(c) - F.min(c)).alias(c) for c in XYZ]).first()
+    span = 2.0 ** math.ceil(math.log2(1 + sum(b or 0.0 for b in bounds)) + 1)
+    return F.col("g") * F.lit(span)
+
+
+def _of_setting(configs: dict[str, CleanConfig], field: str) -> Column:
+    """A setting's value in the rows of its groups."""
+    values = F.array(*[F.lit(getattr(cfg, field)) for cfg in configs.values()])
+    return F.get(values, (F.col("g") % len(configs)).cast("int"))
+
+
 def clean_sweep(
-    runs: dict[str, DataFrame], configs: dict[str, CleanConfig] | None = None, id_col: str = "splat_id"
+    runs: dict[str, DataFrame], configs: dict[str, CleanConfig] | None = None, id_col: str = "splat_id", **knn
 ) -> DataFrame:
-    """Every run output under every cleaning setting, one summary row each."""
-    rows = None
-    for label, cloud in runs.items():
-        for name, cfg in (configs or {k: CLEAN_CONFIGS[k] for k in ("default", "gentle", "aggressive", "connected")}).items():
-            row = clean_summary(cloud, clean(cloud, cfg, id_col)).select(
-                F.lit(label).alias("source"), F.lit(name).alias("clean_config"),
-                F.col("original").alias("input_splats"), F.col("remaining").alias("output_splats"), "removed_pct",
-            )
-            rows = row if rows is None else rows.unionByName(row)
-    return rows
+    """Every run output under every cleaning setting, one summary row each: what ``clean`` leaves of each.
+
+    All runs and settings are groups of one cloud. An outlier pass measures all
+    groups in one search, in which a fourth coordinate keeps them apart, and has
+    a limit per group; clusters are found in one graph, by group, at each group's
+    own radius. The number of jobs depends on the passes, not on the groups.
+    """
+    configs = configs or {k: CLEAN_CONFIGS[k] for k in SWEEP}
+    spark = next(iter(runs.values())).sparkSession
+    left = _stacked(runs, configs, id_col)
+    space = [*XYZ, "apart"]
+    left = left.withColumn("apart", _apart(left))
+    for turn in range(max(cfg.passes for cfg in configs.values())):
+        sizes = left.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+        # A group of no more points than neighbours is kept as it is.
+        todo = pin(left.join(sizes, "g").filter((_of_setting(configs, "passes") > turn) & (F.col("n") > _of_setting(configs, "neighbors"))).drop("n"))
+        dropped = None
+        for k in sorted({cfg.neighbors for cfg in configs.values()}):
+            mine = todo.filter(_of_setting(configs, "neighbors") == k)
+            means = pin(knn_mean(mine, "pid", space, k, **knn).join(mine.select("pid", "g"), "pid"))
+            limits = means.groupBy("g").agg((F.avg("mean_dist") + _of_setting(configs, "std_factor") * F.stddev_pop("mean_dist")).alias("limit"))
+            far = means.join(limits, "g").filter(F.col("mean_dist") > F.col("limit")).select("pid")
+            dropped = far if dropped is None else dropped.unionByName(far)
+        left = pin(left.join(dropped, "pid", "left_anti"))
+    joined = left.filter(_of_setting(configs, "connected"))
+    if any(cfg.connected for cfg in configs.values()):
+        kept = left.filter(~_of_setting(configs, "connected")).select("pid", "g").unionByName(_largest_by_group(pin(joined), space, configs, knn))
+    else:
+        kept = left.select("pid", "g")
+    before = None
+    for at, cloud in enumerate(runs.values()):
+        n = cloud.agg(F.count(F.lit(1)).alias("input_splats")).withColumn("at", F.lit(at))
+        before = n if before is None else before.unionByName(n)
+    names = [(at, at * len(configs) + i, run, name) for at, run in enumerate(runs) for i, name in enumerate(configs)]
+    groups = spark.createDataFrame(names, "at int, g int, source string, clean_config string")
+    after = kept.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    return groups.join(before, "at").join(after, "g", "left").select(
+        "source", "clean_config", "input_splats", F.coalesce("n", F.lit(0)).alias("output_splats")
+    ).withColumn("removed_pct", percent(F.col("input_splats") - F.col("output_splats"), F.col("input_splats")))
+
+
+def _largest_by_group(points: DataFrame, space: list[str], configs: dict[str, CleanConfig], knn: dict) -> DataFrame:
+    """``(pid, g)`` of the largest clusters of every group; ties go to the smaller id. A group without a radius is kept."""
+    sizes = points.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    several = points.join(sizes.filter("n > 1").select("g"), "g")
+    near = nearest(several, "pid", space, 2, **knn).select(*space, F.try_element_at("near", F.lit(2))["d"].alias("nn_dist"))
+    middles = grouped_median(pin(several.join(near, space).select("g", "nn_dist")), ["g"], "nn_dist")
+    given = _of_setting(configs, "connect_radius")
+    radii = sizes.join(middles, "g", "left").select("g", F.when(given > 0, given).otherwise(3.0 * F.col("median")).alias("radius"))
+    sized = pin(points.join(radii, "g"))
+    scaled = sized.filter("radius > 0").select("pid", "g", "id", *[(F.col(c) / F.col("radius")).alias(c) for c in XYZ])
+    found = cc.radius_components(scaled.select("pid", "g", *XYZ), "pid", XYZ, 1.0, by=["g"]).join(scaled.select("pid", "g", "id"), "pid")
+    found = pin(found)
+    order = Window.partitionBy("g").orderBy(F.desc("n_nodes"), "label")
+    top = found.groupBy("g", "component").agg(F.count(F.lit(1)).alias("n_nodes"), F.min("id").alias("label")).withColumn(
+        "place", F.row_number().over(order)).filter(F.col("place") <= _of_setting(configs, "keep_components")).select("component")
+    kept = found.join(top, "component", "left_semi").select("pid", "g")
+    return kept.unionByName(sized.filter("radius IS NULL OR NOT radius > 0").select("pid", "g"))

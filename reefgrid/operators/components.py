@@ -103,8 +103,8 @@ def _side(df: DataFrame, side: str, keep: list[str]) -> DataFrame:
     return df.select(*[F.col(c) if c in keep else F.col(c).alias(f"{side}_{c}") for c in df.columns])
 
 
-def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -> tuple[DataFrame, DataFrame]:
-    """Cells of mutually close points and the links between them.
+def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float, by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Cells of mutually close points and the links between them, each group of ``by`` by itself.
 
     Points of one grid cell with diagonal below the radius are all connected,
     so cells are the graph's nodes. Whether two cells hold a pair within the
@@ -114,15 +114,15 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
     that can still hold the closest pair go on: however full a cell is, its
     points are never paired with those of another.
     """
-    d = len(coords)
+    d, by = len(coords), by or []
     side = radius / math.sqrt(d) * (1 - 1e-6)
     cell = [f"cell_{c}" for c in coords]
     sub = [f"sub_{c}" for c in coords]
     points = df.select(
-        F.col(id_col).cast("bigint").alias("pid"), *[F.col(c).cast("double").alias(c) for c in coords]
+        F.col(id_col).cast("bigint").alias("pid"), *by, *[F.col(c).cast("double").alias(c) for c in coords]
     ).withColumns({f"cell_{c}": F.floor(F.col(c) / side) for c in coords})
     points = pin(points)
-    cells = pin(points.groupBy(*cell).agg(
+    cells = pin(points.groupBy(*by, *cell).agg(
         F.min("pid").alias("node"), F.count(F.lit(1)).alias("n"), *_box(coords)
     ))
 
@@ -133,12 +133,12 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
     ahead = [s for s in steps if s > [0] * d]
     offsets = F.array(*[F.struct(*[F.lit(o).cast("bigint").alias(f"o_{c}") for c, o in zip(coords, s)]) for s in ahead])
     shifted = (
-        _side(cells, "a", [])
+        _side(cells, "a", by)
         .withColumn("_o", F.explode(offsets))
         .withColumns({f"b_cell_{c}": F.col(f"a_cell_{c}") + F.col(f"_o.o_{c}") for c in coords}).drop("_o")
         .filter(_may_reach(coords, side, radius))
     )
-    pairs = shifted.join(_side(cells, "b", []), [f"b_cell_{c}" for c in coords])
+    pairs = shifted.join(_side(cells, "b", by), [*by, *[f"b_cell_{c}" for c in coords]])
     bounded = pairs.withColumns({"near": _span(coords, True), "far": _span(coords, False)}).filter(
         F.col("near") <= radius
     )
@@ -147,7 +147,7 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
     bounded = pin(bounded.select("a_node", "b_node", "near", "far", few.alias("few"), *boxes["a"], *boxes["b"]))
     links = bounded.filter(F.col("far") <= radius).select("a_node", "b_node")
     unsure = bounded.filter(F.col("far") > radius)
-    tagged = points.join(cells.select(*cell, "node"), cell).select("node", *coords)
+    tagged = points.join(cells.select(*by, *cell, "node"), [*by, *cell]).select("node", *coords)
     each = unsure.filter("few").select("a_node", "b_node")
     for s in "ab":
         each = each.join(tagged.select(F.col("node").alias(f"{s}_node"), *[F.col(c).alias(f"{s}_{c}") for c in coords]), f"{s}_node")
@@ -185,11 +185,11 @@ def radius_edges(df: DataFrame, id_col: str, coords: list[str], radius: float) -
         open_ = judged.join(best.filter(F.col("best") > radius), ["a_node", "b_node"]).filter(
             F.col("near") <= F.col("best")
         ).select(*open_.columns)
-    return points.join(cells.select(*cell, "node"), cell).select(F.col("pid").alias(id_col), "node"), links
+    return points.join(cells.select(*by, *cell, "node"), [*by, *cell]).select(F.col("pid").alias(id_col), "node"), links
 
 
-def radius_components(df: DataFrame, id_col: str, coords: list[str], radius: float) -> DataFrame:
-    """``(id, component)`` of the graph that links points within ``radius`` (inclusive)."""
-    members, links = radius_edges(df, id_col, coords, radius)
+def radius_components(df: DataFrame, id_col: str, coords: list[str], radius: float, by: list[str] | None = None) -> DataFrame:
+    """``(id, component)`` of the graph that links points within ``radius`` (inclusive), and of one group of ``by``."""
+    members, links = radius_edges(df, id_col, coords, radius, by)
     labels = connected_components(links, "a_node", "b_node", members.select("node"))
     return members.join(labels, "node").select(id_col, "component")

@@ -218,7 +218,7 @@ def clean_sweep(s: Survey):
     return clean.clean_sweep({"embeddings": s.splats()}).drop("removed_pct")
 
 
-def _staged(name: str, factor: float, passes: int, keep: int | None = None):
+def _staged(name: str, factor: float, passes: int, keep: int | None = None, view: str = "look", where: str = "opacity >= 0.05"):
     """A query of one named cleaning setting, all of it."""
     rounds = [_sor_sql("pre" if i == 0 else f"p{i}", f"p{i + 1}", factor) for i in range(passes)]
     last = f"SELECT splat_id FROM p{passes}"
@@ -226,7 +226,7 @@ def _staged(name: str, factor: float, passes: int, keep: int | None = None):
         rounds.append(_component_sql(f"p{passes}"))
         last = f"SELECT splat_id FROM lab WHERE component IN (SELECT component FROM lab GROUP BY 1 ORDER BY count(*) DESC, component LIMIT {keep})"
 
-    @query(f"clean_{name}", with_views("look", recursive=bool(keep)) + ", pre AS (SELECT * FROM look WHERE opacity >= 0.05), " + ", ".join(rounds) + " " + last)
+    @query(f"clean_{name}", with_views(view, recursive=bool(keep)) + f", pre AS (SELECT * FROM {view} WHERE {where}), " + ", ".join(rounds) + " " + last)
     def run(s: Survey):
         return clean.clean(s.splats(), clean.CLEAN_CONFIGS[name]).select("splat_id")
 
@@ -234,3 +234,4 @@ def _staged(name: str, factor: float, passes: int, keep: int | None = None):
 _staged("stage1", 3.5, 1)
 _staged("stage2", 3.0, 2)
 _staged("stage3", 3.0, 2, keep=5)
+_staged("maritime", 1.5, 3, keep=5, view="hsv", where="opacity >= 0.1 AND NOT (s >= 0.3 AND h BETWEEN 180 AND 240)")

@@ -103,3 +103,32 @@ def test_named_settings_and_summary(spark):
     df = cloud(spark, [2.0] * 8 + [-9.0] * 2)
     row = clean.clean_summary(df, clean.prefilter(df, CLEAN_CONFIGS["default"])).first()
     assert (row.original, row.removed, row.remaining, row.removed_pct) == (10, 2, 8, 20.0)
+
+
+def test_sweep_equals_each_setting_by_itself(spark):
+    """Groups of one sweep, some too small for a pass, give what clean() gives for each run and setting; jobs do not grow with them."""
+    rng = np.random.default_rng(3)
+
+    def cloud(n, seed):
+        xyz = np.concatenate([rng.normal(size=(n, 3)), rng.normal(size=(n // 3, 3)) * 0.3 + 40, rng.uniform(-300, 300, size=(n // 10, 3))])
+        rows = [(i, *map(float, p), float(rng.normal() * 3)) for i, p in enumerate(xyz)]
+        return spark.createDataFrame(rows, "splat_id bigint, x double, y double, z double, opacity double")
+
+    runs = {"a": cloud(150, 1), "b": cloud(60, 2), "tiny": cloud(9, 3), "none": cloud(9, 3).limit(0)}
+    settings = {
+        "plain": clean.CleanConfig(neighbors=8, passes=2, opacity_min=0.2), "more": clean.CleanConfig(neighbors=8, passes=1, std_factor=1.0),
+        "joined": clean.CleanConfig(neighbors=8, passes=2, connected=True), "wide": clean.CleanConfig(neighbors=5, passes=0, connected=True, connect_radius=30.0, keep_components=2),
+    }
+    got = {(r.source, r.clean_config): r for r in clean.clean_sweep(runs, settings).collect()}
+    assert len(got) == 16
+    for (run, name), row in got.items():
+        assert row.input_splats == runs[run].count()
+        assert row.output_splats == clean.clean(runs[run], settings[name]).count(), (run, name)
+
+    def jobs(of, label):
+        spark.sparkContext.setJobGroup(label, label)
+        clean.clean_sweep(of, {"plain": settings["plain"], "more": settings["more"]}).collect()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(label))
+
+    assert jobs({k: runs["b"] for k in "uvwxyz"}, "many") <= jobs({"u": runs["b"]}, "one") + 8  # a count of each run comes on top
