@@ -1,7 +1,6 @@
 """Streams over the events table, run to the end of the available data.
 
-Append-mode windows are written once the watermark (ten minutes behind the
-newest event) has passed their end, which the DuckDB texts state as a filter.
+Windows and sessions that are still open at the end of the data come out too.
 """
 
 from __future__ import annotations
@@ -12,7 +11,10 @@ from reefgrid.plans.base import Registry, rnd
 from reefgrid.plans.oracle_views import with_views
 from reefgrid.plans.views import Survey
 from reefgrid.streaming import progress, resources
-from reefgrid.streaming.run import read_stream, run_append, run_update
+from reefgrid.session import scratch_path
+from reefgrid.streaming.late import run_late
+from reefgrid.streaming.run import read_stream, run_update
+from reefgrid.streaming.sessions import run_sessions
 
 query = Registry()
 
@@ -66,13 +68,27 @@ def stream_gpu_sliding(s: Survey):
 @query("stream_stage_sessions", with_views("stage_events") + """
     , g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS fresh FROM stage_events WINDOW w AS (PARTITION BY run_id, stage ORDER BY ts)),
     n AS (SELECT *, sum(fresh) OVER (PARTITION BY run_id, stage ORDER BY ts ROWS UNBOUNDED PRECEDING) AS grp FROM g)
-    SELECT run_id, stage, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 7200000000 AS end_us, count(*) AS n_events FROM n GROUP BY run_id, stage, grp
-    HAVING max(ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+    SELECT run_id, stage, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 7200000000 AS end_us, count(*) AS n_events FROM n GROUP BY run_id, stage, grp""")
 def stream_stage_sessions(s: Survey):
-    sessions = run_append(progress.stage_sessions(s.stage_events(_events(s))), "sessions")
-    return sessions.select(
-        "run_id", "stage", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n_events"
-    )
+    return run_sessions(s.stage_events(_events(s))).select("run_id", "stage", "start_us", "end_us", "n_events")
+
+
+@query("stream_late_rows", """
+    WITH b AS (SELECT *, CASE WHEN event_id % 10 < 7 THEN 0 WHEN event_id % 10 < 9 THEN 1 ELSE 2 END AS batch FROM events),
+    m AS (SELECT batch, max(ts) AS newest FROM b GROUP BY 1),
+    k AS (SELECT c.batch, max(p.newest) - INTERVAL 10 MINUTE AS mark FROM m c LEFT JOIN m p ON p.batch < c.batch GROUP BY 1),
+    e AS (SELECT b.batch, mark, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS w, ts + INTERVAL 2 HOUR AS s FROM b JOIN k USING (batch))
+    SELECT 'gpu_windows' AS operator, batch::INTEGER AS batch_id, count(*) AS n_rows, count(*) FILTER (w <= mark) AS n_late, epoch_us(max(mark)) AS mark_us FROM e GROUP BY batch
+    UNION ALL SELECT 'stage_sessions', batch::INTEGER, count(*), count(*) FILTER (s <= mark), epoch_us(max(mark)) FROM e GROUP BY batch""")
+def stream_late_rows(s: Survey):
+    """The events arrive in three files, two of them after newer events; rows too late for a window or a session are counted."""
+    folder = scratch_path(s.spark, "late-files")
+    turn = F.when(F.col("event_id") % 10 < 7, 0).when(F.col("event_id") % 10 < 9, 1).otherwise(2)
+    for batch in range(3):
+        s.table("events").filter(turn == batch).coalesce(1).write.mode("append").parquet(folder)
+    stream = read_stream(s.spark, folder, EVENTS, files_per_batch=1)
+    ends = {"gpu_windows": F.date_trunc("minute", "ts") + F.expr("interval 1 minute"), "stage_sessions": F.col("ts") + F.expr("interval 2 hours")}
+    return run_late(stream, ends)
 
 
 @query("stream_training", """

@@ -5,7 +5,9 @@ import time
 from pyspark.sql import functions as F
 
 from reefgrid.streaming import progress, resources
+from reefgrid.streaming.late import count_late
 from reefgrid.streaming.run import LateRows, append_to, latest, read_stream, run_append, run_update, upsert_to
+from reefgrid.streaming.sessions import SESSION_KEYS, session_updates
 
 EVENTS = "event_id bigint, run_id bigint, stage string, counter bigint, ts timestamp"
 STAGES = ["FEATURE_EXTRACTION", "MATCHING", "COMPLETE"]
@@ -95,3 +97,56 @@ def test_quarantine(spark, tmp_path):
     put(events(spark, 70), folder)
     progress.quarantine(read_stream(spark, folder, EVENTS), good, bad, state)
     assert spark.read.parquet(bad).count() == 10 and spark.read.parquet(good).count() == 60
+
+
+def sessions_by_hand(rows, gap):
+    """(run, stage, start_us, n) of rows (run, stage, seconds)."""
+    out = []
+    for key in {r[:2] for r in rows}:
+        times = sorted(r[2] for r in rows if r[:2] == key)
+        start = n = 0
+        for i, t in enumerate(times):
+            if i == 0 or t - times[i - 1] >= gap:
+                if n:
+                    out.append((*key, start * 1_000_000, (times[i - 1] + gap) * 1_000_000, n))
+                start, n = t, 0
+            n += 1
+        out.append((*key, start * 1_000_000, (times[-1] + gap) * 1_000_000, n))
+    return sorted(out)
+
+
+def test_sessions_come_out_open_merge_and_survive_a_restart(spark, tmp_path):
+    folder, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    schema = "run_id bigint, stage string, ts timestamp"
+    batches = [
+        [(1, "A", 1000), (1, "A", 1050), (1, "A", 1300), (2, "B", 1000)],
+        [(1, "A", 1140), (1, "A", 1220), (2, "B", 1099)],  # joins two sessions into one; 99 seconds are within the gap
+        [(1, "A", 90_000), (2, "B", 1199)],  # 100 seconds are not
+        [(1, "A", 90_010), (1, "A", 200)],  # 200 is far behind the watermark
+        [(3, None, 95_000)],
+    ]
+    seen = []
+    for rows in batches:
+        put(spark.createDataFrame(rows, "run_id bigint, stage string, s bigint").select("run_id", "stage", F.timestamp_seconds("s").alias("ts")), folder)
+        seen += [r for r in rows if r[2] != 200]
+        # Each call is a new run of the stream over its checkpoint.
+        upsert_to(session_updates(read_stream(spark, folder, schema), 100, "10 minutes"), out, state)
+        now = latest(spark, out, SESSION_KEYS).filter("n_events > 0")
+        got = sorted((r.run_id, r.stage, r.start_us, r.end_us, r.n_events) for r in now.filter("stage IS NOT NULL").collect())
+        assert got == sessions_by_hand([r for r in seen if r[1]], 100)
+    rows = latest(spark, out, SESSION_KEYS).collect()
+    assert [r.n_events for r in rows if r.start_us == 1300_000_000] == [0]  # taken in by an earlier session
+    assert {(r.start_us // 1_000_000, r.closed) for r in rows if r.n_events} >= {(1000, True), (90_000, True), (95_000, False)}
+    assert [r.n_events for r in rows if r.run_id == 3] == [1]
+
+
+def test_late_rows_are_counted_per_operator_and_batch(spark, tmp_path):
+    folder, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    ends = {"minutes": F.date_trunc("minute", "ts") + F.expr("interval 1 minute"), "quick": F.col("ts")}
+    for seconds in ([0, 10_000], [9_390, 9_400, 9_430, 20_000, None], [5, 19_399, 19_400]):
+        put(spark.createDataFrame([(s,) for s in seconds], "s bigint").select(F.timestamp_seconds("s").alias("ts")), folder)
+        count_late(read_stream(spark, folder, "ts timestamp"), ends, out, state)
+    rows = spark.read.parquet(out + "/late").collect()
+    found = {(r.operator, r.batch_id): (r.n_rows, r.n_late) for r in rows}
+    assert found == {
+        ("minutes", 0): (2, 0), ("quick", 0): (2, 0), ("minutes", 1): (5, 1), ("quick", 1): (5, 2), ("minutes", 2): (3, 1), ("quick", 2): (3, 3)}
