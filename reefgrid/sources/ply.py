@@ -8,6 +8,7 @@ cluster storage.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +22,9 @@ from pyspark.sql.types import StructType
 HEADER_BYTES = 65_536
 RANGE_ROWS = 1_000_000
 BATCH_ROWS = 65_536
+#: Vertices of a written file; a task holds no more of them before it writes them.
+FILE_ROWS = 1_000_000
+_HEADER_END = b"\nend_header"
 
 # Vertex property types of the file format.
 NUMPY_TYPES = {
@@ -50,10 +54,18 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 def read_header(path: str) -> Header:
     """Vertex count, record layout and data offset; the body is not touched."""
     system, name = _open(path)
+    head, end = b"", -1
     with system.open_input_file(name) as f:
-        head = f.read(HEADER_BYTES)
-    end = head.index(b"end_header") + len(b"end_header")
-    end = head.index(b"\n", end) + 1
+        while end < 0:
+            more = f.read(HEADER_BYTES)
+            if not more:
+                raise ValueError(f"{path}: no end of the header")
+            # The last line may lie across two reads.
+            since = max(0, len(head) - 2 * len(_HEADER_END))
+            head += more
+            mark = head.find(_HEADER_END, since)
+            end = head.find(b"\n", mark + len(_HEADER_END)) if mark >= 0 else -1
+    end += 1
     count, columns, element = 0, [], None
     for line in head[:end].decode("ascii").splitlines():
         words = line.split()
@@ -124,55 +136,75 @@ class PlyReader(DataSourceReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    path: str | None
+    staged: list[str]
 
 
 class PlyWriter(DataSourceArrowWriter):
+    """Tasks write into a staging folder; the commit moves their files to the output, then removes those of earlier writes.
+
+    Until then the output is as it was, so a write that fails leaves the old
+    cloud whole, and a cloud may be written over the one it is read from.
+    """
+
     def __init__(self, path: str, columns: list[tuple[str, str]], overwrite: bool):
-        self.path, self.columns, self.overwrite = path, columns, overwrite
-        if overwrite:
-            # A part of an earlier write must not mix with the new ones.
-            system, name = _open(path)
-            system.create_dir(name, recursive=True)
-            for old in list_ply(path):
-                system.delete_file(_open(old)[1])
+        self.path, self.columns = path, columns
+        self.write_id = uuid.uuid4().hex[:12]
+        system, name = _open(path)
+        system.create_dir(name, recursive=True)
+        self.old = list_ply(path) if overwrite else []
+
+    def _staging(self) -> str:
+        return f"{_open(self.path)[1]}/_staging-{self.write_id}"
+
+    def _put(self, name: str, batches: list[np.ndarray]) -> str:
+        lines = ["ply", "format binary_little_endian 1.0", f"element vertex {sum(map(len, batches))}"]
+        lines += [f"property {kind} {c}" for c, kind in self.columns] + ["end_header", ""]
+        system, _ = _open(self.path)
+        with system.open_output_stream(name) as out:
+            out.write("\n".join(lines).encode("ascii"))
+            for rows in batches:
+                out.write(rows.tobytes())
+        return name
 
     def write(self, iterator):
         from pyspark import TaskContext
 
         task = TaskContext.get()
         dtype = np.dtype([(c, NUMPY_TYPES[kind]) for c, kind in self.columns])
-        batches, count = [], 0
+        system, _ = _open(self.path)
+        system.create_dir(self._staging(), recursive=True)
+        staged, batches, count = [], [], 0
+        # The attempt is part of the name: a task that runs twice never writes into its other file.
+        name = lambda: f"{self._staging()}/{task.partitionId():06d}-{len(staged):06d}.{task.taskAttemptId()}"
         for batch in iterator:
             rows = np.empty(batch.num_rows, dtype=dtype)
             for c, _ in self.columns:
                 rows[c] = batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
             batches.append(rows)
             count += batch.num_rows
-        if not count and task.partitionId():
-            return Written(None)
-        lines = ["ply", "format binary_little_endian 1.0", f"element vertex {count}"]
-        lines += [f"property {kind} {c}" for c, kind in self.columns] + ["end_header", ""]
-        system, folder = _open(self.path)
-        system.create_dir(folder, recursive=True)
-        name = f"{folder}/part-{task.partitionId():06d}"
-        # Write aside and move: a task that runs twice leaves one whole file.
-        draft = f"{name}.{task.taskAttemptId()}.tmp"
-        with system.open_output_stream(draft) as out:
-            out.write("\n".join(lines).encode("ascii"))
-            for rows in batches:
-                out.write(rows.tobytes())
-        system.move(draft, f"{name}.ply")
-        return Written(f"{name}.ply")
+            if count >= FILE_ROWS:
+                staged.append(self._put(name(), batches))
+                batches, count = [], 0
+        if count or not staged and not task.partitionId():
+            staged.append(self._put(name(), batches))
+        return Written(staged)
 
     def commit(self, messages):
-        pass
+        system, folder = _open(self.path)
+        for file in (f for m in messages if m is not None for f in m.staged):
+            place = file.rsplit("/", 1)[1].split(".")[0]
+            system.move(file, f"{folder}/part-{self.write_id}-{place}.ply")
+        for old in self.old:
+            system.delete_file(_open(old)[1])
+        self._clear()
 
     def abort(self, messages):
+        self._clear()
+
+    def _clear(self) -> None:
         system, _ = _open(self.path)
-        for m in messages:
-            if m is not None and m.path:
-                system.delete_file(m.path)
+        if system.get_file_info(self._staging()).type == fs.FileType.Directory:
+            system.delete_dir(self._staging())
 
 
 class PlySource(DataSource):
@@ -183,12 +215,13 @@ class PlySource(DataSource):
         return "ply"
 
     def schema(self):
-        files = list_ply(self.options["path"])
-        fields = ["splat_id bigint"]
-        if files:
-            dtype = read_header(files[0]).dtype
-            fields += [f"`{c}` {SPARK_TYPES[dtype[c].str[1:]]}" for c in dtype.names]
-        return ", ".join(fields)
+        """Properties of all files, in the order they first appear; where files differ in a type, one that holds both."""
+        kinds: dict[str, np.dtype] = {}
+        for file in list_ply(self.options["path"]):
+            dtype = read_header(file).dtype
+            for c in dtype.names or ():
+                kinds[c] = np.promote_types(kinds[c], dtype[c]) if c in kinds else dtype[c]
+        return ", ".join(["splat_id bigint", *[f"`{c}` {SPARK_TYPES.get(k.str[1:], 'double')}" for c, k in kinds.items()]])
 
     def reader(self, schema):
         return PlyReader(self.options["path"], schema, int(self.options.get("rangeRows", RANGE_ROWS)))

@@ -155,6 +155,37 @@ def test_ply_round_trip(spark, tmp_path):
     assert ply.read_splats(spark, out).count() == 10
 
 
+def test_ply_write_that_fails_leaves_the_old_cloud(spark, tmp_path):
+    out = str(tmp_path / "cloud")
+    df = ply.rounded_to_float(splat_frame(spark, 60))
+    ply.write_splats(df, out, fmt="ply")
+    before = ply.list_ply(out)
+    broken = df.withColumn("x", F.when(F.col("splat_id") == 37, F.raise_error("gone").cast("float")).otherwise(F.col("x")))
+    with pytest.raises(Exception, match="gone"):
+        ply.write_splats(broken, out, fmt="ply")
+    assert ply.list_ply(out) == before and rows(ply.read_splats(spark, out), "splat_id") == rows(df, "splat_id")
+    assert not [f for f in (tmp_path / "cloud").iterdir() if f.suffix != ".ply"]
+    # A cloud may be cleaned in place: its files go only when all new ones are there.
+    ply.write_splats(ply.read_splats(spark, out).filter("splat_id % 2 = 0"), out, fmt="ply")
+    assert [r[0] for r in rows(ply.read_splats(spark, out).select("x"), "x")] == sorted(r.x for r in df.filter("splat_id % 2 = 0").collect())
+    assert not set(ply.list_ply(out)) & set(before)
+
+
+def test_ply_files_with_other_properties_and_long_headers(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    head = "ply\nformat binary_little_endian 1.0\n{}element vertex 1\n{}end_header\n"
+    notes = "".join(f"comment {'n' * 90} {i}\n" for i in range(1500))
+    (folder / "a.ply").write_bytes(head.format(notes, "property float x\nproperty int n\n").encode() + struct.pack("<fi", 1.5, 7))
+    (folder / "b.ply").write_bytes(head.format("", "property double x\nproperty uchar red\n").replace("\n", "\r\n").encode() + struct.pack("<dB", 0.1, 9))
+    got = ply.read_splats(spark, str(folder))
+    assert got.dtypes == [("splat_id", "bigint"), ("x", "double"), ("n", "int"), ("red", "smallint")]
+    assert rows(got, "splat_id") == [(0, 1.5, 7, None), (1, 0.1, None, 9)]
+    (tmp_path / "cut.ply").write_bytes(b"ply\nformat binary_little_endian 1.0\n")
+    with pytest.raises(ValueError, match="no end"):
+        ply.read_header(str(tmp_path / "cut.ply"))
+
+
 def test_ply_header_with_other_elements(spark, tmp_path):
     path = tmp_path / "one.ply"
     head = "ply\nformat binary_little_endian 1.0\ncomment c\nelement vertex 2\nproperty float x\nproperty uchar red\nproperty double w\nelement face 0\nproperty list uchar int i\nend_header\n"
