@@ -134,6 +134,20 @@ def test_result_files(spark, write):
     assert rows(runs.select("label", "time_sec", "psnr"), "label") == [("a", 4, "N/A"), ("b", 6, "20.1")]
 
 
+def test_nav_folder_of_different_files(spark, write, tmp_path):
+    """Every file is read by its own delimiter, column order and spellings."""
+    write("nav/a.csv", 'filename,X (East),Y (North),Alt\n"a, one.jpg",1,2,-3\n')
+    write("nav/b.txt", "Alt;name;lat;lon;Yaw;Pitch;Roll\n-9;b.jpg;50;-3;1;2;3\n\n-9;c.jpg;50;-3;;2;3\n")
+    folder = str(tmp_path / "nav")
+    got = rows(nav.read_nav(spark, folder).select("name", "x", "y", "alt", "yaw", "roll"), "name")
+    assert got == [("a, one.jpg", 1.0, 2.0, -3.0, None, None), ("b.jpg", -3.0, 50.0, -9.0, 1.0, 3.0)]
+    assert [r.name for r in nav.read_nav_rejects(spark, folder).collect()] == ["c.jpg"]
+    assert nav.nav_columns(spark, folder).keys() >= {"x", "y", "lat", "lon", "name", "yaw"}
+    write("nav/c.csv", "filename,depth\nx,1\n")
+    with pytest.raises(ValueError, match="c.csv: no position"):
+        nav.read_nav(spark, folder)
+
+
 def splat_frame(spark, n, seed=0):
     rng = np.random.default_rng(seed)
     data = [(i, *map(float, rng.normal(size=3).astype("f4")), 2.0) for i in range(n)]
