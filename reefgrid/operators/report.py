@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reefgrid.functions.names import elapsed_minutes, log_stage, metric
+from reefgrid.functions.names import ELAPSED_PATTERN, STAGE_MARKERS, elapsed_minutes, log_stage, metric
 from reefgrid.functions.sizing import percent
 from reefgrid.operators.ranks import middle
 
@@ -51,6 +51,21 @@ def log_timings(logs: DataFrame) -> DataFrame:
     }).filter(F.col("minutes").isNotNull()).drop("content")
 
 
+def timings_of_lines(lines: DataFrame) -> DataFrame:
+    """``log_timings`` of ``(path, mtime, block, seq, line)``: every log is folded from its lines, a part of it in each task.
+
+    A log's stage is the first in the order of the markers that any line has; its
+    minutes are those of the first line that states them.
+    """
+    markers = F.coalesce(*[F.when(F.col("line").rlike(f"(?i){pattern}"), F.lit(i)) for i, (pattern, _) in enumerate(STAGE_MARKERS)])
+    stated = F.when(F.col("line").rlike(ELAPSED_PATTERN), F.struct("block", "seq"))
+    folded = lines.groupBy("path").agg(
+        F.max("mtime").alias("mtime"), F.min(markers).alias("marker"), F.min_by(elapsed_minutes(F.col("line")), stated).alias("minutes"))
+    stages = F.array(*[F.lit(name) for _, name in STAGE_MARKERS])
+    return folded.filter(F.col("minutes").isNotNull()).select(
+        "path", "mtime", F.coalesce(F.get(stages, F.col("marker")), F.lit("Unknown Stage")).alias("stage"), "minutes")
+
+
 def stage_timings(timings: DataFrame) -> DataFrame:
     """Minutes per stage and a TOTAL row."""
     return timings.rollup("stage").agg(

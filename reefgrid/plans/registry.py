@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from reefgrid.plans import catalog_queries, model_queries, report_queries, splat_queries, stream_queries, vocab_queries
+from reefgrid.plans import catalog_queries, model_queries, report_queries, splat_queries, stream_queries, text_queries, vocab_queries
 
 MODULES = [
-    model_queries, splat_queries, catalog_queries, report_queries, stream_queries, vocab_queries,
+    model_queries, splat_queries, catalog_queries, report_queries, stream_queries, text_queries, vocab_queries,
 ]
 
 

@@ -19,6 +19,19 @@ def read_logs(spark: SparkSession, folder: str) -> DataFrame:
     return files.filter(F.col("name").endswith(".log") | F.col("name").contains(".log.INFO.")).drop("name")
 
 
+def read_log_lines(spark: SparkSession, folder: str, named: bool = True) -> DataFrame:
+    """Lines of the stage logs with their place, ``(path, mtime, block, seq, line)``; large logs are read in many tasks.
+
+    Files are taken by their names as logs unless ``named`` is false.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(folder).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"),
+        F.col("_metadata.file_modification_time").alias("mtime"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"),
+    )
+    return (lines.filter(F.col("name").endswith(".log") | F.col("name").contains(".log.INFO.")) if named else lines).drop("name")
+
+
 def read_metric_log(spark: SparkSession, path: str) -> DataFrame:
     """Training-log lines with the metrics each states."""
     lines = read_lines(spark, path)

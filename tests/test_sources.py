@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reefgrid.functions.names import canonical_columns, coord_system
 from reefgrid.operators import nav as nav_ops
-from reefgrid.operators.report import last_metrics, log_timings, stage_timings
+from reefgrid.operators.report import last_metrics, log_timings, stage_timings, timings_of_lines
 from reefgrid.sources import logs, nav, ply, reports, survey_db
 
 
@@ -148,6 +148,22 @@ def test_nav_folder_of_different_files(spark, write, tmp_path):
         nav.read_nav(spark, folder)
 
 
+def test_logs_folded_from_lines_equal_whole_texts(spark, write, tmp_path):
+    write("logs/a.log", "x\nRegistering image #1\n=== FEATURE matching (x)\nElapsed time: 1.5 [minutes]\nElapsed time: 9 [minutes]\n")
+    write("logs/sub/b.log.INFO.1", "Elapsed time: 1.2.3 [minutes]\nElapsed time: 4 [minutes]\n")
+    write("logs/c.log", "Loading descriptors\nBuilding index\nElapsed time: 7 [minutes]\n" + "y\n" * 5000)
+    write("logs/d.log", "=== Feature extraction ===\n")
+    write("logs/e.txt", "Elapsed time: 1 [minutes]\n")
+    folder = str(tmp_path / "logs")
+    whole = log_timings(logs.read_logs(spark, folder)).select("path", "stage", "minutes", "mtime")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        folded = timings_of_lines(logs.read_log_lines(spark, folder)).select("path", "stage", "minutes", "mtime")
+        assert rows(folded, "path") == rows(whole, "path") and folded.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def splat_frame(spark, n, seed=0):
     rng = np.random.default_rng(seed)
     data = [(i, *map(float, rng.normal(size=3).astype("f4")), 2.0) for i in range(n)]
