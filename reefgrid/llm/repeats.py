@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +31,10 @@ SHARD_BYTES = 2 << 20
 #: Distinct cut-outs of one anchor beyond which its windows are grouped one by one instead of in one task.
 CROWDED = 4000
 
-#: Of one slice and bin: all texts with their numbers of runs, then the anchors, the runs that have them, and for each
-#: anchor twice its number of runs plus 1 if two of the slice's texts have it.
-_BLOBS = "bin int, text_keys array<long>, runs binary, anchors binary, places binary, local binary"
+#: Of one slice, in a bin of its own below zero, all texts with their numbers of runs; of one slice and bin the anchors, the
+#: runs that have them, and for each anchor twice its number of runs plus 1 if two of the slice's texts have it.
+_BLOBS = "bin long, slice long, text_keys array<long>, runs binary, anchors binary, places binary, local binary"
+_FOUND = "slice long, text_keys array<long>, runs binary, chosen binary"
 _FLAGS = "text_key long, flagged binary"
 _CUTS = "anchor long, f1 long, cut binary, doc_id long, text_key long, begin int"
 _COVER = "anchor long, f1 long, firsts binary"
@@ -42,7 +44,7 @@ _MARKS = "doc_id long, text_key long, spans binary"
 class Bytes:
     """Texts as their UTF-8 bytes."""
 
-    gram = 16
+    gram = 20
 
     def units(self, text: bytes) -> tuple[bytes, np.ndarray]:
         return text, np.frombuffer(text, np.uint8).astype(np.uint64)
@@ -118,8 +120,9 @@ def _chunks(texts: list[bytes], limit: int = 1 << 18) -> Iterator[list[bytes]]:
 
 def _anchors(kind: type, bins: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grain = kind()
+        grain, slice_ = kind(), TaskContext.get().partitionId() << 32
         for batch in slices(batches, "text", SLICE):
+            slice_ += 1
             counts, anchors, owner, done = [], [], [], 0
             for part in _chunks(texts_of(batch, "text")):
                 text, _, _, anchor = runs_of([grain.units(t)[1] for t in part], grain.gram)
@@ -141,20 +144,24 @@ def _anchors(kind: type, bins: int):
             back = np.argsort(which, kind="stable").astype(np.int32)
             back_starts = np.append(np.searchsorted(which[back], np.arange(len(keys))), len(back))
             text_keys = batch.column(2)
+            yield _blob(-1 - slice_, slice_, pa.ListArray.from_arrays([0, len(text_keys)], text_keys), runs.tobytes(), None, None, None)
             for b in range(bins):
                 mine = order[cuts[b] : cuts[b + 1]]
                 if len(mine):
                     # All places of the slice's anchors, and how many each has.
                     n = back_starts[mine + 1] - back_starts[mine]
                     places = np.concatenate([back[back_starts[k] : back_starts[k + 1]] for k in mine]) if n.max() > 1 else first[mine].astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([b], pa.int32()), pa.ListArray.from_arrays([0, len(text_keys)], text_keys),
-                         pa.array([runs.tobytes()]), pa.array([_packed(keys[mine])]), pa.array([places.tobytes()]),
-                         pa.array([(n.astype(np.int32) * 2 + settled[mine]).astype(np.int32).tobytes()])],
-                        ["bin", "text_keys", "runs", "anchors", "places", "local"])
+                    local = (n.astype(np.int32) * 2 + settled[mine]).astype(np.int32)
+                    yield _blob(b, slice_, pa.nulls(1, pa.list_(pa.int64())), None, _packed(keys[mine]), places.tobytes(), local.tobytes())
     return run
 
 
+def _blob(bin_: int, slice_: int, text_keys: pa.Array, *blobs: bytes | None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([bin_], pa.int64()), pa.array([slice_], pa.int64()), text_keys, *[pa.array([b], pa.binary()) for b in blobs]],
+        ["bin", "slice", "text_keys", "runs", "anchors", "places", "local"])
+
+
 def _packed(keys: np.ndarray) -> bytes:
     """The upper 48 bits of each anchor: the few that agree in those alone are told apart when cut out."""
     return keys.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
@@ -166,30 +173,41 @@ def _unpacked(data: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Runs whose anchor stands in two texts, of one bin of anchors."""
-    rows = [[table.column(c)[i].as_py() for c in ("runs", "anchors", "places", "local")] for i in range(table.num_rows)]
-    anchors = [_unpacked(r[1]) for r in rows]
-    local = [np.frombuffer(r[3], np.int32) for r in rows]
+def _shared(key: tuple, table: pa.Table) -> pa.Table:
+    """Of each slice, the runs whose anchor stands in two texts, from one bin of anchors; slices' own rows pass."""
+    if key[0].as_py() < 0:
+        return table.select(["slice", "text_keys", "runs"]).append_column("chosen", pa.nulls(table.num_rows, pa.binary()))
+    rows = [[table.column(c)[i].as_py() for c in ("anchors", "places", "local")] for i in range(table.num_rows)]
+    anchors = [_unpacked(r[0]) for r in rows]
+    local = [np.frombuffer(r[2], np.int32) for r in rows]
     keys, which, n = np.unique(np.concatenate(anchors), return_inverse=True, return_counts=True)
     settled = np.concatenate(local) & 1
     common = (n > 1) | (np.bincount(which, settled, len(keys)) > 0)
     keep = common[which]
-    text_keys, flagged, at = [], [], 0
-    for i, (runs, _, places, _) in enumerate(rows):
+    slices_, chosen, at = [], [], 0
+    for i, (_, places, _) in enumerate(rows):
         mine = keep[at : at + len(anchors[i])]
         at += len(anchors[i])
-        if not mine.any():
-            continue
-        chosen = np.sort(np.frombuffer(places, np.int32)[np.repeat(mine, local[i] >> 1)])
-        starts = np.cumsum(np.frombuffer(runs, np.int32)) - np.frombuffer(runs, np.int32)
-        owner = np.searchsorted(starts, chosen, "right") - 1
-        nth = (chosen - starts[owner]).astype(np.int32)
-        first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-        key = table.column("text_keys")[i].as_py()
-        for a, b in zip(first, np.append(first[1:], len(owner))):
-            text_keys.append(key[owner[a]])
-            flagged.append(nth[a:b].tobytes())
+        if mine.any():
+            slices_.append(table.column("slice")[i].as_py())
+            chosen.append(np.frombuffer(places, np.int32)[np.repeat(mine, local[i] >> 1)].tobytes())
+    none = len(slices_)
+    return pa.table([pa.array(slices_, pa.int64()), pa.nulls(none, pa.list_(pa.int64())), pa.nulls(none, pa.binary()), pa.array(chosen, pa.binary())],
+                    ["slice", "text_keys", "runs", "chosen"])
+
+
+def _flagged(table: pa.Table) -> pa.Table:
+    """``(text_key, flagged)`` of one slice: the numbers of each text's runs that all bins have chosen."""
+    chosen = np.sort(np.frombuffer(b"".join(c for c in table.column("chosen").to_pylist() if c is not None), np.int32))
+    own = table.filter(pa.compute.is_valid(table.column("runs")))
+    counts, key = np.frombuffer(own.column("runs")[0].as_py(), np.int32), own.column("text_keys")[0].as_py()
+    starts = np.cumsum(counts) - counts
+    # A text without runs begins where the next one does: the last that begins there has them.
+    owner = np.searchsorted(starts, chosen, "right") - 1
+    nth = (chosen - starts[owner]).astype(np.int32)
+    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
+    text_keys = [key[owner[a]] for a in first]
+    flagged = [nth[a:b].tobytes() for a, b in zip(first, np.append(first[1:], len(owner)))]
     return pa.table([pa.array(text_keys, pa.int64()), pa.array(flagged, pa.binary())], ["text_key", "flagged"])
 
 
@@ -262,9 +280,9 @@ def marks(documents: DataFrame, kind: type, compare: Callable[[list[tuple[int, l
     total = texts.agg(F.sum("bytes").alias("n")).first()["n"] or 0
     bins = max(16, math.ceil(total / BIN_TEXT))
     blobs = source.mapInArrow(_anchors(kind, bins), _BLOBS)
-    flags = blobs.groupBy("bin").applyInArrow(_shared, _FLAGS)
+    flags = blobs.groupBy("bin").applyInArrow(_shared, _FOUND).groupBy("slice").applyInArrow(_flagged, _FLAGS)
     own = classes.filter("doc_id = earlier").select("doc_id", "text_key")
-    flags = flags.groupBy("text_key").agg(F.collect_list("flagged").alias("flagged")).join(own, "text_key")
+    flags = stored(flags.groupBy("text_key").agg(F.collect_list("flagged").alias("flagged")).join(own, "text_key"), "repeats-flags")
     # Equal rows that repeat an id are one document here.
     met = source.join(flags, ["doc_id", "text_key"]).select("doc_id", "text", "text_key", "flagged")
     cuts = stored(met.mapInArrow(_cut(kind), _CUTS), "repeats-cuts")

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reefgrid.llm import phrases, repeats, suffixes
 from reefgrid.llm.phrases import remove_repeated_words
@@ -115,3 +116,19 @@ def test_both_compare_alike():
     by_bytes = suffixes.first_documents([(1, cuts, firsts)])[0]
     spaced = [" ".join(c.decode()).encode() for c in cuts]
     assert phrases.first_documents([(1, spaced, firsts)])[0].tolist() == by_bytes.tolist()
+
+
+def test_anchor_rows_do_not_grow_with_the_bins(spark, docs):
+    """A slice's texts are written once, whatever the number of bins."""
+    from reefgrid.llm.repeats import _BLOBS, Bytes, Words, _anchors
+
+    random.seed(4)
+    rows = [(i, " ".join(f"w{random.randrange(10 ** 6)}" for _ in range(120))) for i in range(400)]
+    table = docs(rows).select("doc_id", "text", F.xxhash64("text").alias("text_key")).coalesce(1)
+    for kind in (Bytes, Words):
+        sizes = []
+        for bins in (16, 1250):
+            blobs = table.mapInArrow(_anchors(kind, bins), _BLOBS)
+            held = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in ("runs", "anchors", "places", "local")) + 8 * F.coalesce(F.size("text_keys"), F.lit(0))
+            sizes.append(blobs.agg(F.sum(held)).first()[0])
+        assert sizes[0] == sizes[1]
