@@ -157,12 +157,10 @@ HEALTH_RANGES = [
 
 
 def health(metrics: DataFrame, keys: list[str]) -> DataFrame:
-    """Each metric as ok, watch (outside its range) or alarm."""
+    """Each metric as ok, watch (outside its range), alarm, or missing where it has no value or no column."""
     checks = []
     for name, low, high, under, over in HEALTH_RANGES:
-        if name not in metrics.columns:
-            continue
-        v = F.col(name).cast("double")
+        v = (F.col(name) if name in metrics.columns else F.lit(None)).cast("double")
         outside, alarm = F.lit(False), F.lit(False)
         outside = outside | (v < low) if low is not None else outside
         outside = outside | (v > high) if high is not None else outside

@@ -155,12 +155,26 @@ def recommendations(s: Survey):
     return report.recommendations(_metrics(s), ["run_id"])
 
 
-@query("health", METRICS_SQL + """
+@query("health", METRICS_SQL + """,
+    hm AS (SELECT user_id % 10 AS run_id, CASE WHEN user_id % 10 <> 3 THEN count(*) FILTER (event_type = 'purchase') * 400.0::DOUBLE / count(*) END AS mem,
+                 count(*) FILTER (event_type = 'view') * 200.0::DOUBLE / count(*) AS gpu, count(*) FILTER (event_type IN ('view', 'signup')) * 100.0::DOUBLE / count(*) AS seen,
+                 max(value) / 3 / (count(*) / 1000.0::DOUBLE) AS per FROM events GROUP BY 1)
+    SELECT run_id, 'memory_pct' AS metric, round(mem, 4) AS value, CASE WHEN mem IS NULL THEN 'missing' WHEN mem > 90 THEN 'alarm' WHEN mem > 80 THEN 'watch' ELSE 'ok' END AS status FROM hm
+    UNION ALL SELECT run_id, 'gpu_pct', round(gpu, 4), CASE WHEN gpu < 10 THEN 'alarm' WHEN gpu < 50 THEN 'watch' ELSE 'ok' END FROM hm
+    UNION ALL SELECT run_id, 'points_seen_pct', round(seen, 4), CASE WHEN seen < 30 THEN 'alarm' WHEN seen < 50 THEN 'watch' ELSE 'ok' END FROM hm
+    UNION ALL SELECT run_id, 'db_gb_per_1000', round(per, 4), CASE WHEN per > 2 THEN 'watch' ELSE 'ok' END FROM hm
+    UNION ALL
     SELECT run_id, 'images_per_min' AS metric, round(speed, 4) AS value, CASE WHEN speed < 5 THEN 'alarm' WHEN speed > 50 THEN 'watch' ELSE 'ok' END AS status FROM d
     UNION ALL SELECT run_id, 'verification_pct', round(ver, 4), CASE WHEN ver < 30 THEN 'alarm' WHEN ver < 50 THEN 'watch' ELSE 'ok' END FROM d
     UNION ALL SELECT run_id, 'error_mean', round(error_mean, 4), CASE WHEN error_mean > 4 THEN 'alarm' WHEN error_mean > 2 THEN 'watch' ELSE 'ok' END FROM d""")
 def health(s: Survey):
-    return report.health(_metrics(s), ["run_id"]).withColumn("value", F.round("value", 4))
+    """All seven ranges; one run has no memory figure."""
+    kind, n, run = F.col("event_type"), F.count(F.lit(1)), (F.col("user_id") % 10).alias("run_id")
+    more = s.table("events").groupBy(run).agg(
+        (F.count_if(kind == "purchase") * 400.0 / n).alias("memory_pct"), (F.count_if(kind == "view") * 200.0 / n).alias("gpu_pct"),
+        (F.count_if(kind.isin("view", "signup")) * 100.0 / n).alias("points_seen_pct"), (F.max("value") / 3 / (n / 1000.0)).alias("db_gb_per_1000"),
+    ).withColumn("memory_pct", F.when(F.col("run_id") != 3, F.col("memory_pct")))
+    return report.health(_metrics(s).join(more, "run_id"), ["run_id"]).withColumn("value", F.round("value", 4))
 
 
 def _datasets(s: Survey):

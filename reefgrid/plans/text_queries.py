@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reefgrid.functions.names import coord_system
 from reefgrid.operators import report
+from reefgrid.operators.analysis import analyze_model
 from reefgrid.operators.ranks import number_rows
 from reefgrid.plans import text_files as files
 from reefgrid.plans.base import Registry
@@ -90,6 +91,21 @@ def tier_export(s: Survey):
     return number_rows(read_lines(s.spark, f"{out}/points3D.txt"), POSITION, "place").select("place", "line")
 
 
+@query("analysis_written", """
+    WITH p AS (SELECT o_orderkey AS id, o_orderkey % 40 + 0.125::DOUBLE AS error, coalesce(n, 0) AS track FROM orders
+               LEFT JOIN (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1) ON k = o_orderkey),
+    m AS (SELECT median(error) AS m FROM p)
+    SELECT 'tier ' || CASE WHEN track >= 5 AND error < m THEN 1 WHEN track >= 3 AND error < 2 * m THEN 2 WHEN error < 3 * m THEN 3 ELSE 0 END AS what, count(*) AS n FROM p, m GROUP BY 1
+    UNION ALL SELECT 'images', count(*) FROM part""")
+def analysis_written(s: Survey):
+    """A model analysed from its files; the written tables read back."""
+    result, out = analyze_model(s.spark, files.write_model(s)), scratch_path(s.spark, "analysis")
+    sink.write_analysis(result.points, result.tiered, result.image_quality, out)
+    tiers = s.spark.read.parquet(f"{out}/point_tiers").groupBy(F.concat(F.lit("tier "), F.col("tier").cast("string")).alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    rated = s.spark.read.parquet(f"{out}/image_quality").agg(F.count(F.lit(1)).alias("n")).select(F.lit("images").alias("what"), "n")
+    return tiers.unionByName(rated)
+
+
 @query("tier_read_back", "SELECT o_orderkey AS point_id, (o_orderkey % 4)::INTEGER AS tier FROM orders WHERE o_orderkey % 4 IN (1, 2)")
 def tier_read_back(s: Survey):
     """The second tier dataset, written by tier and read with only its folders."""

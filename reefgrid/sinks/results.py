@@ -10,7 +10,9 @@ def write_priors(priors: DataFrame, out: str) -> None:
     priors.write.mode("overwrite").parquet(out)
 
 
-def append_result(rows: DataFrame, out: str, run_date: str | None = None) -> None:
-    """Adds result rows, in a folder per run date when the column is named."""
-    writer = rows.write.mode("append")
-    (writer.partitionBy(run_date) if run_date else writer).parquet(out)
+def append_result(rows: DataFrame, out: str, run: str) -> None:
+    """Adds the rows of the runs named in column ``run``, a folder for each.
+
+    A run written before is replaced, so a job that runs twice leaves one set of its rows.
+    """
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run).parquet(out)

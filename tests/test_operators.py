@@ -121,10 +121,20 @@ def test_priors_use_default_accuracy(spark, tmp_path):
 
 
 def test_append_results(spark, tmp_path):
-    df = spark.createDataFrame([("a", 1, "d1")], "label string, n int, day string")
+    """A job that runs twice leaves one set of rows; other runs stay."""
+    df = lambda *rows: spark.createDataFrame(rows, "label string, n int, run string")
+    out = str(tmp_path / "r")
     for _ in range(2):
-        append_result(df, str(tmp_path / "r"), "day")
-    assert spark.read.parquet(str(tmp_path / "r")).count() == 2
+        append_result(df(("a", 1, "r1"), ("b", 2, "r1")), out, "run")
+        append_result(df(("c", 3, "r2")), out, "run")
+    append_result(df(("d", 4, "r1")), out, "run")
+    assert sorted((r.label, r.n, r.run) for r in spark.read.parquet(out).collect()) == [("c", 3, "r2"), ("d", 4, "r1")]
+
+
+def test_health_names_what_is_missing(spark):
+    rows = report.health(spark.createDataFrame([(1, 60.0, None)], "run bigint, images_per_min double, gpu_pct double"), ["run"]).collect()
+    assert {r.metric: r.status for r in rows} == {
+        "images_per_min": "watch", "gpu_pct": "missing", **{m: "missing" for m in ("memory_pct", "verification_pct", "points_seen_pct", "error_mean", "db_gb_per_1000")}}
 
 
 def test_names(spark):
