@@ -47,6 +47,20 @@ def boilerplate(occurrences: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
     return sketched.join(exact, key, "left").filter(spread >= min_sites).select(*key, "first_doc")
 
 
+def _between(lines: Column, runs: Column) -> Column:
+    """The lines outside the sorted runs, joined again: slices from the end of each run to the next, so each line is touched once."""
+    zero, one = F.array(F.lit(0)), F.lit(1)
+
+    def joined(held: Column) -> Column:
+        begins = F.concat(zero, F.transform(held["runs"], lambda r: r["end"] + one))
+        ends = F.concat(F.transform(held["runs"], lambda r: r["begin"]), F.array(F.size(held["lines"])))
+        stretches = F.filter(F.zip_with(begins, ends, lambda a, b: F.struct(a.alias("begin"), (b - a).alias("n"))), lambda e: e["n"] > 0)
+        return F.array_join(F.flatten(F.transform(stretches, lambda e: F.slice(held["lines"], e["begin"] + one, e["n"]))), "\n")
+
+    # Lines are bound to a name, or every slice would part the text anew.
+    return F.transform(F.array(F.struct(lines.alias("lines"), runs.alias("runs"))), joined)[0]
+
+
 def remove_boilerplate(documents: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``documents`` with boilerplate lines taken out of ``text``, plus ``n_lines`` and ``n_removed``.
 
@@ -57,7 +71,8 @@ def remove_boilerplate(documents: DataFrame, site: str = "source", min_sites: in
 
     A null text stays null with no lines. A null site counts for no spread, and
     a document with a null id keeps all its lines. Repeated rows are treated
-    alike. Other columns pass through; ``n_lines`` and ``n_removed`` of the input
+    alike, of equal lines each counts. Texts of very many lines cost in proportion
+    to them. Other columns pass through; ``n_lines`` and ``n_removed`` of the input
     are replaced. An empty table gives no rows.
     """
     keyed = _keyed(documents, site)
@@ -76,9 +91,7 @@ def remove_boilerplate(documents: DataFrame, site: str = "source", min_sites: in
         F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"))
     joined = packed.join(runs, ["doc_id", "text_key"], "left")
     lines = _lines(F.col("row.text"))
-    kept = F.array_join(
-        F.filter(lines, lambda _, i: ~F.exists("runs", lambda r: i.between(r["begin"], r["end"]))), "\n")
-    text = F.when(F.col("runs").isNull(), F.col("row.text")).otherwise(kept)
+    text = F.when(F.col("runs").isNull(), F.col("row.text")).otherwise(_between(lines, F.col("runs")))
     return joined.select(
         *[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns],
         F.when(F.col("row.text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),

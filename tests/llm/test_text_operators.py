@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -238,6 +239,18 @@ def test_near_duplicates_edges(docs):
     assert left.columns == table.columns and sorted(r.doc_id for r in left.collect()) == [1, 3]
 
 
+def test_line_spread_of_very_many_lines(docs):
+    """100 000 lines in a document, every other of them boilerplate."""
+    common = [f"common {i}" for i in range(50_000)]
+    rows = [(0, "\n".join(common), "s0"), (1, "\n".join(common), "s1")]
+    rows.append((2, "\n".join(x for i, c in enumerate(common) for x in (c, f"own {i}")), "s2"))
+    start = time.perf_counter()
+    got = as_dict(remove_boilerplate(docs(rows), min_sites=3))
+    assert time.perf_counter() - start < 60
+    assert got[2].n_removed == 50_000 and got[2].text == "\n".join(f"own {i}" for i in range(50_000))
+    assert got[0].n_removed == 0 and got[1].text == ""
+
+
 def test_line_spread_is_native(docs):
     """No Python on the executors."""
     plan = remove_boilerplate(docs([(1, "a", "s")]))._jdf.queryExecution().executedPlan().toString()
