@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,8 @@ _VOID = frozenset(["hr"])
 _CONTAINERS = frozenset("article body center div main section td".split())
 #: Open elements that a new element of the same group ends.
 _ENDED_BY = {"p": BLOCKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}}
+#: For parts of lists and tables, the open elements that they end.
+_ENDS = {tag: [t for t, enders in _ENDED_BY.items() if tag in enders] for tag in ("li", "dt", "dd", "tr", "td", "th")}
 _LISTS = frozenset("ul ol menu dl table".split())
 #: Elements and words of a class, id or role that mark what is not main text.
 _NOISE_TAGS = frozenset("nav aside footer form menu dialog fieldset search".split())
@@ -61,7 +65,8 @@ _READERS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|discussion|replies|
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _WELCOME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|body|content|entry|main|post|story|text)(?=$|[\s_-])", re.I)
 _DIGITS = re.compile(r"\d+")
-PATH_STEPS = 12
+#: Steps of a path that its name spells out (for reading only).
+READABLE_STEPS = 12
 #: A page's own container takes the place of its host's path if that holds less than this share of the other's text,
 #: and the other at least so many characters.
 LEAST_SHARE, TELLING_CHARS = 0.2, 200
@@ -84,6 +89,7 @@ class Page:
 
     def _read(self, source: str) -> None:
         stack = [0]
+        opened: Counter = Counter()  # elements of each tag on the stack: an end tag without a start is passed over at once
         parts: list[str] = []
         linked, in_link, at = 0, False, 0
 
@@ -96,6 +102,10 @@ class Page:
                 parts.clear()
             linked = 0
 
+        def close(depth: int) -> None:
+            opened.subtract(self.tags[e] for e in stack[depth:])
+            del stack[depth:]
+
         def add(text: str) -> None:
             nonlocal linked
             parts.append(text)
@@ -120,24 +130,26 @@ class Page:
                 continue
             flush()
             if ends:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if self.tags[stack[depth]] == tag:
-                        del stack[depth:]
-                        in_link = False
-                        break
+                if opened[tag] > 0:
+                    depth = len(stack) - 1
+                    while self.tags[stack[depth]] != tag:
+                        depth -= 1
+                    close(depth)
+                    in_link = False
                 continue
             while len(stack) > 1 and tag in _ENDED_BY.get(self.tags[stack[-1]], ()):
-                stack.pop()
-            if tag == "li" or tag in ("dt", "dd", "tr", "td", "th"):
+                close(len(stack) - 1)
+            if tag in _ENDS and any(opened[t] for t in _ENDS[tag]):
                 for depth in range(len(stack) - 1, 0, -1):
                     open_ = self.tags[stack[depth]]
                     if open_ in _LISTS:
                         break
                     if tag in _ENDED_BY.get(open_, ()):
-                        del stack[depth:]
+                        close(depth)
                         break
             if tag not in _VOID:
                 stack.append(self._element(tag, match["attributes"] or "", stack[-1]))
+                opened[tag] += 1
         if at < len(source):
             add(source[at:])
         flush()
@@ -197,14 +209,21 @@ class Page:
                 self.noise[e] = self.noise[e] or not (holds or most)
             self.noise[e] = self.noise[e] or self.noise[self.parents[e]]
 
-    def path(self, element: int) -> str:
-        """The innermost PATH_STEPS generalised steps to an element; html and body, which may be left out, are none."""
-        steps: list[str] = []
-        while element > 0 and len(steps) < PATH_STEPS:
-            if self.steps[element]:
-                steps.append(self.steps[element])
-            element = self.parents[element]
-        return "/".join(reversed(steps))
+    def paths(self) -> list[str]:
+        """The generalised steps to every container, html and body, which may be left out, being none: the innermost
+        READABLE_STEPS as they are, and a chained hash of all of them, so that any depth tells paths apart."""
+        out, chain, size = [""] * len(self.tags), [""] * len(self.tags), len(self.tags)
+        for element in range(1, size):
+            step, above = self.steps[element], chain[self.parents[element]]
+            chain[element] = xxhash.xxh3_64_hexdigest(f"{above}/{step}") if step else above
+            if self.tags[element] in _CONTAINERS and chain[element]:
+                steps, up = [], element
+                while up > 0 and len(steps) < READABLE_STEPS:
+                    if self.steps[up]:
+                        steps.append(self.steps[up])
+                    up = self.parents[up]
+                out[element] = "/".join(reversed(steps)) + "#" + chain[element]
+        return out
 
     def scores(self) -> dict[int, float]:
         """Text that each container holds itself, and half of what its child containers hold."""
@@ -231,8 +250,9 @@ class Page:
     def votes(self) -> dict[str, int]:
         """Per mille of the best score that the page's good container paths reach."""
         by_path: dict[str, float] = {}
+        paths = self.paths()
         for element, score in self.scores().items():
-            path = self.path(element)
+            path = paths[element]
             by_path[path] = by_path.get(path, 0.0) + score
         best = max(by_path.values(), default=0.0)
         return {p: round(1000 * s / best) for p, s in by_path.items() if p and best > 0 and s >= best / 2}
@@ -241,7 +261,8 @@ class Page:
         """Blocks within the elements of ``path``, widened; without such, or if the page's best container holds far more, within that, or all."""
         roots = set()
         if path:
-            roots = {i for i, t in enumerate(self.tags) if t in _CONTAINERS and not self.noise[i] and self.path(i) == path}
+            paths = self.paths()
+            roots = {i for i, t in enumerate(self.tags) if t in _CONTAINERS and not self.noise[i] and paths[i] == path}
         scores = self.scores()
         inside = self._within(self._widened(roots))
         own = self._within(self._widened({max(scores, key=lambda e: (scores[e], -e))} if scores else {0}))
@@ -261,17 +282,17 @@ class Page:
             noisy[element] += self.noise[element]
         for element in range(len(self.tags) - 1, 0, -1):
             noisy[self.parents[element]] += noisy[element]
+        size = len(self.tags)
+        main, widest = [0] * size, [0] * size  # the article or main element around each element, and where it widens to
+        for e in range(1, size):  # parents come before their children
+            up = self.parents[e]
+            main[e] = e if self.tags[e] in ("article", "main") else main[up]
+            # Whoever adds no noise goes where its parent goes; a parent that is no container passes on what lies above it.
+            widest[e] = widest[up] if widest[up] and noisy[up] == noisy[e] else e if self.tags[e] in _CONTAINERS and self.tags[e] != "body" else 0
         out = set()
         for root in roots:
-            element = widest = root
-            while element > 0 and self.inside[element] and self.tags[element] not in ("article", "main"):
-                element = self.parents[element]
-            if self.inside[element]:
-                widest = element  # the article or main element around the root
-            while (element := self.parents[element]) > 0 and noisy[element] == noisy[widest]:
-                if self.tags[element] in _CONTAINERS and self.tags[element] != "body":
-                    widest = element
-            out.add(widest)
+            start = main[root] or root
+            out.add(widest[start] or start)
         return out
 
     def _within(self, roots: set[int]) -> list[bool]:
@@ -334,7 +355,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     sidebars, notices, adverts, forms and comments; character references are
     decoded, white space within a block is one space, blocks are joined by line
     feeds. Null and empty pages have empty texts. Pages without a readable host
-    vote together. Repeated rows give a row each; other columns are ignored.
+    vote together. Pages are read whole, in time that grows with their length alone,
+    however deep or broken. Repeated rows give a row each; other columns are
+    ignored; an empty table gives no rows.
     """
     paths = stored(host_paths(pages), "host-paths")
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(paths, "host", "left")

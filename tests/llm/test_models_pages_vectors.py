@@ -1,5 +1,7 @@
 """Classifiers by held-out accuracy, page extraction on fixtures, neighbours by recall."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -79,7 +81,7 @@ def test_extraction(spark):
     assert texts[6] == "Ok." and texts[7] == "" and texts[8] == "" and texts[9] == "just text <b>"
     assert texts[10].startswith("open tags\ngo on") and texts[10].endswith("deep")
     assert all(r.n_chars == len(r.text) for r in out)
-    assert {r.host: r.path for r in host_paths(table).collect()}["news.example.com"] == "div.w#.wrap/div.post-#.story"
+    assert {r.host: r.path.rsplit("#", 1)[0] for r in host_paths(table).collect()}["news.example.com"] == "div.w#.wrap/div.post-#.story"
     assert extract_pages(table.limit(0)).count() == 0
 
 
@@ -202,3 +204,38 @@ def test_sample_keeps_the_smallest_hashes_without_a_task_for_a_class(spark, docs
     want = {r.doc_id for c in (0, 1) for r in sorted((r for r in usable if r.toxic == c), key=lambda r: r.h)[:1500]}
     got = found.collect()
     assert len(got) == 3000 and {r.doc_id for r in got} == want
+
+
+@pytest.mark.parametrize("source", [
+    "<div class=c>" * 100_000 + "<p>deep text of the page</p>",
+    "<p>text</p>" + "</div>" * 100_000 + "</span></td>" * 1000,
+    "<div>" + "</p><table><tr><td>x</table>" * 30_000,
+    "<div>" * 30_000 + "<li>x" * 30_000,
+    "<div class=a><p>" * 50_000 + "end" + "</div>" * 50_000,
+])
+def test_long_broken_pages_take_linear_time(source):
+    start = time.perf_counter()
+    page = Page(source)
+    votes = page.votes()
+    page.text(max(votes, key=votes.get, default=None))
+    assert time.perf_counter() - start < 10
+
+
+def test_paths_differ_at_any_depth():
+    inner = "<div class=x>" * 20 + "<p>" + "words " * 60
+    page = Page(f"<div class=a>{inner}" + "</div>" * 21 + f"<div class=b>{inner}")
+    named = [p for p in page.paths() if p]
+    assert len(named) == len(set(named)) == 42
+
+
+def test_a_host_without_article_is_decided_by_its_votes(spark):
+    """Two templates: most pages of the host hold their text in div.copy, and div.promo is large on one page only."""
+    good = "<div class=copy><p>" + "the main text goes on. " * 12 + "</p></div>"
+    page = "<html><body><div class=wrap><ul class=menu><li>Home<li>News</ul><div class=promo><p>{}</p></div>{}</div></body></html>"
+    rows = [(i, "http://h.org/%d" % i, page.format("buy this now", good)) for i in range(8)]
+    rows.append((8, "http://h.org/8", page.format("buy this now and that too. " * 14, good)))
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    paths = host_paths(table).collect()
+    assert [p.path.rsplit("#", 1)[0].split("/")[-1] for p in paths] == ["div.copy"]
+    got = extract_pages(table).collect()
+    assert all("the main text goes on." in r.text for r in got)
