@@ -292,9 +292,9 @@ def marks(documents: DataFrame, kind: type, compare: Callable[[list[tuple[int, l
     usual = distinct.join(crowded, "anchor", "left_anti")
     shards = max(16, math.ceil((distinct.agg(F.sum(F.octet_length("cut")).alias("n")).first()["n"] or 0) / SHARD_BYTES))
     cover = usual.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(_sharded(compare, kind), _COVER)
-    cover = cover.unionByName(_crowded(distinct.join(crowded, "anchor"), kind))
+    cover = stored(cover.unionByName(_crowded(distinct.join(crowded, "anchor"), kind)), "repeats-cover")
     spans = cuts.select("anchor", "f1", "doc_id", "text_key", "begin").join(cover, ["anchor", "f1"]).select("doc_id", "text_key", "begin", "firsts")
-    found = spans.mapInArrow(_spans, _MARKS).groupBy("doc_id", "text_key").agg(F.collect_list("spans").alias("spans"))
+    found = stored(spans.mapInArrow(_spans, _MARKS).groupBy("doc_id", "text_key").agg(F.collect_list("spans").alias("spans")), "repeats-found")
     copies = classes.filter("doc_id > earlier")
     return copies.withColumn("spans", F.lit(None).cast("array<binary>")).unionByName(found.withColumn("earlier", F.lit(None).cast("long")))
 
