@@ -44,7 +44,7 @@ _MARKS = "doc_id long, text_key long, spans binary"
 class Bytes:
     """Texts as their UTF-8 bytes."""
 
-    gram = 20
+    gram = 28
 
     def units(self, text: bytes) -> tuple[bytes, np.ndarray]:
         return text, np.frombuffer(text, np.uint8).astype(np.uint64)
