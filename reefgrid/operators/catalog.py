@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from reefgrid.functions.names import extension, is_image_name, model_code, model_name, stem
 from reefgrid.functions.sizing import camera_params, focal_px
 from reefgrid.operators.ranks import last_by_key
+from reefgrid.session import pin
+
+#: Up to so many different prefixes of rules are sent to all tasks.
+BROADCAST_RULES = 100_000
 
 
 def assign_cameras(images: DataFrame, rules: DataFrame, anchored: bool = False) -> DataFrame:
@@ -17,13 +21,13 @@ def assign_cameras(images: DataFrame, rules: DataFrame, anchored: bool = False)
     that prefixes have meet the prefixes in an equi-join, however many rules
     there are. Lengths are at most those of a file name, so their array is small.
     """
-    first = rules.filter(F.col("prefix").isNotNull()).groupBy("prefix").agg(F.min("rule_idx").alias("rule_idx"))
-    lengths = first.agg(F.array_sort(F.collect_set(F.length("prefix")))).scalar()
-    names = images.select("name").distinct().withColumn("_length", F.explode(lengths)).filter(F.length("name") >= F.col("_length"))
+    first = pin(rules.filter(F.col("prefix").isNotNull()).groupBy("prefix").agg(F.min("rule_idx").alias("rule_idx")))
+    n, lengths = first.agg(F.count(F.lit(1)), F.array_sort(F.collect_set(F.length("prefix")))).first()
     last = F.lit(1) if anchored else F.length("name") - F.col("_length") + 1
-    parts = names.withColumn("_at", F.explode(F.sequence(F.lit(1), last))).select(
-        "name", F.substring("name", F.col("_at"), F.col("_length")).alias("prefix")).distinct()
-    found = parts.join(first, "prefix").groupBy("name").agg(F.min("rule_idx").alias("rule_idx"))
+    parts = images.select("name", F.explode(F.lit(lengths).cast("array<int>")).alias("_length")).filter(F.length("name") >= F.col("_length")).select(
+        "name", "_length", F.explode(F.sequence(F.lit(1), last)).alias("_at")).select("name", F.expr("substring(name, _at, _length)").alias("prefix"))
+    # Few prefixes are known to every task; many meet the names' parts in a shuffle.
+    found = parts.join(F.broadcast(first) if n <= BROADCAST_RULES else first, "prefix").groupBy("name").agg(F.min("rule_idx").alias("rule_idx"))
     return images.join(found, "name", "left").select(*images.columns, "rule_idx")
 
 

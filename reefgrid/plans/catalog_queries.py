@@ -106,11 +106,17 @@ def _assigned(s: Survey):
     return catalog.assign_cameras(s.images(), s.camera_rules())
 
 
-def _created(s: Survey):
-    counts = catalog.rule_counts(_assigned(s), s.camera_rules(), s.cameras())
+def _created(s: Survey, assigned=None):
+    counts = catalog.rule_counts(_assigned(s) if assigned is None else assigned, s.camera_rules(), s.cameras())
     return catalog.new_cameras(s.camera_rules(), counts, s.cameras())
 
 
+def _assigned_and_created(s: Survey):
+    """The assignment, found once for all that read it, and the cameras that come of it."""
+    assigned = pin(_assigned(s))
+    return assigned, _created(s, assigned)
+
+
 @query("camera_assign", ASSIGNED_SQL + "SELECT image_id, rule_idx FROM asg")
 def camera_assign(s: Survey):
     return _assigned(s).select("image_id", "rule_idx")
@@ -139,14 +145,14 @@ def new_cameras(s: Survey):
 @query("images_reassigned", ASSIGNED_SQL + """
     SELECT a.image_id, CAST(coalesce(m.camera_id, a.camera_id) AS BIGINT) AS camera_id FROM asg a LEFT JOIN made m ON m.rule_idx = a.rule_idx""")
 def images_reassigned(s: Survey):
-    return catalog.reassign(_assigned(s), _created(s)).select("image_id", "camera_id")
+    return catalog.reassign(*_assigned_and_created(s)).select("image_id", "camera_id")
 
 
 @query("rigs_frames", ASSIGNED_SQL + """
     SELECT CAST(m.camera_id AS BIGINT) AS rig_id, count(*) AS n_frames, min(a.image_id) AS first_frame
     FROM asg a JOIN made m ON m.rule_idx = a.rule_idx GROUP BY 1""")
 def rigs_frames(s: Survey):
-    rigs, frames, frame_data = catalog.build_rigs(_assigned(s), _created(s))
+    rigs, frames, frame_data = catalog.build_rigs(*_assigned_and_created(s))
     return rigs.join(frames, "rig_id").join(frame_data.select("frame_id", "data_id"), "frame_id").groupBy("rig_id").agg(
         F.count("data_id").alias("n_frames"), F.min("frame_id").alias("first_frame")
     )
@@ -157,8 +163,9 @@ def rigs_frames(s: Survey):
     cams AS (SELECT c::BIGINT AS camera_id FROM range(0, 4) t(c) UNION ALL SELECT camera_id FROM made)
     SELECT camera_id FROM cams WHERE camera_id NOT IN (SELECT camera_id FROM now)""")
 def orphan_cameras(s: Survey):
-    cameras = s.cameras().select("camera_id").unionByName(_created(s).select("camera_id"))
-    return catalog.orphan_cameras(cameras, catalog.reassign(_assigned(s), _created(s)))
+    assigned, created = _assigned_and_created(s)
+    cameras = s.cameras().select("camera_id").unionByName(created.select("camera_id"))
+    return catalog.orphan_cameras(cameras, catalog.reassign(assigned, created))
 
 
 @query("cameras_by_model", with_views("images", "cameras") + """
