@@ -25,7 +25,7 @@ SHINGLE_WORDS = 5
 PERMUTATIONS = 138
 BAND_VALUES = 6
 #: Documents of a hub, and the shingles they have apart from it, in one block; shingles of a block pair counted at once.
-BLOCK_DOCS, BLOCK_SHINGLES, COLUMNS = 1024, 2_000_000, 4096
+BLOCK_DOCS, BLOCK_SHINGLES, COLUMNS = 512, 1_000_000, 2048
 BANDS = 2 * PERMUTATIONS // BAND_VALUES
 
 _SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>"
@@ -197,8 +197,13 @@ def _joining(rows: list[tuple], percent: int, alone: bool) -> list[tuple[int, in
         [np.array([len(r[3]) for r in side]) for side in (left, right)])
     common = _in_common([r[3] for r in left], [r[3] for r in right]).astype(np.int64)
     apart = aparts[0][:, None] + aparts[1][None, :] - 2 * common
-    total = sizes[0][:, None] + sizes[1][None, :]
-    links = (100 * (total - apart) >= percent * (total + apart)) & (labels[0][:, None] != labels[1][None, :])
+    del common
+    # 100 * (total - apart) >= percent * (total + apart), in one matrix
+    total = (100 - percent) * (sizes[0][:, None] + sizes[1][None, :])
+    apart *= 100 + percent
+    links = total >= apart
+    del total, apart
+    links &= labels[0][:, None] != labels[1][None, :]
     out = []
     for i in np.flatnonzero(links.any(axis=1)):
         for j in np.flatnonzero(links[i]):
