@@ -26,14 +26,14 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet into the shared folder and read again.
 
     Cuts lineage: rows computed once stay the same for every later reader, and
     an executor lost later takes nothing with it.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     # Shuffle files of what has been written go when the driver's JVM collects its garbage.
     df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)

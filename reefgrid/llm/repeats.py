@@ -44,7 +44,7 @@ _MARKS = "doc_id long, text_key long, spans binary"
 class Bytes:
     """Texts as their UTF-8 bytes."""
 
-    gram = 28
+    gram = 20
 
     def units(self, text: bytes) -> tuple[bytes, np.ndarray]:
         return text, np.frombuffer(text, np.uint8).astype(np.uint64)
@@ -285,16 +285,16 @@ def marks(documents: DataFrame, kind: type, compare: Callable[[list[tuple[int, l
     flags = stored(flags.groupBy("text_key").agg(F.collect_list("flagged").alias("flagged")).join(own, "text_key"), "repeats-flags")
     # Equal rows that repeat an id are one document here.
     met = source.join(flags, ["doc_id", "text_key"]).select("doc_id", "text", "text_key", "flagged")
-    cuts = stored(met.mapInArrow(_cut(kind), _CUTS), "repeats-cuts")
-    distinct = stored(cuts.groupBy("anchor", "f1", "cut").agg(F.min("doc_id").alias("first")), "repeats-distinct")
+    cuts = stored(met.mapInArrow(_cut(kind), _CUTS), "repeats-cuts", "zstd")
+    distinct = stored(cuts.groupBy("anchor", "f1", "cut").agg(F.min("doc_id").alias("first")), "repeats-distinct", "zstd")
     sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     crowded = stored(sizes.filter(F.col("n") > CROWDED).select("anchor"), "repeats-crowded")
     usual = distinct.join(crowded, "anchor", "left_anti")
     shards = max(16, math.ceil((distinct.agg(F.sum(F.octet_length("cut")).alias("n")).first()["n"] or 0) / SHARD_BYTES))
     cover = usual.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(_sharded(compare, kind), _COVER)
-    cover = stored(cover.unionByName(_crowded(distinct.join(crowded, "anchor"), kind)), "repeats-cover")
+    cover = stored(cover.unionByName(_crowded(distinct.join(crowded, "anchor"), kind)), "repeats-cover", "zstd")
     spans = cuts.select("anchor", "f1", "doc_id", "text_key", "begin").join(cover, ["anchor", "f1"]).select("doc_id", "text_key", "begin", "firsts")
-    found = stored(spans.mapInArrow(_spans, _MARKS).groupBy("doc_id", "text_key").agg(F.collect_list("spans").alias("spans")), "repeats-found")
+    found = stored(spans.mapInArrow(_spans, _MARKS).groupBy("doc_id", "text_key").agg(F.collect_list("spans").alias("spans")), "repeats-found", "zstd")
     copies = classes.filter("doc_id > earlier")
     return copies.withColumn("spans", F.lit(None).cast("array<binary>")).unionByName(found.withColumn("earlier", F.lit(None).cast("long")))
 
