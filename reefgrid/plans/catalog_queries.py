@@ -266,13 +266,14 @@ def isolated_images(s: Survey):
     return pairs.isolated_images(s.images(), s.sparse_view()).select("image_id")
 
 
-@query("image_components", with_views("sparse", "images", recursive=True) + """
-    , e AS MATERIALIZED (SELECT image_id1 AS u, image_id2 AS v FROM sparse UNION ALL SELECT image_id2, image_id1 FROM sparse),
+@query("image_components", with_views("matches", "images", recursive=True) + """
+    , e AS MATERIALIZED (SELECT image_id1 AS u, image_id2 AS v FROM matches WHERE verified > 0
+          UNION ALL SELECT image_id2, image_id1 FROM matches WHERE verified > 0),
     reach(u, v) AS (SELECT image_id, image_id FROM images UNION SELECT reach.u, e.v FROM reach JOIN e ON e.u = reach.v),
     lab AS (SELECT u, min(v) AS component FROM reach GROUP BY 1)
     SELECT component, count(*) AS n_nodes FROM lab GROUP BY 1""")
 def image_components(s: Survey):
-    return component_sizes(pairs.image_components(s.sparse_view(), s.images()))
+    return component_sizes(pairs.image_components(s.two_view(), s.images()))
 
 
 @query("sampled_pairs")

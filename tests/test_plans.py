@@ -76,5 +76,20 @@ def test_any_verified_pair_joins_images(spark):
         def sparse_view(self):
             return spark.createDataFrame([(1, 2, 1), (2, 3, 79), (3, 4, 0)], "image_id1 bigint, image_id2 bigint, rows bigint")
 
+        two_view = sparse_view
+
     assert [r.image_id for r in isolated_images(Weak()).collect()] == [4]
     assert sorted((r.component, r.n_nodes) for r in image_components(Weak()).collect()) == [(1, 3), (4, 1)]
+
+
+def test_image_components_take_the_pairs_of_all_lines(spark, tmp_path):
+    lines = [(1, 1, 1, "N", 40.0), (3, 1, 2, "A", 50.0), (5, 0, 7, "R", 3.0), (7, 0, 7, "A", 5.0)]
+    spark.createDataFrame(lines, "l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(i, 1) for i in range(10)], "p_partkey long, p_size long").write.parquet(str(tmp_path / "part.parquet"))
+    found = entry.queries()["image_components"](spark, str(tmp_path))
+    assert sorted((r.component, r.n_nodes) for r in found.collect()) == [(0, 1), (1, 3), (2, 1), (4, 1), (6, 1), (7, 2), (9, 1)]
+    with duckdb.connect() as con:
+        for t in ("lineitem", "part"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+        rows = con.execute(entry.oracle_sql()["image_components"]).fetchall()
+    assert sorted(rows) == sorted((r.component, r.n_nodes) for r in found.collect())
