@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,10 @@ from reefgrid.plans.views import Survey
 from reefgrid.session import scratch_path
 
 
+#: A large table's text goes into more files: one for so many of its rows.
+FILE_ROWS = 2_000_000
+
+
 def _text(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
@@ -25,6 +31,11 @@ def _put(lines: DataFrame, out: str, order: list[str], files: int | None = None)
     return out
 
 
+def _files(rows: DataFrame, least: int = 3) -> int:
+    """The number of files for a text that grows with ``rows``."""
+    return max(least, math.ceil(rows.count() / FILE_ROWS))
+
+
 def _several(df: DataFrame, keys: list[str], *lines: tuple[Column | bool, Column]) -> DataFrame:
     """The given lines of every row whose condition holds, numbered by ``part``."""
     each = F.array(*[F.struct(F.lit(i).alias("part"), F.when(F.lit(c) if isinstance(c, bool) else c, line).alias("line")) for i, (c, line) in enumerate(lines)])
@@ -33,7 +44,7 @@ def _several(df: DataFrame, keys: list[str], *lines: tuple[Column | bool, Column
 
 def write_model(s: Survey) -> str:
     """A sparse model's text files: repeated ids, short lines, comments and strays among them."""
-    root = scratch_path(s.spark, "model")
+    root, n_files = scratch_path(s.spark, "model"), _files(s.table("lineitem"))
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     seen = s.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("track"))
     track = F.concat_ws("", F.transform("track", lambda t: _text(" ", _s(t["l_partkey"]), " ", _s(t["l_linenumber"]))))
@@ -42,7 +53,7 @@ def write_model(s: Survey) -> str:
     orders = s.table("orders").join(seen, "o_orderkey", "left").withColumn("at", ok)
     points = _several(orders, ["at"], (ok % 7 == 0, _text(_s(ok), " 0 0 0 0 0 0 9.5")), (True, point), (ok % 11 == 0, _text(_s(ok), " 1 2 3")), (ok % 13 == 0, _text("# note ", _s(ok))))
     head = s.spark.createDataFrame([(-2, 0, "# 3D point list"), (-1, 0, "#   one line each")], "at bigint, part int, line string")
-    _put(points.unionByName(head), f"{root}/points3D.txt", ["at", "part"], 3)
+    _put(points.unionByName(head), f"{root}/points3D.txt", ["at", "part"], n_files)
 
     pk, size = F.col("p_partkey"), F.col("p_size")
     pose = _text(_s(pk), " 1 0 0 0 ", _s(pk % 17), ".5 ", _s(size % 13), ".25 ", _s(40 + size), " ", _s(size % 4), " ", s._image_name(pk, size))
@@ -55,7 +66,7 @@ def write_model(s: Survey) -> str:
     images = _several(
         parts, ["at"], (pk % 9 == 0, _text(_s(pk), " 0 1 0 0 9 9 9 9 stale.jpg")), (pk % 9 == 0, F.lit("1 1 5")), (True, pose), (pk % 14 == 5, F.lit("# between")),
         (True, _text(F.col("obs"), F.when(pk % 10 == 3, " 7 8").otherwise(""))), (pk % 15 == 4, F.lit("a stray line")))
-    _put(images.unionByName(s.spark.createDataFrame([(-1, 0, "# Image list")], "at bigint, part int, line string")), f"{root}/images.txt", ["at", "part"], 3)
+    _put(images.unionByName(s.spark.createDataFrame([(-1, 0, "# Image list")], "at bigint, part int, line string")), f"{root}/images.txt", ["at", "part"], n_files)
 
     sk = F.col("s_suppkey")
     camera = _text(_s(sk), " ", F.when(sk % 2 == 0, "PINHOLE").otherwise("OPENCV"), " ", _s(1000 + sk), " ", _s(700 + F.col("s_nationkey")), " ", _s(sk % 90 + 1000), ".5 ",
@@ -86,14 +97,14 @@ def write_rules(s: Survey) -> str:
 
 
 def write_metric_log(s: Survey) -> str:
-    return _put(s.metric_lines(), scratch_path(s.spark, "metrics"), ["line_no"], 3)
+    return _put(s.metric_lines(), scratch_path(s.spark, "metrics"), ["line_no"], _files(s.table("events")))
 
 
 def write_gpu_log(s: Survey) -> str:
     n = F.col("event_id")
     line = _text(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"), ",", F.col("event_type"), ",", _s(n % 9000), ",", _s(n % 70), ",32607")
     lines = _several(s.table("events").withColumn("at", n), ["at"], (n % 100 == 0, F.lit("timestamp,label,used_mib,free_mib,total_mib")), (True, line))
-    return _put(lines, scratch_path(s.spark, "gpu"), ["at", "part"], 3)
+    return _put(lines, scratch_path(s.spark, "gpu"), ["at", "part"], _files(s.table("events")))
 
 
 def write_stage_logs(s: Survey) -> str:
