@@ -33,17 +33,17 @@ def is_data():
 def with_previous(df: DataFrame, state: dict, out: str = "prev") -> DataFrame:
     """The given fields of the preceding row of the same file, as struct ``out``.
 
-    Rows look back inside their own block. Only the first row of a block needs
-    the last row of an earlier block, found in a table of one row per block.
+    Rows look back inside their own block, by their place and state alone: the
+    lines themselves are dealt by place, so that no task holds a block of them.
+    Only the first row of a block needs the last row of an earlier block, found
+    in a table of one row per block.
     """
-    carried = F.struct(*[c.alias(name) for name, c in state.items()])
+    narrow = df.select("file", "block", "seq", F.struct(*[c.alias(name) for name, c in state.items()]).alias("_state"))
     inside = Window.partitionBy("file", "block").orderBy("seq")
-    linked = df.withColumn("_state", carried).withColumn("_before", F.lag("_state").over(inside))
-    ends = df.select("file", "block", "seq", carried.alias("_state")).groupBy("file", "block").agg(
-        F.max_by("_state", "seq").alias("_end")
-    )
+    linked = narrow.withColumn("_before", F.lag("_state").over(inside))
+    ends = narrow.groupBy("file", "block").agg(F.max_by("_state", "seq").alias("_end"))
     across = Window.partitionBy("file").orderBy("block")
     edges = ends.select("file", "block", F.lag("_end").over(across).alias("_edge"))
-    return linked.join(edges, ["file", "block"], "left").withColumn(
-        out, F.coalesce("_before", "_edge")
-    ).drop("_state", "_before", "_edge")
+    before = linked.join(F.broadcast(edges), ["file", "block"], "left").select(
+        *POSITION, F.coalesce("_before", "_edge").alias(out))
+    return df.join(before, POSITION)

@@ -9,7 +9,7 @@ from reefgrid.operators.tiers import point_tiers
 from reefgrid.sinks.tiers import export_tier_text, read_tier, write_manifest, write_tier
 from reefgrid.sources.inventory import count_by_extension, find_models, image_inventory
 from reefgrid.sources.text_model import (
-    camera_details, read_cameras, read_images, read_points, read_points_raw, rewrite_image_lines, tracks,
+    camera_details, classified_image_lines, read_cameras, read_images, read_points, read_points_raw, rewrite_image_lines, tracks,
 )
 
 POSE = "1 0.8 0.1 0.2 0.3 4.0 5.5 6.25 1 "
@@ -191,3 +191,34 @@ def test_find_models_and_inventory(spark, write, tmp_path):
     assert found[1].files["cameras.txt"].endswith("a/b/Cameras.txt")
     counts = {r.ext: r.n_files for r in count_by_extension(image_inventory(spark, str(tmp_path / "m"))).collect()}
     assert counts == {"jpg": 1, "jpeg": 1, "png": 1}
+
+
+def test_looking_back_holds_no_lines(spark, write):
+    path = write("images.txt", "1 1 0 0 0 0 0 0 1 a.jpg\n1 2 3\n")
+    plan = classified_image_lines(spark, path)._jdf.queryExecution().optimizedPlan()
+    windows, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        windows += [node] if node.nodeName() == "Window" else []
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert windows and not any("parts#" in w.output().toString() or "line#" in w.output().toString() for w in windows)
+
+
+def test_written_models_get_more_files_with_more_rows(spark, monkeypatch, tmp_path):
+    from reefgrid.plans import text_files
+    from reefgrid.plans.views import Survey
+
+    tables = {
+        "orders": ([(i, i % 5) for i in range(30)], "o_orderkey long, o_custkey long"),
+        "lineitem": ([(i % 30, i % 11, i % 4, 2.0, "N") for i in range(90)], "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_returnflag string"),
+        "part": ([(i, i) for i in range(12)], "p_partkey long, p_size long"), "supplier": ([(1, 2)], "s_suppkey long, s_nationkey long"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    survey = Survey(spark, str(tmp_path))
+    read = lambda: read_points(spark, text_files.write_model(survey) + "/points3D.txt")
+    few = read()
+    monkeypatch.setattr(text_files, "FILE_ROWS", 10)
+    many = read()
+    assert few.select("file").distinct().count() <= 3 < many.select("file").distinct().count()
+    assert few.count() == 30 and few.drop("file", "block", "seq").exceptAll(many.drop("file", "block", "seq")).isEmpty()
