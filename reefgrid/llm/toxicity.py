@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 
 from reefgrid.llm.common import CACHE_WORDS, mixed, slices, stored
 from reefgrid.llm.decontaminate import words_of
-from reefgrid.llm.labelled import Logistic, held_out, sample
+from reefgrid.llm.labelled import Logistic, held_out, labelled
 
-#: Labelled documents of each class that the models learn from at most; a quarter of them calibrates the score.
-FIT_ROWS = 4096
+#: One labelled document of so many calibrates the score; the others are counted.
+CALIBRATES = 4
+#: Words whose differences a worker remembers (a matter of memory only).
+KNOWN_WORDS = CACHE_WORDS // 2
 #: Letters of the longest n-grams; n-grams of up to SHARED letters are counted over both classes.
 ORDER = 6
 SHARED = 3
@@ -155,7 +157,7 @@ class KneserNey:
     def differences(self, words: list[bytes]) -> np.ndarray:
         """log p(word | toxic) - log p(word | ordinary) of every word, within -8 and 8."""
         fresh = list({w for w in words if w not in self.known})
-        if len(self.known) + len(fresh) > 2 * CACHE_WORDS:
+        if len(self.known) + len(fresh) > KNOWN_WORDS:
             self.known.clear()
             fresh = list(set(words))
         for i in range(0, len(fresh), 20_000):
@@ -181,7 +183,7 @@ class KneserNey:
 def _merged(tables: list[tuple[np.ndarray, np.ndarray]], missing: float) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys of all tables, and for each table its values at them."""
     keys = np.unique(np.concatenate([k for k, _ in tables]))
-    values = np.full((len(tables), len(keys)), missing)
+    values = np.full((len(tables), len(keys)), missing, np.float32)
     for i, (k, v) in enumerate(tables):
         values[i, np.searchsorted(keys, k)] = v
     return keys, values
@@ -215,27 +217,25 @@ def _figures(model, labelled: bool):
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, fold: int = 1) -> KneserNey:
-    """Models of the labelled documents that are not held out.
+    """Models of all labelled documents that are not held out.
 
-    Three quarters of a bounded sample (``FIT_ROWS`` of each class) are counted,
-    the last quarter calibrates the score. All n-grams of the counted rows are
-    kept, and every worker holds them: memory grows with the sample's distinct
-    words. Without labelled rows of both classes
-    every score is one half.
+    Three quarters of them are counted, the last quarter calibrates the score.
+    All n-grams of the counted rows are kept, and every worker holds them:
+    memory grows with the distinct n-grams of the labelled texts' words, 16
+    bytes for each and 16 for each context. Without labelled rows of both
+    classes every score is one half.
     """
-    rows = stored(sample(documents, labels, label, folds, fold, FIT_ROWS).withColumn(
-        "calibrates", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0), "toxicity-sample")
-    learned = rows.filter(~F.col("calibrates")).select("text", "label").mapInArrow(_count_words, "label int, word string, n long")
+    rows = labelled(documents, labels, label, folds, fold)
+    calibrates = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(CALIBRATES)) == 0
+    learned = rows.filter(~calibrates).select("text", "label").mapInArrow(_count_words, "label int, word string, n long")
     words = stored(learned.groupBy("label", "word").agg(F.sum("n").alias("n")), "toxicity-words")
     model = KneserNey(stored(_kneser_ney(words.mapInArrow(_count_grams, _GRAMS)), "toxicity-grams"))
     context = documents.sparkSession.sparkContext
-    tuned = rows.filter("calibrates").select("doc_id", "text", "label").mapInArrow(
-        _figures(context.broadcast(model), True), "label int, figures array<double>").collect()
-    y = np.array([r.label for r in tuned], float)
-    x = np.array([r.figures for r in tuned]).reshape(len(tuned), FIGURES)
-    if len(set(y.tolist())) < 2:
-        x, y = np.zeros((2, FIGURES)), np.array([0.0, 1.0])
-    model.curve = Logistic(x, y)
+    shared = context.broadcast(model)
+    tuned = stored(rows.filter(calibrates).select("doc_id", "text", "label").mapInArrow(
+        _figures(shared, True), "label int, figures array<double>"), "toxicity-figures")
+    model.curve = Logistic.of_table(tuned, FIGURES) or Logistic(np.zeros((2, FIGURES)), np.array([0.0, 1.0]))
+    shared.unpersist()
     return model
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from reefgrid.llm import pstable, toxicity
 from reefgrid.llm.consensus import Page, extract_pages, host_paths
-from reefgrid.llm.labelled import held_out, sample
+from reefgrid.llm.labelled import Logistic, held_out, sample
 from reefgrid.llm.pstable import nearest, perturbations
 from reefgrid.llm.quality import quality_scores
 from reefgrid.llm.toxicity import toxicity_scores, without_toxic
@@ -239,3 +239,22 @@ def test_a_host_without_article_is_decided_by_its_votes(spark):
     assert [p.path.rsplit("#", 1)[0].split("/")[-1] for p in paths] == ["div.copy"]
     got = extract_pages(table).collect()
     assert all("the main text goes on." in r.text for r in got)
+
+
+def test_toxicity_counts_all_labelled_rows(spark):
+    # A letter of its own in each document; two thirds of the rows are not held out.
+    table = spark.range(20_000).select(F.col("id").alias("doc_id")).withColumn(
+        "text", F.decode(F.unhex(F.lpad(F.hex(F.col("doc_id") + 0x4E00), 4, "0")), "UTF-16BE"))
+    labels = table.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    counted = labels.filter(~held_out("doc_id", 3, 1) & (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) != 0)).count()
+    model = toxicity.fit(table, labels)
+    assert counted > 2 * 4096 and len(model.parts[0][0]) == counted + 1  # and the mark after a word
+
+
+def test_logistic_curve_of_a_table(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 3))
+    y = (x @ [1.0, -2.0, 0.0] + rng.normal(size=500) > 0).astype(float)
+    rows = spark.createDataFrame([(int(c), r.tolist()) for c, r in zip(y, x)], "label int, figures array<double>").repartition(3)
+    assert np.allclose(Logistic.of_table(rows, 3).score(x), Logistic(x, y).score(x), atol=1e-6)
+    assert Logistic.of_table(rows.filter("label = 1"), 3) is None
