@@ -155,17 +155,18 @@ def _nearest(data: np.ndarray, ids: np.ndarray, queries: np.ndarray, bound: np.n
     return dist, near
 
 
-def _boxes_for(points: DataFrame, coords: list[str], box_rows: int) -> Boxes:
+def _boxes_for(points: DataFrame, coords: list[str], box_rows: int) -> tuple[Boxes, int]:
+    """Boxes of about ``box_rows`` points, and the number of points."""
     n = points.count()
     boxes = min(MAX_BOXES, max(1, math.ceil(n / box_rows)))
     if boxes == 1:
-        return Boxes(np.empty((0, len(coords))), 1)
+        return Boxes(np.empty((0, len(coords))), 1), n
     # A bounded sample places the cuts; any cuts give the same answer.
     want = boxes * SAMPLE_PER_BOX
     share = min(1.0, 1.5 * want / n)
     mixed = F.pmod(F.xxhash64(*coords), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = points.filter(mixed).limit(want * 2).toPandas()[coords].to_numpy(dtype=float)
-    return Boxes(sample, boxes)
+    sample = points.filter(mixed).select(*coords).limit(want * 2).toPandas().to_numpy(dtype=float)
+    return Boxes(sample, boxes), n
 
 
 def nearest(
@@ -189,7 +190,9 @@ def nearest(
         .withColumn("slot", F.row_number().over(first)).filter(F.col("slot") <= m)
     )
     slots = pin(slots)
-    boxes = _boxes_for(slots, coords, box_rows)
+    boxes, n = _boxes_for(slots, coords, box_rows)
+    # Tasks follow the points, not the boxes: small boxes go many to a task, for each task reports to the driver.
+    tasks = min(boxes.leaves, max(math.ceil(n / BOX_ROWS), 2 * df.sparkSession.sparkContext.defaultParallelism))
 
     @F.pandas_udf("int")
     def box_of(*columns: pd.Series) -> pd.Series:
@@ -248,9 +251,8 @@ def nearest(
         return answer(key, points, wanted, False)
 
     def by_box(df: DataFrame):
-        # One partition per box: the work is in the boxes, not in their bytes,
-        # so they must not be packed together by size.
-        return (df.repartition(boxes.leaves, "box") if boxes.depth else df).groupBy("box")
+        # The work is in the boxes, not in their bytes, so they must not be packed together by size.
+        return (df.repartition(tasks, "box") if boxes.depth else df).groupBy("box")
 
     pts = data.select(*coords, "pid", "box")
     home = by_box(pts).cogroup(by_box(asked)).applyInPandas(home_round, out_schema)

@@ -1,5 +1,7 @@
 """Neighbours, outliers, components and spatial pairs against brute force."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -163,3 +165,11 @@ def test_loop_pairs_are_the_most_similar_of_all(spark, monkeypatch, block):
         near = sorted((-sum(a * b for a, b in zip(x[i], x[q])), i) for i in range(2500) if i != q)[:10]
         want += [(q, i, r) for r, (_, i) in enumerate(near, 1)]
     assert [(r.image_id1, r.image_id2, r.rank) for r in got] == want
+
+
+def test_small_boxes_do_not_make_as_many_tasks(spark):
+    rows = [(i, float(i * 37 % 1009), float(i * 91 % 997)) for i in range(3000)]
+    near = knn.nearest(spark.createDataFrame(rows, "id long, x double, y double"), "id", ["x", "y"], 3, 20.0, box_rows=6)
+    parts = [int(n) for n in re.findall(r"hashpartitioning\(box#\d+, (\d+)\)", near._jdf.queryExecution().executedPlan().toString())]
+    assert parts and max(parts) <= 2 * spark.sparkContext.defaultParallelism
+    assert near.count() == len(set(r[1:] for r in rows))
