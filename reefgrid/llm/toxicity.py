@@ -183,7 +183,7 @@ class KneserNey:
 def _merged(tables: list[tuple[np.ndarray, np.ndarray]], missing: float) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys of all tables, and for each table its values at them."""
     keys = np.unique(np.concatenate([k for k, _ in tables]))
-    values = np.full((len(tables), len(keys)), missing, np.float32)
+    values = np.full((len(tables), len(keys)), missing)
     for i, (k, v) in enumerate(tables):
         values[i, np.searchsorted(keys, k)] = v
     return keys, values
@@ -221,8 +221,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", folds: in
 
     Three quarters of them are counted, the last quarter calibrates the score.
     All n-grams of the counted rows are kept, and every worker holds them:
-    memory grows with the distinct n-grams of the labelled texts' words, 16
-    bytes for each and 16 for each context. Without labelled rows of both
+    memory grows with the distinct n-grams of the labelled texts' words, 24
+    bytes for each and 24 for each context. Without labelled rows of both
     classes every score is one half.
     """
     rows = labelled(documents, labels, label, folds, fold)
