@@ -130,10 +130,10 @@ def _in_blocks(members: DataFrame) -> DataFrame:
     return members.select("node", "id", "v").sortWithinPartitions("node").mapInArrow(_blocks, "node long, ids array<long>, vectors binary")
 
 
-def _met(blocks: DataFrame, centres: DataFrame) -> DataFrame:
-    """Blocks with the children of their node, as one row of at most ``branching`` centres."""
+def _met(blocks: DataFrame, centres: DataFrame, few: bool = False) -> DataFrame:
+    """Blocks with the children of their node, as one row of at most ``branching`` centres; ``few`` centres go to the blocks."""
     per_node = centres.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("child", "centre"))).alias("children"))
-    return blocks.join(per_node, "node").select("node", "ids", "vectors", "children")
+    return blocks.join(F.broadcast(per_node) if few else per_node, "node").select("node", "ids", "vectors", "children")
 
 
 def _read(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,15 +142,35 @@ def _read(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(node, child, n, cost, sums)`` of a block's descriptors by nearest child."""
+    """``(node, child, n, cost, sums)`` of a task's descriptors by nearest child; blocks of one node follow each other."""
+    def of(node: int, names: np.ndarray, sizes: np.ndarray, costs: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        kept = np.flatnonzero(sizes)
+        return pa.RecordBatch.from_pydict(
+            {"node": [node] * len(kept), "child": names[kept].astype(np.int32), "n": sizes[kept], "cost": costs[kept], "sums": list(sums[kept])})
+
+    now = None
     for batch in batches:
         for row in batch.to_pylist():
             v, names, c = _read(row)
+            if now is None or now[0] != row["node"]:
+                if now is not None:
+                    yield of(*now)
+                now = row["node"], names, np.zeros(len(c), np.int64), np.zeros(len(c)), np.zeros(c.shape)
             near, far = _nearest(v, c)
             kept, sizes, sums = _means(v, near[:, 0])
-            cost = np.bincount(near[:, 0], far[:, 0], len(c))[kept]
-            yield pa.RecordBatch.from_pydict(
-                {"node": [row["node"]] * len(kept), "child": names[kept].astype(np.int32), "n": sizes, "cost": cost, "sums": list(sums)})
+            now[2][kept] += sizes
+            now[3][:] += np.bincount(near[:, 0], far[:, 0], len(c))
+            now[4][kept] += sums
+    if now is not None:
+        yield of(*now)
+
+
+def _mean(key: tuple, parts: pa.Table) -> pa.Table:
+    """A child's size, cost and new centre from all tasks' parts, added in one order."""
+    n, cost = parts.column("n").to_numpy(), parts.column("cost").to_numpy()
+    sums = parts.column("sums").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
+    order = np.lexsort((sums[:, 0], cost, n))
+    return pa.table({"node": key[:1], "child": key[1:], "cost": [cost[order].sum()], "centre": [sums[order].sum(axis=0) / n.sum()]}, _MEANS)
 
 
 def _descend(branching: int, k: int):
@@ -169,27 +189,29 @@ def _descend(branching: int, k: int):
     return run
 
 
+_MEANS = pa.schema([("node", pa.int64()), ("child", pa.int32()), ("cost", pa.float64()), ("centre", pa.list_(pa.float64()))])
 _BELOW = "id long, node long, place int, apart double, v array<double>"
 
 
 def _split(members: DataFrame, level: int, branching: int, iterations: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """Centres of the children of all nodes of ``members``, and the members below them: one job per step, whatever the number of nodes."""
+    """Centres of the children of all nodes of ``members``, and the members below them: one job per step, whatever the number of nodes.
+
+    Blocks stay where they are. A step takes the centres to them, ``branching`` for
+    each node of more than LOCAL_ROWS descriptors, and moves one sum per task and child.
+    """
     vectors = members.groupBy("node", "v").agg(F.min("id").alias("id"))
     hashed = vectors.withColumn("h", F.md5(F.concat_ws(":", "id", "node", F.lit(level), F.lit(seed))))
     order = F.row_number().over(Window.partitionBy("node").orderBy("h"))
-    centres = pin(hashed.withColumn("child", order - 1).filter(F.col("child") < branching).select("node", "child", F.col("v").alias("centre")))
+    centres = pin(hashed.withColumn("nth", order).filter(F.col("nth") <= branching).select("node", (F.col("nth") - 1).alias("child"), F.col("v").alias("centre")))
     blocks = pin(_in_blocks(members))
     cost, before = 1e307, 1e308
     for _ in range(iterations):
         if not cost < before * (1 - SETTLED):
             break
-        parts = pin(_met(blocks, centres).mapInArrow(_step, "node long, child int, n long, cost double, sums array<double>"))
-        before, cost = cost, parts.agg(F.sum("cost")).first()[0]
-        each = parts.select("node", "child", "n", F.posexplode("sums").alias("at", "x"))
-        means = each.groupBy("node", "child", "at").agg((F.sum("x") / F.sum("n")).alias("x"))
-        centres = pin(means.groupBy("node", "child").agg(
-            F.transform(F.sort_array(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias("centre")))
-    return centres, pin(_met(blocks, centres).mapInArrow(_descend(branching, 1), _BELOW))
+        parts = _met(blocks, centres, few=True).mapInArrow(_step, "node long, child int, n long, cost double, sums array<double>")
+        centres = pin(parts.groupBy("node", "child").applyInArrow(_mean, "node long, child int, cost double, centre array<double>"))
+        before, cost = cost, centres.agg(F.sum("cost")).first()[0]
+    return centres.select("node", "child", "centre"), pin(_met(blocks, centres, few=True).mapInArrow(_descend(branching, 1), _BELOW))
 
 
 def _grow(points: DataFrame, branching: int, levels: int, iterations: int, seed: int, local_rows: int) -> tuple[DataFrame, DataFrame]:
@@ -197,14 +219,15 @@ def _grow(points: DataFrame, branching: int, levels: int, iterations: int, seed:
     members, words, centres = points.withColumn("node", F.lit(0).cast("long")), [], []
     for level in range(levels):
         sizes = pin(members.groupBy("node").agg(F.count(F.lit(1)).alias("n")))
-        few = members.join(sizes.filter(F.col("n") <= local_rows).select("node"), "node")
+        # A level has branching**level nodes at most.
+        few = members.join(F.broadcast(sizes.filter(F.col("n") <= local_rows).select("node")), "node")
         found = pin(few.select("id", "node", "v").groupBy("node").applyInArrow(_subtree(level, levels, branching, iterations, seed), _ROWS))
         words.append(found.filter("id IS NOT NULL").select("id", "word", "cost"))
         centres.append(found.filter("id IS NULL").select("level", "node", "child", "n", "centre"))
         many = sizes.filter(F.col("n") > local_rows)
         if many.isEmpty():
             break
-        split, below = _split(pin(members.join(many.select("node"), "node").select("id", "node", "v")), level, branching, iterations, seed)
+        split, below = _split(pin(members.join(F.broadcast(many.select("node")), "node").select("id", "node", "v")), level, branching, iterations, seed)
         counts = below.groupBy("node").agg(F.count(F.lit(1)).alias("n")).select(
             F.floor(F.col("node") / branching).alias("node"), (F.col("node") % branching).cast("int").alias("child"), "n")
         centres.append(split.join(counts, ["node", "child"], "left").select(

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from reefgrid.operators import vocabulary
@@ -121,3 +122,22 @@ def test_loop_candidates_against_all_pairs(spark):
     looked_up = sum(t.df for t in terms if t.essential)
     assert looked_up < 0.5 * sum(t.df for t in terms)  # frequent words bound the similarity and are not joined
     assert loop_candidates(make([]), make([])).collect() == []
+
+
+def test_a_lloyd_step_moves_one_sum_per_task_and_child(spark):
+    v, c = np.array([[0.0, 1.0], [0.2, 1.0], [9.0, 9.0]]), [{"child": 1, "centre": [0.0, 1.0]}, {"child": 4, "centre": [9.0, 9.0]}]
+    block = lambda node: {"node": node, "ids": [0, 1, 2], "vectors": v.tobytes(), "children": c}
+    batches = [pa.RecordBatch.from_pylist([block(7), block(7)]), pa.RecordBatch.from_pylist([block(7), block(8)])]
+    rows = [r for b in vocabulary._step(iter(batches)) for r in b.to_pylist()]
+    assert [(r["node"], r["child"], r["n"]) for r in rows] == [(7, 1, 6), (7, 4, 3), (8, 1, 2), (8, 4, 1)]
+    assert np.allclose(rows[0]["sums"], [0.6, 6.0]) and np.allclose(rows[0]["cost"], 0.12)
+    # The blocks are not dealt out anew to meet their centres.
+    blocks = spark.createDataFrame([(7, [0], bytes(16))], "node long, ids array<long>, vectors binary")
+    centres = spark.createDataFrame([(7, 1, [0.0, 1.0])], "node long, child int, centre array<double>")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = vocabulary._met(blocks, centres, few=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # of the centres
