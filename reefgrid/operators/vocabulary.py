@@ -33,6 +33,8 @@ BLOCK_ROWS = 4096
 SETTLED = 1e-9
 #: The words that give a first bound on an image's n-th candidate name at most so many times n images.
 PROBE_TIMES = 50
+#: Terms of asked images and postings of images that meet in one group (a matter of memory only).
+SLICE_TERMS, BLOCK_POSTINGS = 50_000, 1 << 18
 
 _ROWS = "id long, word long, cost double, level int, node long, child int, n long, centre array<double>"
 
@@ -308,8 +310,7 @@ def probe_terms(asked: DataFrame, postings: DataFrame, n: int) -> DataFrame:
 def essential_terms(terms: DataFrame, postings: DataFrame, n: int) -> DataFrame:
     """``terms`` with the asked image's ``least``, a bound below its n-th similarity, and ``essential``: whether an image could
     reach ``least`` without this word or any rarer one of the asked image's."""
-    seen = terms.filter("first").join(postings.withColumnRenamed("weight", "other"), "word").filter("asked <> image_id")
-    partial = seen.groupBy("asked", "image_id").agg(F.sum(F.col("weight") * F.col("other")).alias("s"))
+    partial = _looked_up(terms.filter("first").select("asked", "word", "weight"), postings, _first_similar(n), "asked long, s double")
     nth = F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("s")))
     least = partial.withColumn("nth", nth).filter(F.col("nth") == n).select("asked", F.col("s").alias("least"))
     # Sums in another order differ in their last digits.
@@ -317,6 +318,84 @@ def essential_terms(terms: DataFrame, postings: DataFrame, n: int) -> DataFrame:
         "essential", F.col("rest") >= F.col("least"))
 
 
+def _looked_up(terms: DataFrame, postings: DataFrame, look, schema: str) -> DataFrame:
+    """Rows that ``look`` finds for slices of the asked images' ``terms`` in blocks of the images' ``postings``.
+
+    An asked image is in one slice, an image in one block, and every slice meets
+    every block. Postings come as one row per word and block.
+    """
+    slices = max(1, -(-terms.count() // SLICE_TERMS))
+    blocks = max(1, -(-postings.count() // BLOCK_POSTINGS))
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    dealt = terms.withColumn("slice", F.pmod(F.xxhash64("asked"), F.lit(slices)).cast("int")).withColumn("block", every(blocks))
+    lists = postings.withColumn("block", F.pmod(F.xxhash64("image_id"), F.lit(blocks)).cast("int")).groupBy("word", "block").agg(
+        F.sort_array(F.collect_list(F.struct("image_id", "weight"))).alias("list")).select(
+        F.col("word").alias("of"), "block", F.col("list")["image_id"].alias("images"), F.col("list")["weight"].alias("weights"), every(slices).alias("slice"))
+    return dealt.groupBy("slice", "block").cogroup(lists.groupBy("slice", "block")).applyInArrow(look, schema)
+
+
+def _images_and_lists(lists: pa.Table) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """A block's images, and every word's places among them with their weights."""
+    sizes = pa.compute.list_value_length(lists.column("images")).to_numpy()
+    flat, weights = (lists.column(c).combine_chunks().flatten().to_numpy() for c in ("images", "weights"))
+    images, places = np.unique(flat, return_inverse=True)
+    ends = np.cumsum(sizes)
+    return images, {w: (places[b - k : b], weights[b - k : b]) for w, b, k in zip(lists.column("of").to_pylist(), ends.tolist(), sizes.tolist())}
+
+
+def _each_asked(terms: pa.Table) -> Iterator[tuple[int, pa.Table]]:
+    terms = terms.sort_by([("asked", "ascending"), ("word", "ascending")])
+    asked = terms.column("asked").to_numpy()
+    starts = np.flatnonzero(np.append(True, asked[1:] != asked[:-1])) if len(asked) else []
+    for a, b in zip(starts, np.append(starts[1:], len(asked))):
+        yield int(asked[a]), terms.slice(a, b - a)
+
+
+def _added(images: np.ndarray, lists: dict, asked: int, words: list[int], weights: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the images that have any of the words, but the asked one, and what the words add for them."""
+    found = [(*lists[w], x) for w, x in zip(words, weights) if w in lists]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0)
+    at, where = np.unique(np.concatenate([p for p, _, _ in found]), return_inverse=True)
+    s = np.bincount(where, np.concatenate([y * x for _, y, x in found]), len(at))
+    other = images[at] != asked
+    return at[other], s[other]
+
+
+def _first_similar(n: int):
+    """The ``n`` largest sums of an asked image in one block of images."""
+    def look(terms: pa.Table, lists: pa.Table) -> pa.Table:
+        images, lists = _images_and_lists(lists)
+        out = [(asked, -np.sort(-_added(images, lists, asked, mine.column("word").to_pylist(), mine.column("weight").to_pylist())[1])[:n])
+               for asked, mine in _each_asked(terms)]
+        return pa.table([pa.array(np.repeat([a for a, _ in out], [len(s) for _, s in out]).astype(np.int64)),
+                         pa.array(np.concatenate([np.zeros(0), *[s for _, s in out]]))], ["asked", "s"])
+    return look
+
+
+def _most_similar(n: int):
+    """The ``n`` most similar images of an asked one in one block, of those that can reach its bound."""
+    def look(terms: pa.Table, lists: pa.Table) -> pa.Table:
+        images, lists = _images_and_lists(lists)
+        out = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),)]
+        for asked, mine in _each_asked(terms):
+            rows = mine.to_pylist()
+            looked, aside = [r for r in rows if r["essential"]], [r for r in rows if not r["essential"]]
+            at, s = _added(images, lists, asked, [r["word"] for r in looked], [r["weight"] for r in looked])
+            able = s + max((r["rest"] for r in aside), default=0.0) >= rows[0]["least"]
+            at, s = at[able], s[able]
+            for r in aside:
+                places, weights = lists.get(r["word"], (np.zeros(0, np.int64),) * 2)
+                if len(places) and len(at):
+                    nth = np.minimum(np.searchsorted(places, at), len(places) - 1)
+                    s += np.where(places[nth] == at, weights[nth] * r["weight"], 0.0)
+            s = np.round(s, 9)
+            best = np.lexsort((at, -s))[:n]
+            out.append((np.full(len(best), asked), images[at[best]], s[best]))
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], ["asked", "image_id", "similarity"])
+    return look
+
+
 def loop_candidates(words: DataFrame, asked_words: DataFrame, n: int = LOOP_IMAGES) -> DataFrame:
     """For every image of ``asked_words``, its ``n`` most similar others of ``words``: ``(image_id1, image_id2, rank, similarity)``.
 
@@ -330,15 +409,8 @@ def loop_candidates(words: DataFrame, asked_words: DataFrame, n: int = LOOP_IMAG
     postings = pin(vectors)
     asked = unit_vectors(asked_words.groupBy("image_id", "word").agg(F.count(F.lit(1)).alias("n")), spread)
     terms = pin(essential_terms(pin(probe_terms(asked, postings, n)), postings, n))
-    others = postings.withColumnRenamed("weight", "other")
-    met = terms.filter("essential").join(others, "word").filter("asked <> image_id")
-    found = met.groupBy("asked", "image_id").agg(F.sum(F.col("weight") * F.col("other")).alias("s"), F.first("least").alias("least"))
-    aside = terms.filter("NOT essential")
-    rest = aside.groupBy("asked").agg(F.max("rest").alias("rest"))
-    able = pin(found.join(rest, "asked", "left").filter(F.col("s") + F.coalesce("rest", F.lit(0.0)) >= F.col("least")).select("asked", "image_id", "s"))
-    more = able.select("asked", "image_id").join(aside.select("asked", "word", "weight"), "asked").join(others, ["image_id", "word"]).select(
-        "asked", "image_id", (F.col("weight") * F.col("other")).alias("s"))
-    total = able.unionByName(more).groupBy("asked", "image_id").agg(F.round(F.sum("s"), 9).alias("similarity"))
+    total = _looked_up(terms.select("asked", "word", "weight", "rest", "least", "essential"), postings, _most_similar(n),
+                       "asked long, image_id long, similarity double")
     order = Window.partitionBy("asked").orderBy(F.desc("similarity"), "image_id")
     return total.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= n).select(
         F.col("asked").alias("image_id1"), F.col("image_id").alias("image_id2"), "rank", "similarity")

@@ -141,3 +141,25 @@ def test_a_lloyd_step_moves_one_sum_per_task_and_child(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1  # of the centres
+
+
+def test_loop_candidates_in_slices_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vocabulary, "SLICE_TERMS", 30, raising=False)
+    monkeypatch.setattr(vocabulary, "BLOCK_POSTINGS", 150, raising=False)
+    found = []
+    looked_up = vocabulary._looked_up
+    monkeypatch.setattr(vocabulary, "_looked_up", lambda *a: found.append(looked_up(*a)) or found[-1])
+    rng = random.Random(7)
+    words = [(i, rng.choice([0, 0, 1, *range(2, 30)])) for i in range(200) for _ in range(5)]
+    words += [(i, 500) for i in range(60)] + [(None, 3), (5, None)]  # alike images, and rows without a key
+    asked = [(i, w) for i, w in words if i is not None and i % 10 == 0] + [(900, 4)]
+    make = lambda rows: spark.createDataFrame(rows, "image_id long, word long")
+    whole = [(i, w) for i, w in words if i is not None and w is not None]
+    for n in (3, 500):
+        got = sorted(map(tuple, loop_candidates(make(whole), make(asked), n).collect()))
+        want = sorted(pairs_by_hand(whole, asked, n))
+        assert [g[:3] for g in got] == [w[:3] for w in want] and all(abs(g[3] - w[3]) < 2e-9 for g, w in zip(got, want))
+    assert loop_candidates(make(words), make(asked), 3).count() > 0
+    # No more than the nearest of each block come out, not all pairs.
+    blocks = -(-word_weights(make(whole))[1].count() // 150)
+    assert blocks > 1 and found[1].groupBy("asked").count().agg({"count": "max"}).first()[0] <= 3 * blocks
