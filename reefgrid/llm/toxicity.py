@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -117,58 +118,65 @@ class KneserNey:
     def __init__(self, counts: DataFrame):
         rows = counts.select("label", "size", "gram", "context", "n").toArrow()
         label, size, gram, context, n = (rows.column(i).to_numpy() for i in range(5))
-        self.parts = []
+        grams, contexts = [], []
         for k in range(1, ORDER + 1):
             each = []
             for c in (0,) if k <= SHARED else (0, 1):
                 at = (size == k) & (label == c)
-                contexts, which, kinds = np.unique(context[at].view(np.uint64), return_inverse=True, return_counts=True)
-                total = np.bincount(which, n[at], len(contexts))
+                keys, which, kinds = np.unique(context[at].view(np.uint64), return_inverse=True, return_counts=True)
+                total = np.bincount(which, n[at], len(keys))
                 share = np.maximum(n[at] - DISCOUNT, 0) / np.maximum(total[which], 1)
-                each.append((gram[at].view(np.uint64), share, contexts, DISCOUNT * kinds / np.maximum(total, 1)))
-            # A class that has not seen a context leaves what the shorter one says.
-            grams, shares = _merged([(g, v) for g, v, _, _ in each], 0.0)
-            contexts, backoffs = _merged([(g, v) for _, _, g, v in each], 1.0)
-            self.parts.append((grams, shares, contexts, backoffs))
-        self.known: dict[bytes, float] = {}
+                each.append((gram[at].view(np.uint64), share, keys, DISCOUNT * kinds / np.maximum(total, 1)))
+            grams.append([(g, v) for g, v, _, _ in each])
+            contexts.append([(g, v) for _, _, g, v in each])
+        # A context of k letters is found along with the n-grams of k letters; a class that has not seen it leaves what
+        # the shorter one says. The last entries stand for what is not known.
+        self.start, *self.parts = [_part(own, following) for own, following in zip([[], *grams], [*contexts, []])]
+        self.known = Known()
         self.curve: Logistic | None = None
 
     def _learn(self, words: list[bytes]) -> None:
         """Differences of words not met before: the sum over their letters of log p(toxic) - log p(ordinary)."""
         letters, place = _letters([w.decode() for w in words])
-        keys = list(_grams(letters))
         p = np.full((2, len(letters)), 1e-4)
-        for k, (grams, shares, contexts, backoffs) in enumerate(self.parts, 1):
-            if not len(grams):
-                continue
-            before = np.concatenate([keys[k - 1][:1], keys[k - 1][:-1]])
-            seen, at = _find(contexts, before)
-            held, own = _find(grams, keys[k])
-            usable = seen & (place >= k - 1)
-            for c in (0, 1):
-                part = c % len(shares)
-                p[c] = np.where(usable, np.where(held, shares[part][own], 0) + backoffs[part][at] * p[c], p[c])
+        backoffs = context = None
+        for k, keys in enumerate(_grams(letters)):
+            places, shares, following = self.parts[k - 1] if k else self.start
+            at = places.of(keys)
+            if k:
+                # n-grams that would reach into the word before are none.
+                inside = place >= k - 1
+                mine, before = np.where(inside, at, places.none), np.where(inside, context, len(backoffs[0]) - 1)
+                for c in (0, 1):
+                    p[c] = shares[c % len(shares)][mine] + backoffs[c % len(backoffs)][before] * p[c]
+            backoffs, context = following, np.concatenate([at[:1], at[:-1]])
         each = np.where(place > 0, np.log(p[1]) - np.log(p[0]), 0)
         starts = np.flatnonzero(place == 0)
         self.known.update(zip(words, np.add.reduceat(each, starts).tolist()))
 
     def differences(self, words: list[bytes]) -> np.ndarray:
         """log p(word | toxic) - log p(word | ordinary) of every word, within -8 and 8."""
-        fresh = list({w for w in words if w not in self.known})
-        if len(self.known) + len(fresh) > 2 * CACHE_WORDS:
-            self.known.clear()
-            fresh = list(set(words))
-        for i in range(0, len(fresh), 20_000):
-            self._learn(fresh[i : i + 20_000])
-        return np.clip(np.fromiter(map(self.known.__getitem__, words), np.float64, len(words)), -8, 8)
+        found = np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
+        missed, self.known.missed = self.known.missed, []
+        if missed:
+            fresh = list(dict.fromkeys(missed))
+            if len(self.known) + len(fresh) > 2 * CACHE_WORDS:
+                self.known.clear()
+            for i in range(0, len(fresh), 20_000):
+                self._learn(fresh[i : i + 20_000])
+            found[np.isnan(found)] = np.fromiter(map(self.known.__getitem__, missed), np.float64, len(missed))
+        return np.clip(found, -8, 8)
 
     def figures(self, texts: list[str | None]) -> np.ndarray:
         """A row for each text: mean difference per word, that of its most toxic windows, share and number of
         telling words, and log length; zeros for a text without words."""
         out = np.zeros((len(texts), FIGURES))
-        for i, text in enumerate(texts):
-            own = self.differences(words_of((text or "").lower().encode()))
-            n = len(own)
+        words = [words_of((text or "").lower().encode()) for text in texts]
+        # All texts at once: a few words at a time cost more in calls than in work.
+        flat = self.differences(list(chain.from_iterable(words)))
+        ends = np.cumsum([len(w) for w in words]).tolist()
+        for i, (a, b) in enumerate(zip([0, *ends], ends)):
+            own, n = flat[a:b], b - a
             if not n:
                 continue
             sums = np.concatenate([[0.0], np.cumsum(own)])
@@ -178,19 +186,57 @@ class KneserNey:
         return out
 
 
-def _merged(tables: list[tuple[np.ndarray, np.ndarray]], missing: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys of all tables, and for each table its values at them."""
-    keys = np.unique(np.concatenate([k for k, _ in tables]))
-    values = np.full((len(tables), len(keys)), missing)
-    for i, (k, v) in enumerate(tables):
-        values[i, np.searchsorted(keys, k)] = v
-    return keys, values
+class Known(dict):
+    """Values of words; a word without one is noted in ``missed`` and is nan."""
+
+    def __init__(self):
+        self.missed: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> float:
+        self.missed.append(word)
+        return np.nan
 
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of ``wanted`` are among sorted ``keys``, and where."""
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return keys[at] == wanted, at
+class Places:
+    """Places of sorted, evenly spread keys, found through their leading bits; ``none`` for what is not among them.
+
+    The length is the number of n-grams among the keys, without those that are contexts alone.
+    """
+
+    def __init__(self, keys: np.ndarray, grams: int):
+        self.none, self.grams = len(keys), grams
+        bits = max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.searchsorted(keys >> self.shift, np.arange(1 << bits, dtype=np.uint64)).astype(np.int32)
+        self.keys = np.append(keys, np.uint64(2**64 - 1))
+
+    def __len__(self) -> int:
+        return self.grams
+
+    def of(self, wanted: np.ndarray) -> np.ndarray:
+        at = self.starts[wanted >> self.shift]
+        here = self.keys[at]
+        behind = np.flatnonzero(here < wanted)
+        while len(behind):
+            at[behind] += 1
+            here[behind] = self.keys[at[behind]]
+            behind = behind[here[behind] < wanted[behind]]
+        return np.where(here == wanted, at, self.none)
+
+
+def _part(own: list[tuple], following: list[tuple]) -> tuple[Places, np.ndarray, np.ndarray]:
+    """Places of n-grams of one length, each class's shares of them, and its weights of what is shorter after them."""
+    grams, contexts = ([np.zeros(0, np.uint64), *[k for k, _ in tables]] for tables in (own, following))
+    keys = np.unique(np.concatenate(grams + contexts))
+    return Places(keys, len(np.unique(np.concatenate(grams)))), _values(keys, own, 0.0), _values(keys, following, 1.0)
+
+
+def _values(keys: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray]], missing: float) -> np.ndarray:
+    """For each table its values at the sorted keys, and ``missing`` where it has none and after the last."""
+    values = np.full((max(1, len(tables)), len(keys) + 1), missing)
+    for i, (k, v) in enumerate(tables):
+        values[i, np.searchsorted(keys, k)] = v
+    return values
 
 
 def _scores(model: KneserNey, found: np.ndarray) -> np.ndarray:
@@ -219,8 +265,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", folds: in
 
     Three quarters of them are counted, the last quarter calibrates the score.
     All n-grams of the counted rows are kept, and every worker holds them:
-    memory grows with the distinct n-grams of the labelled texts' words, 24
-    bytes for each and 24 for each context. Without labelled rows of both
+    memory grows with the distinct n-grams of the labelled texts' words, at most
+    48 bytes for each. Without labelled rows of both
     classes every score is one half.
     """
     rows = labelled(documents, labels, label, folds, fold)

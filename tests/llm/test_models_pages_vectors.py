@@ -251,6 +251,27 @@ def test_toxicity_counts_all_labelled_rows(spark):
     assert counted > 2 * 4096 and len(model.parts[0][0]) == counted + 1  # and the mark after a word
 
 
+def test_toxicity_learns_the_words_of_many_texts_at_once(spark, docs, monkeypatch):
+    rows = [(i, f"{'vile' if i % 2 else 'kind'}{i} words number {i}") for i in range(60)]
+    model = toxicity.fit(docs(rows), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int"))
+    texts = [f"new{i} vileness {'kindly ' * (i % 5)}{chr(0x4E00 + i)}x" for i in range(300)] + [None, "", "?!"]
+    calls, learn = [], toxicity.KneserNey._learn
+
+    def counted(self, words):
+        calls.append(len(words))
+        learn(self, words)
+    monkeypatch.setattr(toxicity.KneserNey, "_learn", counted)
+    whole = model.figures(texts)
+    assert calls == [602]
+    model.known.clear()
+    assert np.array_equal(whole, np.concatenate([model.figures([t]) for t in texts]))
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 20)
+    model.known.clear()
+    assert np.array_equal(whole, np.concatenate([model.figures(texts[i : i + 7]) for i in range(0, len(texts), 7)]))
+    # Longer n-grams that are not known leave what the shorter ones say; no class knows these letters.
+    assert model.differences(["\u0416".encode()])[0] == model.differences(["\u0417".encode()])[0]
+
+
 def test_logistic_curve_of_a_table(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(500, 3))
