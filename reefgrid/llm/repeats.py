@@ -24,10 +24,9 @@ from reefgrid.llm.common import WordHashes, mixed, rolling, slices, sliding_min,
 WIDTH = 50
 #: A run has at most this many windows; a longer one is cut, with the same anchor.
 RUN_WINDOWS = 64
-#: Text of one slice of the anchor search, text per bin of anchors, and cut-out text per bin of the comparison.
+#: Text of one slice of the anchor search, text per bin of anchors.
 SLICE = 8 << 20
 BIN_TEXT = 24 << 20
-SHARD_BYTES = 2 << 20
 #: Distinct cut-outs of one anchor beyond which its windows are grouped one by one instead of in one task.
 CROWDED = 4000
 
@@ -36,8 +35,9 @@ CROWDED = 4000
 _BLOBS = "bin long, slice long, text_keys array<long>, runs binary, anchors binary, places binary, local binary"
 _FOUND = "slice long, text_keys array<long>, runs binary, chosen binary"
 _FLAGS = "text_key long, flagged binary"
-_CUTS = "anchor long, f1 long, cut binary, doc_id long, text_key long, begin int"
-_COVER = "anchor long, f1 long, firsts binary"
+_CUTS = "anchor long, f1 long, cut binary, doc_id long, text_key long, begin int, n int"
+#: Of a cut-out, the smallest first document of its windows, and those of all windows if they differ.
+_COVER = "anchor long, f1 long, first long, firsts binary"
 _MARKS = "doc_id long, text_key long, spans binary"
 
 
@@ -45,6 +45,8 @@ class Bytes:
     """Texts as their UTF-8 bytes."""
 
     gram = 20
+    #: Cut-out text per bin of the comparison.
+    shard = 4 << 20
 
     def units(self, text: bytes) -> tuple[bytes, np.ndarray]:
         return text, np.frombuffer(text, np.uint8).astype(np.uint64)
@@ -62,6 +64,7 @@ class Words:
     """Texts as words between space and the control characters 9 to 13."""
 
     gram = 10
+    shard = 2 << 20
 
     def __init__(self):
         self.hashes = WordHashes()
@@ -91,22 +94,25 @@ def runs_of(arrays: list[np.ndarray], gram: int) -> tuple[np.ndarray, np.ndarray
         return none, none, none, none.view(np.uint64)
     least = sliding_min(rolling(flat, gram), WIDTH - gram + 1)
     ends = np.cumsum(sizes)
-    text = np.repeat(np.arange(len(arrays)), sizes)[: len(least)]
-    whole = np.arange(len(least)) + WIDTH <= ends[text]
-    at = np.flatnonzero(whole)
-    if not len(at):
-        return none, none, none, none.view(np.uint64)
-    text, least = text[at], least[at]
-    begin = at - (ends - sizes)[text]
-    new = np.ones(len(at), bool)
-    new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
-    starts = np.flatnonzero(new)
-    inside = np.arange(len(at)) - starts[np.cumsum(new) - 1]
-    starts = np.flatnonzero(inside % RUN_WINDOWS == 0)
-    return text[starts], begin[starts], np.diff(np.append(starts, len(at))), least[starts]
-
-
-def _chunks(texts: list[bytes], limit: int = 1 << 18) -> Iterator[list[bytes]]:
+    begins, limits = ends - sizes, ends - WIDTH + 1
+    # Runs start where the anchor changes and where a text's windows begin; these few places are all that is looked at.
+    change = np.flatnonzero(least[1:] != least[:-1]) + 1
+    owner = np.searchsorted(ends, change, "right")
+    inside = (change > begins[owner]) & (change < limits[owner])
+    opening = np.flatnonzero(sizes >= WIDTH)
+    starts, text = np.concatenate([begins[opening], change[inside]]), np.concatenate([opening, owner[inside]])
+    order = np.argsort(starts)
+    starts, text = starts[order], text[order]
+    n = np.minimum(np.append(starts[1:], len(flat)), limits[text]) - starts
+    pieces = -(-n // RUN_WINDOWS)
+    if len(n) and pieces.max() > 1:
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        text, starts, n = np.repeat(text, pieces), np.repeat(starts, pieces) + nth * RUN_WINDOWS, np.repeat(n, pieces) - nth * RUN_WINDOWS
+        n = np.minimum(n, RUN_WINDOWS)
+    return text, starts - begins[text], n, least[starts]
+
+
+def _chunks(texts: list[bytes], limit: int = 1 << 16) -> Iterator[list[bytes]]:
     part, size = [], 0
     for t in texts:
         part.append(t)
@@ -134,15 +140,15 @@ def _anchors(kind: type, bins: int):
             if not len(anchor):
                 continue
             # One entry of an anchor speaks for the slice; where the slice has it in two texts, that is settled here.
-            keys, first, which = np.unique(anchor, return_index=True, return_inverse=True)
-            last = np.zeros(len(keys), np.int64)
-            np.maximum.at(last, which, owner)
-            settled = last != owner[first]
-            bin_ = (keys >> np.uint64(40)) % np.uint64(bins)
-            order = np.lexsort((first, bin_))
+            back = np.argsort(anchor, kind="stable").astype(np.int32)
+            ordered = anchor[back]
+            back_starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+            keys, first = ordered[back_starts], back[back_starts]
+            back_starts = np.append(back_starts, len(back))
+            settled = owner[back[back_starts[1:] - 1]] != owner[first]
+            bin_ = ((keys >> np.uint64(40)) % np.uint64(bins)).astype(np.int64)
+            order = np.argsort(bin_ << 32 | first)
             cuts = np.searchsorted(bin_[order], np.arange(bins + 1))
-            back = np.argsort(which, kind="stable").astype(np.int32)
-            back_starts = np.append(np.searchsorted(which[back], np.arange(len(keys))), len(back))
             text_keys = batch.column(2)
             yield _blob(-1 - slice_, slice_, pa.ListArray.from_arrays([0, len(text_keys)], text_keys), runs.tobytes(), None, None, None)
             for b in range(bins):
@@ -150,7 +156,7 @@ def _anchors(kind: type, bins: int):
                 if len(mine):
                     # All places of the slice's anchors, and how many each has.
                     n = back_starts[mine + 1] - back_starts[mine]
-                    places = np.concatenate([back[back_starts[k] : back_starts[k + 1]] for k in mine]) if n.max() > 1 else first[mine].astype(np.int32)
+                    places = back[np.repeat(back_starts[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
                     local = (n.astype(np.int32) * 2 + settled[mine]).astype(np.int32)
                     yield _blob(b, slice_, pa.nulls(1, pa.list_(pa.int64())), None, _packed(keys[mine]), places.tobytes(), local.tobytes())
     return run
@@ -221,33 +227,45 @@ def _cut(kind: type):
             starts = np.cumsum(per_text) - per_text
             # Texts whose keys happen to agree share their flags; what one lacks of the other's is passed over.
             flagged = [np.unique(np.frombuffer(b"".join(f), np.int32)) for f in batch.column(3).to_pylist()]
-            at = np.concatenate([f[f < n] + s for f, n, s in zip(flagged, per_text, starts)])
+            at = np.concatenate([f[f < k] + s for f, k, s in zip(flagged, per_text, starts)])
             cuts = [grain.cut(units[t][0], b, b + k + WIDTH - 1) for t, b, k in zip(text[at].tolist(), begin[at].tolist(), n[at].tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(anchor[at].view(np.int64)),
                  pa.array(np.fromiter(map(xxhash.xxh3_64_intdigest, cuts), np.uint64, len(cuts)).view(np.int64)),
                  pa.array(cuts, pa.binary()), batch.column(0).take(pa.array(text[at])), batch.column(2).take(pa.array(text[at])),
-                 pa.array(begin[at].astype(np.int32))],
-                ["anchor", "f1", "cut", "doc_id", "text_key", "begin"])
+                 pa.array(begin[at].astype(np.int32)), pa.array(n[at].astype(np.int32))],
+                ["anchor", "f1", "cut", "doc_id", "text_key", "begin", "n"])
     return run
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Units covered by windows that an earlier document has, of each occurrence of a cut-out."""
+    """Units covered by windows that an earlier document has, of occurrences of cut-outs that have such windows."""
     for batch in batches:
-        docs, keys, begins, firsts = (batch.column(i).to_pylist() for i in range(4))
-        rows = []
-        for doc, key, begin, first in zip(docs, keys, begins, firsts):
-            hit = np.flatnonzero(np.frombuffer(first, np.int64) < doc)
-            if len(hit):
-                # Windows no farther apart than WIDTH cover one span.
-                parts = np.flatnonzero(np.diff(hit) > WIDTH)
-                a = hit[np.append(0, parts + 1)]
-                b = hit[np.append(parts, len(hit) - 1)] + WIDTH
-                rows.append((doc, key, (np.stack([a, b], axis=1) + begin).astype(np.int64).tobytes()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
-            ["doc_id", "text_key", "spans"])
+        whole = pa.compute.is_null(batch.column(4))
+        rows = batch.filter(whole)
+        begin = rows.column(2).to_numpy().astype(np.int64)
+        yield _spans_of(rows, np.arange(rows.num_rows), begin, begin + rows.column(3).to_numpy() + WIDTH - 1)
+        rows = batch.filter(pa.compute.invert(whole))
+        if not rows.num_rows:
+            continue
+        windows = [np.frombuffer(f, np.int64) for f in rows.column(4).to_pylist()]
+        sizes = np.fromiter(map(len, windows), np.int64, len(windows))
+        row = np.repeat(np.arange(len(windows)), sizes)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes - rows.column(2).to_numpy(), sizes)
+        hit = np.concatenate(windows) < rows.column(0).to_numpy()[row]
+        row, place = row[hit], place[hit]
+        # Windows no farther apart than WIDTH cover one span.
+        new = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (np.diff(place) > WIDTH))[: len(row)])
+        yield _spans_of(rows, row[new], place[new], place[np.append(new[1:], len(row))[: len(new)] - 1] + WIDTH)
+
+
+def _spans_of(rows: pa.RecordBatch, row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    packed = pa.py_buffer(np.stack([begin, end], axis=1).astype(np.int64).tobytes())
+    offsets = pa.py_buffer((np.arange(len(row) + 1) * 16).astype(np.int32).tobytes())
+    at = pa.array(row)
+    return pa.RecordBatch.from_arrays(
+        [rows.column(0).take(at), rows.column(1).take(at), pa.Array.from_buffers(pa.binary(), len(row), [None, offsets, packed])],
+        ["doc_id", "text_key", "spans"])
 
 
 def joined(spans: list[bytes]) -> np.ndarray:
@@ -286,14 +304,15 @@ def marks(documents: DataFrame, kind: type, compare: Callable[[list[tuple[int, l
     # Equal rows that repeat an id are one document here.
     met = source.join(flags, ["doc_id", "text_key"]).select("doc_id", "text", "text_key", "flagged")
     cuts = stored(met.mapInArrow(_cut(kind), _CUTS), "repeats-cuts", "zstd")
-    distinct = stored(cuts.groupBy("anchor", "f1", "cut").agg(F.min("doc_id").alias("first")), "repeats-distinct", "zstd")
+    distinct = stored(cuts.groupBy("anchor", "f1", "cut").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "repeats-distinct", "zstd")
     sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     crowded = stored(sizes.filter(F.col("n") > CROWDED).select("anchor"), "repeats-crowded")
     usual = distinct.join(crowded, "anchor", "left_anti")
-    shards = max(16, math.ceil((distinct.agg(F.sum(F.octet_length("cut")).alias("n")).first()["n"] or 0) / SHARD_BYTES))
+    shards = max(16, math.ceil((distinct.agg(F.sum(F.octet_length("cut")).alias("n")).first()["n"] or 0) / kind.shard))
     cover = usual.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInArrow(_sharded(compare, kind), _COVER)
     cover = stored(cover.unionByName(_crowded(distinct.join(crowded, "anchor"), kind)), "repeats-cover", "zstd")
-    spans = cuts.select("anchor", "f1", "doc_id", "text_key", "begin").join(cover, ["anchor", "f1"]).select("doc_id", "text_key", "begin", "firsts")
+    spans = cuts.select("anchor", "f1", "doc_id", "text_key", "begin", "n").join(cover, ["anchor", "f1"]).filter("first < doc_id").select(
+        "doc_id", "text_key", "begin", "n", "firsts")
     found = stored(spans.mapInArrow(_spans, _MARKS).groupBy("doc_id", "text_key").agg(F.collect_list("spans").alias("spans")), "repeats-found", "zstd")
     copies = classes.filter("doc_id > earlier")
     return copies.withColumn("spans", F.lit(None).cast("array<binary>")).unionByName(found.withColumn("earlier", F.lit(None).cast("long")))
@@ -302,26 +321,27 @@ def marks(documents: DataFrame, kind: type, compare: Callable[[list[tuple[int, l
 def _sharded(compare, kind: type):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("anchor", "ascending"), ("first", "ascending")])
-        anchors, firsts = table.column("anchor").to_numpy(), table.column("first").to_numpy()
-        cuts = table.column("cut").to_pylist()
+        anchors = table.column("anchor").to_numpy()
         starts = np.flatnonzero(np.append(True, anchors[1:] != anchors[:-1]))
-        ends = np.append(starts[1:], len(anchors))
-        out: list[bytes] = [b""] * len(cuts)
-        several = []
-        for a, b in zip(starts.tolist(), ends.tolist()):
-            if b - a == 1:  # the same text wherever it stands
-                out[a] = np.full(windows_in(cuts[a], kind), firsts[a]).tobytes()
-            else:
-                several.append((a, b))
-        if several:
-            found = compare([(int(anchors[a]), cuts[a:b], firsts[a:b]) for a, b in several])
-            for (a, b), flat in zip(several, found):
-                at = 0
-                for i in range(a, b):
-                    n = windows_in(cuts[i], kind)
-                    out[i] = flat[at : at + n].astype(np.int64).tobytes()
-                    at += n
-        return pa.table([table.column("anchor"), table.column("f1"), pa.array(out, pa.binary())], ["anchor", "f1", "firsts"])
+        sizes = np.diff(np.append(starts, len(anchors)))
+        # An anchor's only cut-out is the same text wherever it stands.
+        alone, several = table.take(pa.array(starts[sizes == 1])), table.filter(pa.array(np.repeat(sizes > 1, sizes)))
+        # What no occurrence has from an earlier document covers nothing.
+        alone = alone.filter(pa.compute.less(alone.column("first"), alone.column("last")))
+        parts = [alone.select(["anchor", "f1", "first"]).append_column("firsts", pa.nulls(alone.num_rows, pa.binary()))]
+        if several.num_rows:
+            cuts, own = several.column("cut").to_pylist(), several.column("first").to_numpy()
+            ends = np.cumsum(sizes[sizes > 1]).tolist()
+            spans = list(zip([0, *ends], ends))
+            flat = np.concatenate(compare([(int(anchors[i]), cuts[a:b], own[a:b]) for i, (a, b) in zip(starts[sizes > 1], spans)])).astype(np.int64)
+            n = np.fromiter((windows_in(c, kind) for c in cuts), np.int64, len(cuts))
+            begins = np.cumsum(n) - n
+            least, most = np.minimum.reduceat(flat, begins), np.maximum.reduceat(flat, begins)
+            firsts = [flat[b : b + k].tobytes() if lo < hi else None for b, k, lo, hi in zip(begins.tolist(), n.tolist(), least, most)]
+            covers = pa.table([several.column("anchor"), several.column("f1"), pa.array(least), pa.array(firsts, pa.binary())],
+                              ["anchor", "f1", "first", "firsts"])
+            parts.append(covers.filter(pa.array(least < several.column("last").to_numpy())))
+        return pa.concat_tables(parts)
     return run
 
 
@@ -331,8 +351,10 @@ def windows_in(cut: bytes, kind: type) -> int:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        packed = [np.array([w["first"] for w in sorted(ws, key=lambda w: w["at"])], np.int64).tobytes() for ws in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["anchor", "f1", "firsts"])
+        packed = [np.array([w["first"] for w in sorted(ws, key=lambda w: w["at"])], np.int64) for ws in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([int(p.min()) for p in packed], pa.int64()), pa.array([p.tobytes() for p in packed], pa.binary())],
+            ["anchor", "f1", "first", "firsts"])
 
 
 def _crowded(distinct: DataFrame, kind: type) -> DataFrame:

@@ -71,9 +71,12 @@ def _deal(items: np.ndarray, letters: np.ndarray, buckets: list[list[np.ndarray]
     """Append items to the buckets of their letters, in order."""
     if not len(items):
         return
+    if len(items) == 1:
+        buckets[letters[0]].append(items)
+        return
     order = np.argsort(letters, kind="stable")
     items, letters = items[order], letters[order]
-    cuts = np.flatnonzero(np.diff(letters)) + 1
+    cuts = np.flatnonzero(letters[1:] != letters[:-1]) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(items)]):
         buckets[letters[a]].append(items[a:b])
 
@@ -97,20 +100,14 @@ def suffix_array(s: np.ndarray, depth: int = 1 << 40) -> np.ndarray:
         first = _sorted_lms(s, lms, depth)
         _deal(first, s[first], seeds)
     ls[s[n - 1]].append(np.array([n - 1]))  # induced by the end
+    # A suffix without one before it has neither type there.
+    types = np.append(small, 2).astype(np.int8)
     for c in range(top):
-        done, i = ls[c], 0
-        while i < len(done):
-            _deal(*_before(done[i], s, small, False), ls)
-            i += 1
-        for part in seeds[c]:
-            _deal(*_before(part, s, small, False), ls)
+        _induce(ls[c], s, types, False, ls)
+        _induce(seeds[c], s, types, False, ls)
     for c in range(top - 1, -1, -1):
-        done, i = ss[c], 0
-        while i < len(done):
-            _deal(*_before(done[i], s, small, True), ss)
-            i += 1
-        for part in reversed(ls[c]):
-            _deal(*_before(part[::-1], s, small, True), ss)
+        _induce(ss[c], s, types, True, ss)
+        _induce([part[::-1] for part in reversed(ls[c])], s, types, True, ss)
     out = []
     for c in range(top):
         out += ls[c]
@@ -118,11 +115,18 @@ def suffix_array(s: np.ndarray, depth: int = 1 << 40) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _before(items: np.ndarray, s: np.ndarray, small: np.ndarray, wanted: bool) -> tuple[np.ndarray, np.ndarray]:
-    """The suffixes just before ``items`` that are of the wanted type, and their letters."""
-    before = items[items > 0] - 1
-    before = before[small[before] == wanted]
-    return before, s[before]
+def _induce(parts: list[np.ndarray], s: np.ndarray, types: np.ndarray, wanted: bool, buckets: list[list[np.ndarray]]) -> None:
+    """Deal the suffixes just before those of ``parts`` that are of the wanted type, in order.
+
+    What is dealt to the very bucket whose parts these are follows in the next
+    round, so a bucket takes as many rounds as its letter repeats in a row.
+    """
+    done = 0
+    while done < len(parts):
+        items, done = np.concatenate(parts[done:]), len(parts)
+        before = items - 1
+        before = before[types[before] == wanted]
+        _deal(before, s[before], buckets)
 
 
 def permuted_lcp(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
@@ -141,14 +145,16 @@ def permuted_lcp(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
     at = np.flatnonzero(jump & (phi >= 0))
     i, j = at, phi[at]
     length = np.zeros(len(at), np.int64)
-    live = np.arange(len(at))
-    while len(live):
-        a, b = i[live] + length[live], j[live] + length[live]
-        inside = (a < n) & (b < n)
-        same = inside.copy()
-        same[inside] = s[a[inside]] == s[b[inside]]
-        live = live[same]
-        length[live] += 1
+    # Seven letters at a time, then one by one; what follows the end is unlike any letter.
+    letters = np.append(s, np.full(8, 511)).astype(np.int64)
+    several = letters[: n + 1]
+    for k in range(1, 7):
+        several = several << 9 | letters[k : n + 1 + k]
+    for step, units in ((7, several), (1, letters)):
+        live = np.arange(len(at))
+        while len(live):
+            live = live[units[i[live] + length[live]] == units[j[live] + length[live]]]
+            length[live] += step
     out[at] = length
     origin = np.maximum.accumulate(np.where(jump, np.arange(n), 0))
     return np.where(phi >= 0, out[origin] - (np.arange(n) - origin), 0)
@@ -164,12 +170,11 @@ def first_documents(groups: list[tuple[int, list[bytes], np.ndarray]]) -> list[n
     text[starts[1:] - 1] = 0  # apart from any byte
     sa = suffix_array(text, WIDTH)
     plcp = permuted_lcp(text, sa)
-    group = np.cumsum(plcp[sa] < WIDTH) - 1
+    new = plcp[sa] < WIDTH
+    group = np.cumsum(new) - 1
     owner = np.repeat(np.arange(len(strings)), sizes + 1)[: len(text)]
     whole = np.arange(len(text)) + WIDTH <= (starts + sizes)[owner]
-    least = np.full(group[-1] + 1, np.iinfo(np.int64).max)
-    ok = whole[sa]
-    np.minimum.at(least, group[ok], docs[owner[sa[ok]]])
+    least = np.minimum.reduceat(np.where(whole[sa], docs[owner[sa]], np.iinfo(np.int64).max), np.flatnonzero(new))
     first = np.empty(len(text), np.int64)
     first[sa] = least[group]
     out, at = [], 0

@@ -132,3 +132,31 @@ def test_anchor_rows_do_not_grow_with_the_bins(spark, docs):
             held = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in ("runs", "anchors", "places", "local")) + 8 * F.coalesce(F.size("text_keys"), F.lit(0))
             sizes.append(blobs.agg(F.sum(held)).first()[0])
         assert sizes[0] == sizes[1]
+
+
+def test_calls_do_not_grow_with_the_cut_outs(monkeypatch):
+    """Buckets are induced in rounds, and occurrences of cut-outs become spans a batch at a time."""
+    import pyarrow as pa
+
+    random.seed(6)
+    calls = []
+    for count in (60, 480):
+        deals, deal = [], suffixes._deal
+        monkeypatch.setattr(suffixes, "_deal", lambda *a: (deals.append(1), deal(*a)))
+        groups = []
+        for g in range(count):
+            middle = random.randbytes(50)
+            groups.append((g, [random.randbytes(9) + middle + random.randbytes(9) for _ in range(3)], np.array([3, 5, 9])))
+        found = suffixes.first_documents(groups)
+        monkeypatch.undo()
+        assert all(f.reshape(3, 19)[:, 9].tolist() == [3, 3, 3] and f.reshape(3, 19)[:, 0].tolist() == [3, 5, 9] for f in found)
+        calls.append(len(deals))
+    assert calls[1] < 3 * calls[0]
+
+    firsts = [None, np.array([9, 1, 1] + [9] * 60 + [2]), np.array([1, 9])]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([5, 5, 6]), pa.array([50, 51, 60]), pa.array([7, 100, 0], pa.int32()), pa.array([3, 64, 2], pa.int32()),
+         pa.array([None if f is None else f.astype(np.int64).tobytes() for f in firsts], pa.binary())], ["doc_id", "text_key", "begin", "n", "firsts"])
+    rows = [r for b in repeats._spans(iter([batch])) for r in b.to_pylist()]
+    spans = sorted((r["doc_id"], r["text_key"], *np.frombuffer(r["spans"], np.int64).tolist()) for r in rows)
+    assert spans == [(5, 50, 7, 59), (5, 51, 101, 152), (5, 51, 163, 213), (6, 60, 0, 50)]
