@@ -33,8 +33,10 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     an executor lost later takes nothing with it.
     """
     path = scratch_path(df.sparkSession, label)
+    # Shuffle files of what has been written go when the driver's JVM collects its garbage; those of the write before
+    # this one were still referred to at its end.
+    df.sparkSession.sparkContext._jvm.System.gc()
     df.write.parquet(path, compression=compression)
-    # Shuffle files of what has been written go when the driver's JVM collects its garbage.
     df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
